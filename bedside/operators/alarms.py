@@ -150,12 +150,15 @@ def delay_sweep(alarms: DataFrame, keys=SERIES, last=DELAY_MAX, step=DELAY_STEP)
     down = Window.partitionBy(*k).orderBy(F.col("_top").desc())
     upto = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     below = F.coalesce(F.lead("_top").over(down), F.lit(-1))
-    return counts.select(
+    summed = counts.select(
         *k,
+        "_top",
+        below.alias("_below"),
         F.sum("_n").over(upto).alias("alarms"),
         F.sum("_time").over(upto).cast("bigint").alias("time_over_threshold"),
-        F.explode(F.sequence(below + 1, F.col("_top"))).alias("_d"),
-    ).select(
+    )
+    delays = F.explode(F.sequence(F.col("_below") + 1, F.col("_top")))
+    return summed.withColumn("_d", delays).select(
         *k,
         (F.col("_d") * step).cast("bigint").alias("delay"),
         "alarms",

@@ -20,14 +20,23 @@ def total(a: Column) -> Column:
 
 
 def mean(a: Column) -> Column:
-    return total(a) / F.size(a)
+    return F.try_divide(total(a), F.size(a))
 
 
 def kurtosis(a: Column) -> Column:
-    """Population kurtosis (3 for a normal sample)."""
-    m = mean(a)
-    power = lambda p: total(F.transform(a, lambda x: F.pow(x.cast("double") - m, F.lit(p)))) / F.size(a)
-    return F.try_divide(power(4.0), F.pow(power(2.0), F.lit(2.0)))
+    """Population kurtosis (3 for a normal sample).
+
+    The mean travels in the accumulator, so it is worked out once per window.
+    """
+    zero = F.struct(mean(a).alias("m"), F.lit(0.0).alias("s2"), F.lit(0.0).alias("s4"))
+
+    def step(s, x):
+        d2 = (x.cast("double") - s["m"]) * (x.cast("double") - s["m"])
+        return F.struct(s["m"].alias("m"), (s["s2"] + d2).alias("s2"), (s["s4"] + d2 * d2).alias("s4"))
+
+    return F.aggregate(
+        a, zero, step, lambda s: F.try_divide(s["s4"] * F.size(a), s["s2"] * s["s2"])
+    )
 
 
 def variability(rr: Column) -> Column:
@@ -40,7 +49,7 @@ def variability(rr: Column) -> Column:
         F.slice(rr, F.lit(2), n - 1), F.slice(rr, F.lit(1), n - 1), lambda b, a: b - a
     )
     squares = total(F.transform(diff, lambda d: d * d))
-    return F.when(n > 2, F.sqrt(squares / (n - 2)) / mean(rr))
+    return F.when(n > 2, F.try_divide(F.sqrt(F.try_divide(squares, n - 2)), mean(rr)))
 
 
 def turning_points(rr: Column) -> Column:
@@ -86,26 +95,6 @@ def leakage(a: Column) -> Column:
     return F.when(half < n, F.try_divide(total(both), total(size)))
 
 
-def crossing_share(a: Column, rate: int = 125, threshold: float = 0.2) -> Column:
-    """Threshold-crossing sample count in percent, over 3 s windows every second.
-
-    The mean is removed and the maximum scaled to one; each window counts its
-    samples (but the last) whose magnitude passes the threshold.
-    """
-    n, width = F.size(a), 3 * rate
-    m = mean(a)
-    centred = F.transform(a, lambda x: x.cast("double") - m)
-    high = F.array_max(centred)
-    over = F.transform(centred, lambda x: F.when(F.abs(x / high) > threshold, 1.0).otherwise(0.0))
-    count = (F.rint((n - width) / rate) + 1).cast("int")
-    starts = F.sequence(F.lit(0), count - 1)
-    share = F.transform(
-        starts,
-        lambda w: total(F.slice(over, w * rate + 1, F.lit(width - 1))) * (100.0 / width),
-    )
-    return F.when(count > 0, mean(share))
-
-
 # ---- row features -----------------------------------------------------------------
 
 
@@ -301,6 +290,36 @@ def _band_count(x: np.ndarray, rate: float = 125.0) -> int:
     return count
 
 
+def _crossing_share(x: np.ndarray, rate: int, threshold: float = 0.2) -> float:
+    """Percent of samples over the threshold, averaged over 3 s windows each second."""
+    width = 3 * rate
+    count = int(np.round((len(x) - width) / rate)) + 1
+    if count < 1:
+        return math.nan
+    x = x - x.mean()
+    if not x.max() > 0:
+        return math.nan
+    over = np.r_[0, np.cumsum(np.abs(x / x.max()) > threshold)]
+    starts = np.arange(count) * rate
+    stops = np.minimum(starts + width - 1, len(x))
+    return float(np.mean((over[stops] - over[starts]) * (100.0 / width)))
+
+
+def crossing_share(window: Column, rate: int = 125, threshold: float = 0.2) -> Column:
+    """Threshold-crossing sample count in percent, over 3 s windows every second.
+
+    The mean is removed and the maximum scaled to one; each window counts its
+    samples (but the last) whose magnitude passes the threshold.
+    """
+
+    @F.pandas_udf("double")
+    def share(windows: pd.Series) -> pd.Series:
+        out = [_crossing_share(np.asarray(w, dtype=float), rate, threshold) for w in windows]
+        return pd.Series(out, dtype="float64")
+
+    return F.nanvl(share(window), F.lit(None).cast("double"))
+
+
 def sample_entropy(window: Column, dim: int = 2, scale: float = 0.2, none: float | None = None) -> Column:
     """Sample entropy of a window; ``none`` stands for a window without matches."""
 
@@ -351,13 +370,12 @@ def fibrillation_features(window: Column, rate: int = 125) -> Column:
     peak = F.array_max(F.transform(window, lambda x: F.abs(x.cast("double"))))
     use = F.coalesce((peak < ECG_LIMIT) & (peak > 0), F.lit(False))
     gate = lambda c: F.when(use, F.coalesce(c, F.lit(-1.0))).otherwise(F.lit(-1.0))
-    safe = F.when(use, window).otherwise(F.array(F.lit(0.0), F.lit(1.0), F.lit(0.0)))
     return F.struct(
         F.coalesce(peak, F.lit(-1.0)).alias("peak"),
-        gate(band_count(safe, rate).cast("double")).alias("band_count"),
-        gate(crossing_share(safe, rate)).alias("crossing"),
-        gate(leakage(safe)).alias("leakage"),
-        gate(sample_entropy(safe)).alias("entropy"),
+        gate(band_count(window, rate).cast("double")).alias("band_count"),
+        gate(crossing_share(window, rate)).alias("crossing"),
+        gate(leakage(window)).alias("leakage"),
+        gate(sample_entropy(window)).alias("entropy"),
     )
 
 
@@ -407,7 +425,7 @@ def rhythm_updates(
     )
     squares = total(F.transform("_drr", lambda d: d * d))
     w = w.withColumn("entropy", sample_entropy(F.col("_drr")))
-    w = w.withColumn("variability", F.sqrt(squares / (F.size("_drr") - 1)) / mean(F.col("_rr")))
+    w = w.withColumn("variability", F.try_divide(F.sqrt(F.try_divide(squares, F.size("_drr") - 1)), mean(F.col("_rr"))))
     z0 = (F.coalesce("entropy", F.lit(-1.0)) - centre[0]) / scale[0]
     z1 = (F.col("variability") - centre[1]) / scale[1]
     invalid = (

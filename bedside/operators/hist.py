@@ -133,3 +133,12 @@ def standardised(df: DataFrame, keys, value: str) -> DataFrame:
     )
     z = (F.col(value) - F.col("_mean")) / F.col("_sd")
     return df.join(moments, list(keys)).withColumn("z", z).drop("_mean", "_sd")
+
+
+def collected(df: DataFrame, keys, value: str) -> DataFrame:
+    """Results of each test of a record as one sorted list, nulls skipped."""
+    return (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(value)).alias("results"))
+    )

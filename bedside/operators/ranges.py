@@ -255,19 +255,21 @@ POSTURE_CHANGE = (12.0, 25.0)
 ARM_CHANGE = (8.0, 8.0)
 
 
-def _before_start(cal: DataFrame, events: DataFrame, *, open_start: bool = False) -> DataFrame:
+def _before_start(
+    cal: DataFrame, events: DataFrame, lookback: float, *, open_start: bool = False
+) -> DataFrame:
     """Pairs of a calibration and the events in the look-back before it starts."""
     pairs = point_join(
-        events, cal, ["session"], F.col("t"), (F.col("start") - LOOKBACK, F.col("start")), LOOKBACK
+        events, cal, ["session"], F.col("t"), (F.col("start") - lookback, F.col("start")), lookback
     )
     start = F.col("b.start")
     pairs = pairs.where(F.col("a.t") < start)
-    return pairs.where(F.col("a.t") > start - LOOKBACK) if open_start else pairs
+    return pairs.where(F.col("a.t") > start - lookback) if open_start else pairs
 
 
-def _position_change(cal: DataFrame, positions: DataFrame, limits) -> DataFrame:
+def _position_change(cal: DataFrame, positions: DataFrame, limits, lookback: float) -> DataFrame:
     """Last time a position differed from its final value by the limit or more."""
-    pairs = _before_start(cal, positions.where("pos1 < 16000")).select(
+    pairs = _before_start(cal, positions.where("pos1 < 16000"), lookback).select(
         F.col("b.cal_id").alias("cal_id"),
         F.col("a.t").alias("t"),
         F.col("a.seq").alias("seq"),
@@ -294,6 +296,7 @@ def calibration_times(
     swaps: DataFrame,
     posture: DataFrame,
     arm: DataFrame,
+    lookback: float = LOOKBACK,
 ) -> DataFrame:
     """Start of each cuff calibration, time since it became possible, inflation time.
 
@@ -311,7 +314,7 @@ def calibration_times(
 
     def edge(events, agg, **kw):
         return (
-            _before_start(cal, events, **kw)
+            _before_start(cal, events, lookback, **kw)
             .groupBy(F.col("b.cal_id").alias("cal_id"))
             .agg(agg(F.col("a.t")).alias("at"))
         )
@@ -320,8 +323,8 @@ def calibration_times(
         "_bp": edge(cuff, F.max),
         "_conn": edge(connections.where(F.col("bits").bitwiseAND(2) == 2), F.min),
         "_swap": edge(swaps, F.min, open_start=True),
-        "_post": _position_change(cal, posture, POSTURE_CHANGE),
-        "_arm": _position_change(cal, arm, ARM_CHANGE),
+        "_post": _position_change(cal, posture, POSTURE_CHANGE, lookback),
+        "_arm": _position_change(cal, arm, ARM_CHANGE, lookback),
     }
     out = cal
     for name, part in parts.items():

@@ -141,7 +141,7 @@ def islands(df: DataFrame, keys, order, label: str, begin: str, end: str) -> Dat
     """Stretches of consecutive rows with one ``label``: first begin, last end."""
     df = scan(balance(df, keys, order[0]), keys, order, _p=previous(F.struct(label)))
     new = F.when(F.struct(label).eqNullSafe(F.col("_p")), 0).otherwise(1)
-    df = scan(df.drop("_p").withColumn("_new", new), keys, order, island=running_sum("_new"))
+    df = scan(df.withColumn("_new", new).drop("_p"), keys, order, island=running_sum("_new"))
     return df.groupBy(*keys, "island", label).agg(
         F.min(begin).alias("start"), F.max(end).alias("stop"), F.count(F.lit(1)).alias("n")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import clock
 from ..operators import slices
 from ..operators.slices import balance, following, previous, running_sum, scan, unsliced
+from ..session import durable
 
 
 def selected(packets: DataFrame, session: int, start_ms: int, stop_ms: int, types: list[int]) -> DataFrame:
@@ -178,7 +179,10 @@ def chunk_manifest(
         marked, [*keys, "_stretch"], order, _n=running_sum(F.lit(1)), _end=running_sum("size")
     )
     part = F.floor((F.col("_n") - 1) / slice_rows)
-    rows = unsliced(marked).withColumn("_part", part).drop("_was", "_cut")
+    rows = unsliced(marked).withColumn("_part", part).select(
+        *keys, "_stretch", "_seg", "_part", "_n", "size", "sn", "tm"
+    )
+    rows = durable(rows)  # read three times below
     group = [*keys, "_stretch"]
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     head = ", ".join(f"{c} {types[c]}" for c in group)
@@ -230,11 +234,16 @@ def chunk_manifest(
     def pieces(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_n")
         number, _ = _cuts(pdf["size"].to_numpy(dtype=np.int64), int(pdf["_carried"].iloc[0]), limit)
-        pdf["_no"] = number + int(pdf["_base"].iloc[0])
-        return pdf.groupby([*group, "_no", "_seg"], as_index=False).agg(
-            size=("size", "sum"), min_ts=("tm", "min"), max_ts=("tm", "max"),
-            min_sn=("sn", "min"), max_sn=("sn", "max"),
-        )
+        first = np.flatnonzero(np.r_[True, np.diff(number) > 0])
+        out = pdf.iloc[first][group].copy()
+        out["_no"] = number[first] + int(pdf["_base"].iloc[0])
+        out["_seg"] = pdf["_seg"].to_numpy()[first]
+        out["size"] = np.add.reduceat(pdf["size"].to_numpy(dtype=np.int64), first)
+        for column, low, high in (("tm", "min_ts", "max_ts"), ("sn", "min_sn", "max_sn")):
+            values = pdf[column].to_numpy(dtype=float, na_value=np.nan)
+            out[low] = pd.array(np.fmin.reduceat(values, first)).astype("Int64")
+            out[high] = pd.array(np.fmax.reduceat(values, first)).astype("Int64")
+        return out
 
     parts = ready.select(*kept).groupBy(*group, "_part").applyInPandas(pieces, part_schema)
     chunks = parts.groupBy(*group, "_no", "_seg").agg(
