@@ -289,8 +289,8 @@ def with_sequence(
     segments = sync_segments(anchors, keys).select(
         *keys, "seq", "t", "slope", F.col("t").alias("t0"), F.col("sn").alias("sn0")
     )
-    nxt = scan(balance(segments, keys, "t"), keys, ["t", "seq"], _end=slices.following("sn0"))
-    segments = unsliced(nxt).withColumnRenamed("_end", "sn1")
+    nxt = scan(balance(segments, keys, "t"), keys, ["t", "seq"], sn1=slices.following("sn0"))
+    segments = unsliced(nxt)
     df = _stack(rows, segments, keys, ["t0", "sn0", "sn1", "slope"], "t", "seq", right_first=True)
     df = scan(
         df, keys, ["_t", "_side", "_seq"], _before=filled("_r"), _after=refilled_after("_r")

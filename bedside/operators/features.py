@@ -122,7 +122,8 @@ def beat_similarity(
     """
     from .slices import running_sum
 
-    numbered = scan(balance(samples, keys, "sn"), keys, ["sn"], _pos=running_sum(F.lit(1)))
+    checked = balance(samples, keys, "sn")
+    numbered = scan(checked, keys, ["sn"], _pos=running_sum(F.lit(1)))
     numbered = unsliced(numbered).select(*keys, "sn", "_pos", "value")
     at = beats.select(*keys, "sn").distinct().join(numbered.drop("value"), [*keys, "sn"])
     width = 2 * radius

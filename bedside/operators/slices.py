@@ -27,14 +27,48 @@ SLICE_ROWS = "spark.bedside.sliceRows"
 MAX_SLICES = 200_000
 
 
-def balance(df: DataFrame, keys: Sequence[str], t: str) -> DataFrame:
+_SEEN: dict = {}
+
+
+def balance(df: DataFrame, keys: Sequence[str], t: str, reduced: DataFrame | None = None) -> DataFrame:
     """Add a slice column to ``df`` when some series exceeds the row limit.
 
     One narrow aggregation finds the series above the limit.  There are at
     most total/limit of them; when their slices would pass ``MAX_SLICES`` the
     limit is raised, so what reaches the driver and the broadcast is bounded.
+    The finding is kept per plan: any slicing along ``t`` gives right results,
+    so a finding that no longer fits the data costs balance, not correctness.
+
+    ``reduced`` names a frame checked before that holds at least as many rows
+    per key; when that needed no slices, neither does ``df``.
     """
+    if SLICE in df.columns or (reduced is not None and SLICE not in reduced.columns):
+        return df
     limit = float(df.sparkSession.conf.get(SLICE_ROWS, "4000000"))
+    plan = (df.semanticHash(), *keys, t, limit)
+    if plan not in _SEEN:
+        if len(_SEEN) > 1000:
+            _SEEN.clear()
+        _SEEN[plan] = _big_series(df, keys, t, limit)
+    rows = _SEEN[plan]
+    if not rows:
+        return df
+    schema = T.StructType(
+        [T.StructField(f"_b_{k}", df.schema[k].dataType) for k in keys]
+        + [T.StructField("_t0", T.DoubleType()), T.StructField("_width", T.DoubleType())]
+    )
+    table = df.sparkSession.createDataFrame(rows, schema)
+    same = _all(F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys)
+    index = F.floor((F.col(t).cast("double") - F.col("_t0")) / F.col("_width"))
+    return (
+        df.join(F.broadcast(table), same, "left")
+        .withColumn(SLICE, index)
+        .drop("_t0", "_width", *[f"_b_{k}" for k in keys])
+    )
+
+
+def _big_series(df: DataFrame, keys: Sequence[str], t: str, limit: float) -> list[tuple]:
+    """Key, start and slice width of every series above the limit."""
     sizes = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(t).cast("double").alias("_t0"),
@@ -45,25 +79,12 @@ def balance(df: DataFrame, keys: Sequence[str], t: str) -> DataFrame:
         if len(big) <= MAX_SLICES // 2:
             break
         limit *= 4
-    if not big:
-        return df
     limit = max(limit, sum(r["_n"] for r in big) / (MAX_SLICES / 2))
     rows = []
     for r in big:
-        width = (r["_t1"] - r["_t0"]) / math.ceil(r["_n"] / limit)
+        width = ((r["_t1"] or 0.0) - (r["_t0"] or 0.0)) / math.ceil(r["_n"] / limit)
         rows.append((*(r[k] for k in keys), r["_t0"], width if width > 0 else 1.0))
-    schema = T.StructType(
-        [T.StructField(f"_b_{k}", df.schema[k].dataType) for k in keys]
-        + [T.StructField("_t0", T.DoubleType()), T.StructField("_width", T.DoubleType())]
-    )
-    table = df.sparkSession.createDataFrame(rows, schema)
-    same = _all(F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys)
-    index = F.floor((F.col(t).cast("double") - F.col("_t0")) / F.col("_width"))
-    return (
-        df.join(F.broadcast(table), same, "left")
-        .withColumn(SLICE, index)
-        .drop("_t0", "_width", *[f"_b_{k}" for k in keys])
-    )
+    return rows
 
 
 def unsliced(df: DataFrame) -> DataFrame:

@@ -189,12 +189,13 @@ def mark_windows(
     """
     from .slices import balance, overall_max, running_sum, scan, unsliced
 
-    numbered = scan(balance(samples, keys, "sn"), keys, ["sn"], _pos=running_sum(F.lit(1)))
-    numbered = unsliced(numbered)
+    checked = balance(samples, keys, "sn")
+    numbered = unsliced(scan(checked, keys, ["sn"], _pos=running_sum(F.lit(1))))
     at = numbered.join(
         marks.select(*keys, "sn").distinct(), [*keys, "sn"], "left_semi"
     )
-    order = scan(balance(at, keys, "sn"), keys, ["sn"], _rank=running_sum(F.lit(1)))
+    at = balance(at, keys, "sn", reduced=checked)
+    order = scan(at, keys, ["sn"], _rank=running_sum(F.lit(1)))
     if counts is None:
         order = unsliced(scan(order, keys, ["sn"], _marks=overall_max("_rank")))
     else:

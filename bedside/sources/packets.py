@@ -134,8 +134,8 @@ def logs_into_session(packets: DataFrame, device: int, t0: int, t1: int, syncs:
 CHUNK_BYTES = 512_000
 
 
-def _cuts(sizes: np.ndarray, carried: int, limit: int) -> tuple[np.ndarray, int]:
-    """Chunk number of each packet and the bytes left open, from ``carried`` bytes on.
+def _cuts(sizes: np.ndarray, carried: int, limit: int) -> tuple[np.ndarray, int, int]:
+    """Chunk number of each packet from ``carried`` bytes on, bytes left open, chunks closed.
 
     A chunk closes with the packet that brings it to the limit.
     """
@@ -148,7 +148,7 @@ def _cuts(sizes: np.ndarray, carried: int, limit: int) -> tuple[np.ndarray, int]
         if close >= len(sizes):
             break
         base, at, chunk = int(ends[close]), close + 1, chunk + 1
-    return number, int(ends[-1] - base) if len(sizes) else carried
+    return number, int(ends[-1] - base) if len(sizes) else carried, chunk
 
 
 def chunk_manifest(
@@ -164,8 +164,9 @@ def chunk_manifest(
     short pass over the slices of a stretch then fixes what each inherits.
     """
     known = F.when(F.col("sn").isNotNull(), F.col("segment"))
+    checked = balance(packets, keys, order[0])
     filled = scan(
-        balance(packets, keys, order[0]),
+        checked,
         keys,
         order,
         _seg=slices.filled(known),
@@ -231,21 +232,44 @@ def chunk_manifest(
         "min_ts bigint, max_ts bigint, min_sn bigint, max_sn bigint"
     )
 
-    def pieces(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_n")
-        number, _ = _cuts(pdf["size"].to_numpy(dtype=np.int64), int(pdf["_carried"].iloc[0]), limit)
-        first = np.flatnonzero(np.r_[True, np.diff(number) > 0])
-        out = pdf.iloc[first][group].copy()
-        out["_no"] = number[first] + int(pdf["_base"].iloc[0])
-        out["_seg"] = pdf["_seg"].to_numpy()[first]
-        out["size"] = np.add.reduceat(pdf["size"].to_numpy(dtype=np.int64), first)
-        for column, low, high in (("tm", "min_ts", "max_ts"), ("sn", "min_sn", "max_sn")):
-            values = pdf[column].to_numpy(dtype=float, na_value=np.nan)
-            out[low] = pd.array(np.fmin.reduceat(values, first)).astype("Int64")
-            out[high] = pd.array(np.fmax.reduceat(values, first)).astype("Int64")
-        return out
-
-    parts = ready.select(*kept).groupBy(*group, "_part").applyInPandas(pieces, part_schema)
+    def pieces(batches):
+        """Sorted packets to chunk pieces; the open chunk is carried over batches."""
+        last, carried, number = None, 0, 0
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            same = np.ones(len(pdf), dtype=bool)
+            for c in [*group, "_part"]:
+                v = pdf[c].to_numpy()
+                same[1:] &= v[1:] == v[:-1]
+            same[0] = False
+            heads = np.flatnonzero(~same)
+            sizes = pdf["size"].to_numpy(dtype=np.int64)
+            no = np.empty(len(pdf), dtype=np.int64)
+            for lo, hi in zip(heads, np.r_[heads[1:], len(pdf)]):
+                key = tuple(pdf[c].iat[lo] for c in [*group, "_part"])
+                if key != last:
+                    last, carried, number = key, int(pdf["_carried"].iat[lo]), int(pdf["_base"].iat[lo])
+                cuts, carried, closed = _cuts(sizes[lo:hi], carried, limit)
+                no[lo:hi] = cuts + number
+                number += closed
+            first = np.flatnonzero(np.r_[True, (np.diff(no) != 0) | ~same[1:]])
+            out = pdf.iloc[first][group].copy()
+            out["_no"] = no[first]
+            out["_seg"] = pdf["_seg"].to_numpy()[first]
+            out["size"] = np.add.reduceat(sizes, first)
+            for column, low, high in (("tm", "min_ts", "max_ts"), ("sn", "min_sn", "max_sn")):
+                values = pdf[column].to_numpy(dtype=float, na_value=np.nan)
+                out[low] = pd.array(np.fmin.reduceat(values, first)).astype("Int64")
+                out[high] = pd.array(np.fmax.reduceat(values, first)).astype("Int64")
+            yield out
+
+    parts = (
+        ready.select(*kept)
+        .repartition(*group, "_part")
+        .sortWithinPartitions(*group, "_part", "_n")
+        .mapInPandas(pieces, part_schema)
+    )
     chunks = parts.groupBy(*group, "_no", "_seg").agg(
         F.sum("size").alias("size"),
         F.min("min_ts").alias("min_ts"),
@@ -256,7 +280,7 @@ def chunk_manifest(
     chunks = chunks.where("size > 0")
     # a stretch that ends with a full chunk leaves an empty one, which uses up a number
     chunks = scan(
-        balance(chunks, keys, "_stretch"),
+        balance(chunks, keys, "_stretch", reduced=checked),
         keys,
         ["_stretch", "_no"],
         _p=previous(F.struct("_stretch", "size")),
