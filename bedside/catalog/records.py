@@ -127,11 +127,11 @@ def metadata_worklist(spark, sf):
 
 @query(
     "S7_lookups",
-    f"WITH {SESSIONS_SQL} SELECT session, site, duration FROM sessions WHERE site = 'FRANCE' AND care_unit IS NULL",
+    f"WITH {SESSIONS_SQL} SELECT session, site, duration FROM sessions WHERE site = 'NATION_7' AND care_unit IS NULL",
 )
 def lookups(spark, sf):
     return stored.lookup(
-        sessions(spark, sf), ["session", "site", "duration"], site="FRANCE", care_unit=None
+        sessions(spark, sf), ["session", "site", "duration"], site="NATION_7", care_unit=None
     )
 
 
@@ -538,7 +538,8 @@ def pending_blocks(spark, sf):
 
 @query(
     "A22_collected_results",
-    """SELECT o_orderpriority AS test, o_custkey AS record, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS results FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL""",
+    """SELECT o_orderpriority AS test, o_custkey AS record, o_orderkey AS result, row_number() OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY o_orderkey) AS place
+    FROM orders WHERE o_orderstatus <> 'P'""",
 )
 def collected_results(spark, sf):
     from ..operators.hist import collected
@@ -547,8 +548,7 @@ def collected_results(spark, sf):
         F.col("o_orderpriority").alias("test"), F.col("o_custkey").alias("record"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("result"),
     )
-    out = collected(o, ["test", "record"], "result")
-    return out.withColumn("results", F.array_join(F.col("results").cast("array<string>"), ","))
+    return collected(o, ["test", "record"], "result")
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import DURATION_EDGES, LAST_BIN_LABEL
-from .slices import balance, overall_max, running_sum, scan
+from .slices import balance, overall_max, running_sum, scan, unsliced
 
 
 def duration_bin(seconds: Column) -> Column:
@@ -136,9 +136,10 @@ def standardised(df: DataFrame, keys, value: str) -> DataFrame:
 
 
 def collected(df: DataFrame, keys, value: str) -> DataFrame:
-    """Results of each test of a record as one sorted list, nulls skipped."""
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(value)).alias("results"))
-    )
+    """Results of each group in order, nulls skipped: one row per place in the list.
+
+    Lists stay in rows, so a group of any size is never gathered.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
+    rows = balance(rows, keys, value)
+    return unsliced(scan(rows, keys, [value], place=running_sum(F.lit(1).cast("bigint"))))
