@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..operators import alarms as al
 from ..operators import budget, hist, runs
+from ..operators.slices import balance
 from ..plans import export, mining
 from ..model import DURATION_EDGES, LAST_BIN_LABEL
 from . import query
@@ -224,7 +225,9 @@ ALARM_ROWS = READINGS + f""", limits AS (SELECT * FROM (VALUES {', '.join(str(x)
 
 
 def _limits(spark):
-    return spark.createDataFrame(LIMITS, "param string, kind string, limit int")
+    params = ("PR", "HR", "RR", "SPO2")
+    high = {(p, "HIGH"): (40, 180, 20) for p in params}
+    return al.limit_table(spark, {**high, **{(p, "LOW"): (5, 40, 5) for p in params}})
 
 
 @query(
@@ -232,9 +235,7 @@ def _limits(spark):
     f"""WITH {ALARM_ROWS} SELECT session, param, kind, CAST(lim AS BIGINT) AS "limit", start, stop, xx, bucket FROM found""",
 )
 def threshold_alarms(spark, sf):
-    return al.threshold_alarms(readings(spark, sf), _limits(spark)).withColumn(
-        "limit", F.col("limit").cast("bigint")
-    )
+    return al.threshold_alarms(readings(spark, sf), _limits(spark))
 
 
 @query(
@@ -245,9 +246,7 @@ def threshold_alarms(spark, sf):
 )
 def alarm_sweep(spark, sf):
     alarms = al.threshold_alarms(readings(spark, sf), _limits(spark))
-    return al.delay_sweep(alarms, last=864000, step=43200).withColumn(
-        "limit", F.col("limit").cast("bigint")
-    )
+    return al.delay_sweep(alarms, last=864000, step=43200)
 
 
 @query(
@@ -367,14 +366,15 @@ def _overlay(spark, sf):
     gaps = runs.dropouts(marks, RATE).select(
         "session", F.concat(low, F.lit("_drop")).alias("layer"), "start", "stop"
     )
-    limits = spark.createDataFrame([("PR", "HIGH", 60), ("HR", "HIGH", 60)], "param string, kind string, limit int")
+    limits = al.limit_table(spark, {("PR", "HIGH"): (60, 60), ("HR", "HIGH"): (60, 60)})
     alarms = al.threshold_alarms(base, limits).select(
         "session", F.concat(low, F.lit("_alarm")).alias("layer"), "start", "stop"
     )
     presence = readings(spark, sf).groupBy("session").agg(
         F.bool_or(F.col("param") == "PR").alias("has_pr"), F.bool_or(F.col("param") == "HR").alias("has_hr")
     )
-    return al.cardiac_cut(invalid.unionByName(gaps).unionByName(alarms), presence)
+    checked = balance(base, ["session"], "t")
+    return al.cardiac_cut(invalid.unionByName(gaps).unionByName(alarms), presence, checked)
 
 
 def _swept_sql(layers: str, condition: str) -> str:
@@ -469,9 +469,7 @@ def windowed_export(spark, sf):
     devices = r.groupBy("session", "block").agg(F.max("t").alias("t")).select(
         "session", "t", (F.col("block") + 100).alias("device")
     )
-    alarms = device_alarms(spark, sf).where("code < 30")
     everything = device_alarms(spark, sf).withColumn("code", F.when(F.col("code") < 30, F.col("code")).otherwise(999))
-    del alarms
     return export.windowed_export(
         r, EXPORTED, float(WINDOW), {"alarms": (everything, codes_)}, devices
     )

@@ -24,14 +24,10 @@ ALARM, NORM, XX = 1, 0, -1
 
 
 def limit_table(spark: SparkSession, ranges=None) -> DataFrame:
-    """The swept limits as rows (param, kind, limit)."""
+    """The swept limits: one row (param, kind, first, last, step) per side."""
     ranges = LIMIT_RANGES if ranges is None else ranges
-    rows = [
-        (param, kind, limit)
-        for (param, kind), (first, last) in ranges.items()
-        for limit in range(first, last + 1)
-    ]
-    return spark.createDataFrame(rows, "param string, kind string, limit int")
+    rows = [(param, kind, *span, 1)[:5] for (param, kind), span in ranges.items()]
+    return spark.createDataFrame(rows, "param string, kind string, first int, last int, step int")
 
 
 def classify(kind: str, value: Column, limit: Column) -> Column:
@@ -55,17 +51,34 @@ def _classified(kind: str, value: Column) -> Column:
     return F.when((value >= 0) | value.isin(*codes), value)
 
 
+def _reached(kind: Column, level: Column, count: Column) -> Column:
+    """How many limits of a range lie at or below (LOW: below) a reading.
+
+    ++ is above every limit and -- below; a series starts as NORM.
+    """
+    at = (level - F.col("first")) / F.col("step")
+    n = F.when(kind == "HIGH", F.floor(at) + 1).otherwise(F.ceil(at))
+    start = F.when(kind == "HIGH", F.lit(0)).otherwise(count)
+    return (
+        F.when(level.isNull(), start)
+        .when(level == -4, count)
+        .when(level == -5, F.lit(0))
+        .otherwise(F.greatest(F.lit(0), F.least(n, count)))
+    )
+
+
 def state_changes(readings: DataFrame, limits: DataFrame, keys=SERIES, order=ORDER) -> DataFrame:
     """Where a series changes class, per limit.
 
-    The readings are scanned once, whatever the number of limits: a row yields
-    only the limits its step crosses.  A series starts as NORM, which leaves
-    out the limits it never reaches.  ``limits`` has (param, kind, limit) and
-    is folded to one array per param.
+    The readings are scanned once, whatever the number of limits: a step from
+    one reading to the next changes the class of the limits between the two,
+    which are a stretch of the range, so a row yields only those.  A series
+    starts as NORM, which leaves out the limits it never reaches.  ``limits``
+    has one row (param, kind, first, last, step) per swept range.
     """
     t = order[0]
     v = F.col("value")
-    df = balance(readings, keys, t) if slices.SLICE not in readings.columns else readings
+    df = balance(readings, keys, t)
     df = scan(
         df,
         keys,
@@ -74,23 +87,27 @@ def state_changes(readings: DataFrame, limits: DataFrame, keys=SERIES, order=ORD
         _low=filled_before(_classified("LOW", v)),
         end_t=overall_max(t),
     )
-    arrays = limits.groupBy("param").agg(
-        F.collect_set(F.when(F.col("kind") == "HIGH", F.col("limit"))).alias("_highs"),
-        F.collect_set(F.when(F.col("kind") == "LOW", F.col("limit"))).alias("_lows"),
-    )
-    df = df.join(F.broadcast(arrays), "param")
-
-    def crossed(kind: str, array: str, before: str) -> Column:
-        now = lambda x: classify(kind, v, x)
-        was = lambda x: F.coalesce(classify(kind, F.col(before), x), F.lit(NORM))
-        moved = F.filter(array, lambda x: now(x).isNotNull() & (now(x) != was(x)))
-        return F.transform(
-            moved, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("limit"), now(x).alias("state"))
-        )
-
-    both = F.concat(crossed("HIGH", "_highs", "_high"), crossed("LOW", "_lows", "_low"))
+    df = df.join(F.broadcast(limits), "param")
+    kind, high = F.col("kind"), F.col("kind") == "HIGH"
+    was = F.when(high, F.col("_high")).otherwise(F.col("_low"))
+    now = F.when(high, _classified("HIGH", v)).otherwise(_classified("LOW", v))
+    count = (F.floor((F.col("last") - F.col("first")) / F.col("step")) + 1).cast("bigint")
+    invalid = lambda c: F.coalesce(c.isin(-1.0, -2.0, -3.0), F.lit(False))
+    a, b = _reached(kind, was, count), _reached(kind, now, count)
+    every = invalid(was) != invalid(now)
+    none = now.isNull() | (invalid(was) & invalid(now))
+    lo = F.when(every, F.lit(0)).otherwise(F.least(a, b))
+    hi = F.when(none, F.lit(0)).when(every, count).otherwise(F.greatest(a, b))
     kept = [c for c in (*keys, *order, slices.SLICE) if c in df.columns]
-    return df.select(*kept, "end_t", F.explode(both).alias("_c")).select(*kept, "end_t", "_c.*")
+    moved = df.select(
+        *kept, "end_t", "value", "kind", "first", "step", lo.cast("bigint").alias("_lo"), hi.cast("bigint").alias("_hi")
+    ).where("_hi > _lo")
+    each = moved.withColumn("_i", F.explode(F.sequence(F.col("_lo"), F.col("_hi") - 1)))
+    limit = (F.col("first") + F.col("_i") * F.col("step")).cast("bigint")
+    state = F.when(high, classify("HIGH", v, F.col("limit"))).otherwise(
+        classify("LOW", v, F.col("limit"))
+    )
+    return each.withColumn("limit", limit).select(*kept, "end_t", "kind", "limit", state.alias("state"))
 
 
 def threshold_alarms(readings: DataFrame, limits: DataFrame, keys=SERIES, order=ORDER) -> DataFrame:
@@ -110,13 +127,12 @@ def threshold_alarms(readings: DataFrame, limits: DataFrame, keys=SERIES, order=
     stop = F.coalesce("_next", "end_t")
     span = stop - F.col(t)
     zero = F.lit(0.0)
-    carry = [F.min(slices.SLICE).alias(slices.SLICE)] if slices.SLICE in df.columns else []
     groups = df.groupBy(*k, "_group").agg(
         F.min(F.when(F.col("state") == ALARM, F.col(t))).alias("start"),
         F.max(stop).alias("stop"),
         F.sum(F.when(F.col("state") == ALARM, span).otherwise(zero)).alias("_gain"),
         F.sum(F.when(F.col("state") == NORM, span * LEAK_PER_SECOND).otherwise(zero)).alias("_leak"),
-        *carry,
+        *slices.kept_slice(df),
     )
     groups = scan(
         groups, k, ["_group"], _gained=running_sum("_gain"), _leaked=running_sum("_leak")
@@ -166,7 +182,9 @@ def delay_sweep(alarms: DataFrame, keys=SERIES, last=DELAY_MAX, step=DELAY_STEP)
     )
 
 
-def layered(intervals: DataFrame, layers: list[str], keys=("session",)) -> DataFrame:
+def layered(
+    intervals: DataFrame, layers: list[str], keys=("session",), reduced: DataFrame | None = None
+) -> DataFrame:
     """Cut the time axis at every interval edge; say which layers hold.
 
     ``intervals`` has (keys, layer, start, stop).  Rows: start, stop and one
@@ -189,7 +207,7 @@ def layered(intervals: DataFrame, layers: list[str], keys=("session",)) -> DataF
         ]
     )
     steps = scan(
-        balance(steps, keys, "t"),
+        balance(steps, keys, "t", reduced),
         keys,
         ["t"],
         stop=following("t"),
@@ -221,13 +239,16 @@ def where_layers(cut: DataFrame, condition: Column, keys=("session",)) -> DataFr
 CARDIAC_LAYERS = ["pr_xx", "hr_xx", "pr_drop", "hr_drop", "pr_alarm", "hr_alarm"]
 
 
-def cardiac_cut(intervals: DataFrame, presence: DataFrame) -> DataFrame:
+def cardiac_cut(
+    intervals: DataFrame, presence: DataFrame, reduced: DataFrame | None = None
+) -> DataFrame:
     """Layered time axis per session, with which of the two series exist.
 
     ``presence`` has one row per session (has_pr, has_hr), so the join key is
-    the session and AQE splits a hot one.
+    the session and AQE splits a hot one.  ``reduced`` are the readings the
+    intervals come from, if their sessions have been checked for size.
     """
-    return layered(intervals, CARDIAC_LAYERS).join(presence, "session")
+    return layered(intervals, CARDIAC_LAYERS, reduced=reduced).join(presence, "session")
 
 
 def cardiac_invalid(cut: DataFrame) -> DataFrame:
@@ -318,7 +339,9 @@ def drift_alerts(
     ) if "seq" not in calibrations.columns else calibrations.select(
         key, "t", "seq", F.col("value").alias("cal")
     )
-    hit = last_before(readings, cal, [key], ["cal"], inclusive=True)
+    rows = readings.select(key, "t").unionByName(cal.select(key, "t"))
+    checked = balance(rows, [key], "t")
+    hit = last_before(readings, cal, [key], ["cal"], inclusive=True, reduced=checked)
     hit = hit.where(F.col("match").isNotNull()).select(
         key, "t", "seq", "value", F.col("match.t").alias("cal_t"), F.col("match.cal").alias("cal")
     )
@@ -328,7 +351,7 @@ def drift_alerts(
         "value", F.when(invalid, F.col("cal")).when(v == -4, 240.0).when(v == -5, 40.0).otherwise(v)
     )
     keys = [key, "cal_t"]
-    hit = _gap_filled(balance(hit, keys, "t"), keys, ["t", "seq"], F.col("cal"), float(missing))
+    hit = _gap_filled(balance(hit, keys, "t", checked), keys, ["t", "seq"], F.col("cal"), float(missing))
     drift = (F.col("value") >= F.col("cal") * (1.0 + percent)) | (
         F.col("value") <= F.col("cal") * (1.0 - percent)
     )

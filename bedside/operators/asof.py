@@ -15,7 +15,7 @@ from . import slices
 from .slices import balance, filled, previous, refilled, refilled_after, scan, unsliced
 
 
-def _stack(left, right, keys, payload, axis, seq, right_first):
+def _stack(left, right, keys, payload, axis, seq, right_first, reduced=None):
     side = lambda is_left: F.lit(int(is_left == right_first))
     everything = F.struct(*[F.col(c) for c in left.columns])
     hit = F.struct(F.col(axis).alias("t"), *[F.col(c) for c in payload if c != axis])
@@ -33,7 +33,7 @@ def _stack(left, right, keys, payload, axis, seq, right_first):
         F.col(seq).cast("bigint").alias("_seq") if seq in right.columns else F.lit(0).cast("bigint").alias("_seq"),
         hit.alias("_r"),
     )
-    return balance(a.unionByName(b, allowMissingColumns=True), keys, "_t")
+    return balance(a.unionByName(b, allowMissingColumns=True), keys, "_t", reduced)
 
 
 def _answer(df, left, keys, match: Column) -> DataFrame:
@@ -51,13 +51,15 @@ def last_before(
     axis: str = "t",
     seq: str = "seq",
     open_lookback: bool = False,
+    reduced: DataFrame | None = None,
 ) -> DataFrame:
     """Each left row with the last right row before it (struct ``match``).
 
     ``lookback`` bounds the match to ``[t - lookback, t)``; ``inclusive`` also
     allows one exactly at t; ``open_lookback`` excludes the far end.
+    ``reduced`` holds the rows of both sides, if checked for size before.
     """
-    df = _stack(left, right, keys, payload, axis, seq, right_first=inclusive)
+    df = _stack(left, right, keys, payload, axis, seq, inclusive, reduced)
     df = scan(df, keys, ["_t", "_side", "_seq"], _hit=filled("_r"))
     hit = F.col("_hit")
     if lookback is not None:
@@ -76,9 +78,10 @@ def first_after(
     inclusive: bool = False,
     axis: str = "t",
     seq: str = "seq",
+    reduced: DataFrame | None = None,
 ) -> DataFrame:
     """Each left row with the first right row after it, less than ``ahead`` away."""
-    df = _stack(left, right, keys, payload, axis, seq, right_first=not inclusive)
+    df = _stack(left, right, keys, payload, axis, seq, not inclusive, reduced)
     df = scan(df, keys, ["_t", "_side", "_seq"], _hit=refilled("_r"))
     hit = F.col("_hit")
     if ahead is not None:
@@ -102,12 +105,17 @@ def cuff_pairs(bp: DataFrame, continuous: DataFrame, lookback=300.0, key="sessio
     the cuff values and the matched reading (-1 where none).
     """
     full = [key, "t", "sys", "dia", "map", "pr", "error_code"]
+    rows = bp.select(key, "t").unionByName(continuous.select(key, "t"))
+    checked = balance(rows, [key], "t")
     cuff = first_of_each(bp.select(*full, "seq"), full)
-    cuff = scan(balance(cuff, [key], "t"), [key], ["t", "seq"], _prev=previous("t"))
+    cuff = balance(cuff, [key], "t", checked)
+    cuff = scan(cuff, [key], ["t", "seq"], _prev=previous("t"))
     cuff = unsliced(cuff).withColumn(
         "delta_t", F.coalesce(F.col("t") - F.col("_prev"), F.lit(-1.0))
     ).drop("_prev")
-    hit = last_before(cuff, continuous, [key], ["sys", "dia", "map"], lookback)
+    hit = last_before(
+        cuff, continuous, [key], ["sys", "dia", "map"], lookback, reduced=checked
+    )
     none = F.lit(-1.0)
     return hit.select(
         key, "t", "delta_t", "sys", "dia", "map",
@@ -231,7 +239,7 @@ def sync_segments(anchors: DataFrame, keys=("session", "block")) -> DataFrame:
         (F.col("seq") != F.col("_end")) | (F.col("_last") >= F.col("_first"))
     )
     a = scan(
-        balance(a.drop("_first", "_last", "_end"), keys, "sn"),
+        balance(a.drop("_first", "_last", "_end"), keys, "sn", balance(anchors, keys, "sn")),
         keys,
         ["sn", "seq"],
         _sn=slices.following("sn"),
@@ -258,7 +266,9 @@ def with_time(
     segments = sync_segments(anchors, keys).select(
         *keys, "seq", "sn", "slope", F.col("t").alias("t0"), F.col("sn").alias("sn0")
     )
-    df = _stack(readings, segments, keys, ["t0", "sn0", "slope"], "sn", "seq", right_first=True)
+    rows = readings.select(*keys, "sn").unionByName(anchors.select(*keys, "sn"))
+    checked = balance(rows, keys, "sn")
+    df = _stack(readings, segments, keys, ["t0", "sn0", "slope"], "sn", "seq", True, checked)
     df = scan(
         df,
         keys,
@@ -289,9 +299,11 @@ def with_sequence(
     segments = sync_segments(anchors, keys).select(
         *keys, "seq", "t", "slope", F.col("t").alias("t0"), F.col("sn").alias("sn0")
     )
-    nxt = scan(balance(segments, keys, "t"), keys, ["t", "seq"], sn1=slices.following("sn0"))
-    segments = unsliced(nxt)
-    df = _stack(rows, segments, keys, ["t0", "sn0", "sn1", "slope"], "t", "seq", right_first=True)
+    both = rows.select(*keys, "t").unionByName(anchors.select(*keys, "t"))
+    checked = balance(both, keys, "t")
+    segments = balance(segments, keys, "t", checked)
+    segments = unsliced(scan(segments, keys, ["t", "seq"], sn1=slices.following("sn0")))
+    df = _stack(rows, segments, keys, ["t0", "sn0", "sn1", "slope"], "t", "seq", True, checked)
     df = scan(
         df, keys, ["_t", "_side", "_seq"], _before=filled("_r"), _after=refilled_after("_r")
     )

@@ -91,8 +91,9 @@ def exact_median(df: DataFrame, keys, value: str) -> DataFrame:
     Counts per (group, value) are summed map-side first; the median is read
     off their running total.
     """
+    checked = balance(df, keys, value)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    return weighted_median(counts, keys, value, "_n")
+    return weighted_median(counts, keys, value, "_n", checked)
 
 
 def robust_spread(df: DataFrame, keys, value: str) -> DataFrame:
@@ -104,14 +105,18 @@ def robust_spread(df: DataFrame, keys, value: str) -> DataFrame:
         .join(mid, list(keys))
         .withColumn("_away", F.abs(F.col(value) - F.col("_m")))
     )
-    return weighted_median(away, [*keys, "_m"], "_away", "_n").select(
+    checked = balance(df, keys, value)
+    return weighted_median(away, [*keys, "_m"], "_away", "_n", checked).select(
         *keys, F.col("_m").alias("median"), F.col("median").alias("mad")
     )
 
 
-def weighted_median(counts: DataFrame, keys, value: str, weight: str) -> DataFrame:
+def weighted_median(
+    counts: DataFrame, keys, value: str, weight: str, reduced: DataFrame | None = None
+) -> DataFrame:
+    """Median of values with counts; ``reduced`` holds the rows that were counted."""
     c = counts.groupBy(*keys, value).agg(F.sum(weight).alias("_w"))
-    c = scan(balance(c, keys, value), keys, [value], _c=running_sum("_w"))
+    c = scan(balance(c, keys, value, reduced), keys, [value], _c=running_sum("_w"))
     c = scan(c, keys, [value], _all=overall_max("_c"))
     low, high = F.floor((F.col("_all") + 1) / 2), F.floor((F.col("_all") + 2) / 2)
     holds = lambda k: (F.col("_c") >= k) & (F.col("_c") - F.col("_w") < k)

@@ -149,8 +149,11 @@ def islands(df: DataFrame, keys, order, label: str, begin: str, end: str) -> Dat
 
 def merge_intervals(df: DataFrame, keys, begin: str, end: str, touching: bool = False) -> DataFrame:
     """Union of overlapping ``[begin, end)`` rows; touching ones stay apart."""
-    df = df.groupBy(*keys, begin).agg(F.max(end).alias(end), F.count(F.lit(1)).alias("_n"))
-    df = scan(balance(df, keys, begin), keys, [begin], _reach=running_max(end))
+    df = balance(df, keys, begin)
+    df = df.groupBy(*keys, begin).agg(
+        F.max(end).alias(end), F.count(F.lit(1)).alias("_n"), *slices.kept_slice(df)
+    )
+    df = scan(df, keys, [begin], _reach=running_max(end))
     df = scan(df, keys, [begin], _before=previous("_reach"))
     apart = F.col(begin) > F.col("_before") if touching else F.col(begin) >= F.col("_before")
     new = F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0)

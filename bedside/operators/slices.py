@@ -87,6 +87,11 @@ def _big_series(df: DataFrame, keys: Sequence[str], t: str, limit: float) -> lis
     return rows
 
 
+def kept_slice(df: DataFrame) -> list[Column]:
+    """Aggregate that keeps the slice of rows grouped along the order axis."""
+    return [F.min(SLICE).alias(SLICE)] if SLICE in df.columns else []
+
+
 def unsliced(df: DataFrame) -> DataFrame:
     return df.drop(SLICE)
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import NO_SAMPLE, TICKS_PER_SECOND
+from ..session import durable
 
 BLOCK = ("session", "block")
 MAX_BLOCK_TICKS = 5_400_000
@@ -219,39 +220,36 @@ def mark_windows(
     )
 
 
-def _measure(v: np.ndarray) -> tuple[int, int] | None:
-    """Peak and stop position of the spike after a mark, or None."""
-    m = SPIKE_AT
-    at = np.arange(m + 1, m + SPIKE_WINDOW + 1)
-    bend = (v[at + 1] - v[at]) - (v[at - 1] - v[at - 2])
-    slope = max(bend.max(), -bend.min(), 0.0)
-    best = None
-    for sign in (1, -1):
+def _measure(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each window (row) holds a spike, and where it peaks and stops."""
+    rows = np.arange(len(v))
+    at = np.arange(SPIKE_AT + 1, SPIKE_AT + SPIKE_WINDOW + 1)
+    bend = (v[:, at + 1] - v[:, at]) - (v[:, at - 1] - v[:, at - 2])
+    slope = np.abs(bend).max(axis=1)
+    found = []
+    for sign in (1.0, -1.0):
         w = sign * v
+        x = w[:, at]
         top = (
-            (w[at] >= w[at - 1])
-            & (w[at] >= w[at - SPIKE_RADIUS])
-            & (w[at] > w[at + 1])
-            & (w[at] > w[at + SPIKE_RADIUS])
-            & (w[at] > w[m])
+            (x >= w[:, at - 1])
+            & (x >= w[:, at - SPIKE_RADIUS])
+            & (x > w[:, at + 1])
+            & (x > w[:, at + SPIKE_RADIUS])
+            & (x > w[:, [SPIKE_AT]])
         )
-        if top.any():
-            peaks = at[top]
-            peak = int(peaks[np.argmax(w[peaks])])
-            height = float(w[peak] - w[m])
-            if best is None or height > best[0]:
-                best = (height, sign, peak)
-    if best is None or best[0] <= SPIKE_HEIGHT:
-        return None
-    height, sign, peak = best
-    w = sign * v
-    tries = np.arange(peak + STOP_FIRST, peak + STOP_LAST)
-    turn = (w[tries] < w[tries - 1]) & (w[tries] <= w[tries + 1]) & (w[tries] <= w[tries + 3])
-    if turn.any():
-        stop = int(tries[np.argmax(turn)])
-    else:
-        stop = peak + STOP_LAST if slope >= SPIKE_SLOPE else peak
-    return (peak, stop) if w[peak] - w[stop] >= 0.5 * height else None
+        place = np.argmax(np.where(top, x, -np.inf), axis=1)
+        found.append((np.where(top.any(axis=1), x[rows, place] - w[:, SPIKE_AT], 0.0), at[place]))
+    (rise, up), (fall, down) = found
+    height = np.maximum(rise, fall)
+    w = np.where(rise >= fall, 1.0, -1.0)[:, None] * v
+    peak = np.where(rise >= fall, up, down)
+    tries = peak[:, None] + np.arange(STOP_FIRST, STOP_LAST)[None, :]
+    pick = lambda k: np.take_along_axis(w, tries + k, axis=1)
+    turn = (pick(0) < pick(-1)) & (pick(0) <= pick(1)) & (pick(0) <= pick(3))
+    late = np.where(slope >= SPIKE_SLOPE, peak + STOP_LAST, peak)
+    stop = np.where(turn.any(axis=1), tries[rows, np.argmax(turn, axis=1)], late)
+    real = (height > SPIKE_HEIGHT) & (w[rows, peak] - w[rows, stop] >= 0.5 * height)
+    return real, peak, stop
 
 
 def noise_spikes(windows: DataFrame, keys=BLOCK) -> DataFrame:
@@ -263,22 +261,18 @@ def noise_spikes(windows: DataFrame, keys=BLOCK) -> DataFrame:
 
     @F.pandas_udf(schema)
     def measure(sns: pd.Series, ppg: pd.Series) -> pd.DataFrame:
-        rows = []
-        for sn, v in zip(sns, ppg):
-            v = np.asarray(v, dtype=float)
-            found = _measure(v)
-            if found is None:
-                rows.append((None,) * 6)
-            else:
-                p, s = found
-                m = SPIKE_AT
-                rows.append((sn[m], sn[p], sn[s], v[m], v[p], v[s]))
-        out = pd.DataFrame(
-            rows, columns=["start_sn", "peak_sn", "stop_sn", "start_ppg", "peak_ppg", "stop_ppg"]
-        )
-        for c in ("start_sn", "peak_sn", "stop_sn"):
-            out[c] = out[c].astype("Int64")
-        return out
+        v = np.array(ppg.tolist(), dtype=float).reshape(len(ppg), -1)
+        sn = np.array(sns.tolist(), dtype=np.int64).reshape(len(sns), -1)
+        rows = np.arange(len(v))
+        real, peak, stop = _measure(v)
+        start = np.full(len(v), SPIKE_AT)
+        out = {}
+        for name, at in (("start", start), ("peak", peak), ("stop", stop)):
+            out[f"{name}_sn"] = np.where(real, sn[rows, at], 0)
+            out[f"{name}_ppg"] = v[rows, at]
+        return pd.DataFrame(out)[
+            ["start_sn", "peak_sn", "stop_sn", "start_ppg", "peak_ppg", "stop_ppg"]
+        ]
 
     return (
         windows.withColumn("_s", measure("sns", "ppg"))
@@ -377,14 +371,16 @@ def noise_report(
         most = c if most is None else most.join(c, list(keys), "full")
     both = F.greatest(F.coalesce("_ir", F.lit(0)), F.coalesce("_red", F.lit(0)))
     enough = most.select(*keys, both.alias("_marks")).where(F.col("_marks") - 2 >= min_marks)
-    blocks = blocks.join(enough.select(*keys), list(keys), "left_semi")
+    enough = durable(enough)
+    blocks = durable(blocks.join(enough.select(*keys), list(keys), "left_semi"))
     out, ir_density = blocks, None
     names = {
         "median_mv": "med", "upper_mv": "uqa", "lower_mv": "lqa", "whisker_mv": "limit",
         "loud": "quant", "pct_over_1": "nd1", "pct_over_2": "nd2", "pct_over_3": "nd3",
     }
     for label, light in {"ir": infrared, "red": red}.items():
-        spikes = noise_spikes(mark_windows(light, marks, keys, enough), keys)
+        # few rows, read three times below
+        spikes = durable(noise_spikes(mark_windows(light, marks, keys, enough), keys))
         density = spike_density(spikes, blocks, keys=keys)
         ir_density = density if ir_density is None else ir_density
         spikes = with_density(spikes, density, blocks, keys=keys, at="start_sn")

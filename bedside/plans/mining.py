@@ -9,6 +9,7 @@ from ..functions.codes import components
 from ..model import UPDATE_RATES, UPDATE_RATES_COMBINED, VALUE_RANGES
 from ..operators import alarms as al
 from ..operators import asof, budget, hist, ranges, runs
+from ..session import durable
 
 SPOT = ("BP_SYS", "BP_DIA", "BP_MAP")
 
@@ -44,12 +45,16 @@ def mine(
     limits: DataFrame | None = None,
     combined: bool = False,
 ) -> dict[str, DataFrame]:
-    """Result tables by name, one plan each over all sessions together."""
-    everything = series(readings, bp, cnibp)
+    """Result tables by name, one plan each over all sessions together.
+
+    What several tables read (the series, their marks, the alarms) is written
+    once and read back, so a lost executor costs a table, not the whole job.
+    """
+    everything = durable(series(readings, bp, cnibp))
     timed = everything.where(~F.col("param").isin(*SPOT))
     rate = rate_column(combined)
     slop = 0.1
-    marks = runs.numbered(runs.marked(timed, rate, slop))
+    marks = durable(runs.numbered(runs.marked(timed, rate, slop)))
     gaps = runs.dropouts(marks, rate)
     invalid = runs.state_runs(marks, rate)
     times = budget.parameter_times(timed, rate, slop).unionByName(
@@ -57,7 +62,7 @@ def mine(
         .select("session", "param", "active", "xx", "dropout", "on_network", "on_network_pct", "display_pct")
     )
     limits = limits if limits is not None else al.limit_table(spark)
-    alarms = al.threshold_alarms(everything, limits)
+    alarms = durable(al.threshold_alarms(everything, limits))
     span = F.col("stop") - F.col("start")
     value_ranges = spark.createDataFrame(
         [(p, lo, hi) for p, (lo, hi) in VALUE_RANGES.items()], "param string, low int, high int"
