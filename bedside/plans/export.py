@@ -12,7 +12,8 @@ from ..operators.asof import first_after
 NUMERICS = ["SPO2", "HR", "PR", "RR", "CNIBP_SYS", "CNIBP_DIA", "CNIBP_MAP", "BP_SYS", "BP_DIA", "BP_MAP"]
 
 
-def _cell(value: Column) -> Column:
+def value_text(value: Column) -> Column:
+    """Median of the valid readings of a group as text, else their state."""
     valid = F.when(value > -1, value)
     none_valid = F.count(valid) == 0
     invalid = F.max(((value < 0) & (value > -4)).cast("int")) == 1
@@ -29,7 +30,7 @@ def windowed_values(readings: DataFrame, spans: DataFrame, window: float, keys=(
     """Text of each window and series: median of the valid readings or their state."""
     rows = readings.join(spans.select(*keys, "t0"), list(keys))
     index = F.floor((F.col("t") - F.col("t0")) / window)
-    return rows.groupBy(*keys, "param", index.alias("window")).agg(_cell(F.col("value")).alias("text"))
+    return rows.groupBy(*keys, "param", index.alias("window")).agg(value_text(F.col("value")).alias("text"))
 
 
 def time_spans(readings: DataFrame, keys=("session",)) -> DataFrame:
