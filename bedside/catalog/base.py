@@ -169,7 +169,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     duration = F.floor("o_totalprice")
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("o_orderkey").alias("session"),
             F.col("n_name").alias("site"),

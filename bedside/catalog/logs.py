@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import log_search as ls
+from ..session import literal_table
 from . import query
 from .base import READINGS, readings, table
 
@@ -58,9 +59,9 @@ LOGS = """logs AS (SELECT 'site' || user_id % 5 AS site, event_id // 1000 AS lid
 
 def _dimensions(spark):
     return (
-        spark.createDataFrame(TEMPLATES, "id int, cipher string"),
-        spark.createDataFrame(LEVELS, "cipher string, code int"),
-        spark.createDataFrame(DEVICES, "cipher string, code int"),
+        literal_table(spark, TEMPLATES, "id int, cipher string"),
+        literal_table(spark, LEVELS, "cipher string, code int"),
+        literal_table(spark, DEVICES, "cipher string, code int"),
     )
 
 
@@ -100,6 +101,19 @@ def open_ended_search(spark, sf):
     return ls.search(logs(spark, sf), *_dimensions(spark), start="2024-01-10 12:00", order_by="device_id").select(*OUT)
 
 
+@query(
+    "L2_wanted_templates",
+    f"""WITH {LOGS} SELECT {COLS} FROM logs WHERE cipher_id = 4 OR (cipher_id = 3 AND event_type = 'view')
+      OR (cipher_id = 5 AND k = '7' AND event_type = 'click') OR (cipher_id = 1 AND event_type = 'error')""",
+)
+def wanted_templates(spark, sf):
+    """Templates with no, one and several contents; an empty content is free."""
+    wanted = literal_table(
+        spark, [(4, None), (3, ["view"]), (5, ["7", "click", ""]), (1, ["", "error"])], "id int, contents array<string>"
+    )
+    return ls.readable(ls.with_templates(logs(spark, sf), wanted), *_dimensions(spark)).select(*OUT)
+
+
 @query(
     "L2_template_conditions",
     f"""WITH {LOGS} SELECT {COLS} FROM logs WHERE cipher_id NOT IN (2, 4, 6) AND NOT list_contains(content, '7') AND NOT list_contains(content, 'view')""",
@@ -145,14 +159,14 @@ def matching_templates(spark, sf):
 
 @query(
     "C5_session_log_search",
-    f"""WITH {LOGS}, {READINGS}, b AS (SELECT session, block, min(t) AS a, max(t) AS z FROM readings WHERE session = 42 GROUP BY ALL)
-    SELECT {COLS} FROM logs WHERE device_id = 42 AND epoch_us(datetime_sent) / 1000000.0 BETWEEN (SELECT min(a) FROM b) AND (SELECT max(z) FROM b) AND cipher_id <> 2 AND cipher_id <> 4""",
+    f"""WITH {LOGS}, {READINGS}, b AS (SELECT session, min(t) AS a, max(t) AS z FROM readings GROUP BY session)
+    SELECT b.session, {COLS} FROM logs JOIN b ON b.session = device_id AND epoch_us(datetime_sent) / 1000000.0 BETWEEN a AND z WHERE cipher_id <> 2 AND cipher_id <> 4""",
 )
 def session_log_search(spark, sf):
-    """The lines of one session's devices, without two templates."""
+    """The lines of every session's device while it was on it, without two templates."""
     blocks = readings(spark, sf).groupBy("session", "block").agg(F.min("t").alias("unix_start"), F.max("t").alias("unix_stop"))
     blocks = blocks.withColumn("device_id", F.col("session"))
     out = ls.search(
-        logs(spark, sf), *_dimensions(spark), session=42, blocks=blocks, without="value,radio on", order_by="sq_num"
+        logs(spark, sf), *_dimensions(spark), blocks=blocks, without="value,radio on", order_by="sq_num"
     )
-    return out.select(*OUT)
+    return out.select("session", *OUT)

@@ -10,6 +10,7 @@ from ..plans import ingest
 from ..sources import annotations as notes
 from ..sources import packets as pk
 from ..sources import tables as stored
+from ..session import literal_table
 from . import query
 from .base import (
     ALARMS,
@@ -194,7 +195,7 @@ def packet_selection(spark, sf):
     f"""WITH {PACKETS}, sy AS (SELECT segment, sn, min(tm) AS tm FROM packets WHERE id = 1 GROUP BY ALL),
     g AS (SELECT segment, sn, tm, lead(sn) OVER w AS sn1, lead(tm) OVER w AS tm1 FROM sy WINDOW w AS (PARTITION BY segment ORDER BY sn)),
     r AS (SELECT DISTINCT id, sn AS own, tm, seq AS raw FROM packets WHERE id = 3)
-    SELECT id, r.tm, raw, min(segment) AS segment, CAST(trunc(arg_min(g.sn + (r.tm - g.tm) * (sn1 - g.sn) / (tm1 - g.tm), segment)) AS BIGINT) AS sn
+    SELECT CAST(id AS BIGINT) AS id, r.tm, raw, min(segment) AS segment, CAST(trunc(arg_min(g.sn + (r.tm - g.tm) * (sn1 - g.sn) / (tm1 - g.tm), segment)) AS BIGINT) AS sn
     FROM r JOIN g ON r.tm >= g.tm AND r.tm < tm1 WHERE sn1 IS NOT NULL AND tm1 > g.tm GROUP BY id, own, r.tm, raw""",
 )
 def logs_into_session(spark, sf):
@@ -296,7 +297,7 @@ def sequence_filter(spark, sf):
     f"""WITH {ALARMS} SELECT session, start_sn, string_agg(DISTINCT 'alarm ' || code, ' ' ORDER BY 'alarm ' || code) AS text FROM alarms WHERE code < 35 GROUP BY ALL""",
 )
 def joined_code_text(spark, sf):
-    dimension = spark.createDataFrame([(i, f"alarm {i}") for i in range(40)], "code bigint, text string")
+    dimension = literal_table(spark, [(i, f"alarm {i}") for i in range(40)], "code bigint, text string")
     a = device_alarms(spark, sf).withColumn("code", F.when(F.col("code") >= 35, 999).otherwise(F.col("code")))
     return codes.joined_text(a, dimension, ["session", "start_sn"])
 
@@ -306,7 +307,7 @@ def joined_code_text(spark, sf):
     f"""WITH {ALARMS} SELECT session, seq, code, CASE WHEN code < 30 THEN 'alarm ' || code END AS text FROM alarms""",
 )
 def decoded(spark, sf):
-    dimension = spark.createDataFrame([(i, f"alarm {i}") for i in range(30)], "code bigint, text string")
+    dimension = literal_table(spark, [(i, f"alarm {i}") for i in range(30)], "code bigint, text string")
     return codes.decoded(device_alarms(spark, sf), dimension).select("session", "seq", "code", "text")
 
 
@@ -681,7 +682,7 @@ def _annotations(spark, sf):
 def annotation_types(spark, sf):
     types = table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     a = _annotations(spark, sf).where(F.col("annotator") == "1-URGENT")
-    named = a.join(F.broadcast(types.withColumnRenamed("id", "type_id")), "type_id", "left")
+    named = a.join(types.withColumnRenamed("id", "type_id"), "type_id", "left")
     return named.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -10,6 +10,7 @@ from ..operators import budget, hist, runs
 from ..operators.slices import balance
 from ..plans import export, mining
 from ..model import DURATION_EDGES, LAST_BIN_LABEL
+from ..session import literal_table
 from . import query
 from .base import (
     ALARMS,
@@ -162,7 +163,7 @@ RANGES = [("PR", 0, 240), ("HR", 0, 240), ("SPO2", 49, 100), ("RR", 0, 50)]
     WHERE value > -1 AND floor(value) BETWEEN low AND high GROUP BY ALL""",
 )
 def value_histogram(spark, sf):
-    table = spark.createDataFrame(RANGES, "param string, low int, high int")
+    table = literal_table(spark, RANGES, "param string, low int, high int")
     return hist.value_histogram(readings(spark, sf), table)
 
 
@@ -465,7 +466,7 @@ EXPORT = READINGS + f""", {ALARMS}, tt AS (SELECT session, t FROM readings WHERE
 )
 def windowed_export(spark, sf):
     r = readings(spark, sf)
-    codes_ = spark.createDataFrame([(i, f"code {i}") for i in range(40)], "code bigint, text string")
+    codes_ = literal_table(spark, [(i, f"code {i}") for i in range(40)], "code bigint, text string")
     devices = r.groupBy("session", "block").agg(F.max("t").alias("t")).select(
         "session", "t", (F.col("block") + 100).alias("device")
     )

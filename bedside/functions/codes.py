@@ -53,9 +53,8 @@ def saturated(value: Column, high: int) -> Column:
 
 def decoded(df: DataFrame, codes: DataFrame, code: str = "code", text: str = "text") -> DataFrame:
     """Text of a code from a small (code, text) dimension; unknown codes give null."""
-    return df.join(F.broadcast(codes.select(F.col("code").alias(code), "text")), code, "left").withColumnRenamed(
-        "text", text
-    )
+    named = codes.select(F.col("code").alias(code), F.col("text").alias(text))
+    return df.join(named, code, "left")
 
 
 def joined_text(df: DataFrame, codes: DataFrame, keys, placeholder: int = 999) -> DataFrame:
@@ -65,7 +64,7 @@ def joined_text(df: DataFrame, codes: DataFrame, keys, placeholder: int = 999) -
     """
     distinct = df.where(F.col("code") < placeholder).select(*keys, "code").distinct()
     return (
-        distinct.join(F.broadcast(codes), "code")
+        distinct.join(codes, "code")
         .groupBy(*keys)
         .agg(F.array_join(F.array_sort(F.collect_set("text")), " ").alias("text"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..model import DELAY_MAX, DELAY_STEP, LEAK_PER_SECOND, LIMIT_RANGES
+from ..session import literal_table
 from . import slices
 from .runs import ORDER, SERIES
 from .slices import (
@@ -27,7 +28,7 @@ def limit_table(spark: SparkSession, ranges=None) -> DataFrame:
     """The swept limits: one row (param, kind, first, last, step) per side."""
     ranges = LIMIT_RANGES if ranges is None else ranges
     rows = [(param, kind, *span, 1)[:5] for (param, kind), span in ranges.items()]
-    return spark.createDataFrame(rows, "param string, kind string, first int, last int, step int")
+    return literal_table(spark, rows, "param string, kind string, first int, last int, step int")
 
 
 def classify(kind: str, value: Column, limit: Column) -> Column:
@@ -87,7 +88,7 @@ def state_changes(readings: DataFrame, limits: DataFrame, keys=SERIES, order=ORD
         _low=filled_before(_classified("LOW", v)),
         end_t=overall_max(t),
     )
-    df = df.join(F.broadcast(limits), "param")
+    df = df.join(limits, "param")
     kind, high = F.col("kind"), F.col("kind") == "HIGH"
     was = F.when(high, F.col("_high")).otherwise(F.col("_low"))
     now = F.when(high, _classified("HIGH", v)).otherwise(_classified("LOW", v))

@@ -39,7 +39,7 @@ def value_histogram(readings: DataFrame, ranges: DataFrame, keys=("session", "pa
     return (
         readings.where("value > -1")
         .withColumn("bin", F.col("value").cast("bigint"))
-        .join(F.broadcast(ranges), "param")
+        .join(ranges, "param")
         .where(F.col("bin").between(F.col("low"), F.col("high")))
         .groupBy(*keys, "bin")
         .agg(F.count(F.lit(1)).alias("frequency"))

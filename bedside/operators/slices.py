@@ -55,15 +55,17 @@ def balance(df: DataFrame, keys: Sequence[str], t: str, reduced: DataFrame | Non
         return df
     schema = T.StructType(
         [T.StructField(f"_b_{k}", df.schema[k].dataType) for k in keys]
-        + [T.StructField("_t0", T.DoubleType()), T.StructField("_width", T.DoubleType())]
+        + [T.StructField(c, T.DoubleType()) for c in ("_t0", "_width", "_parts")]
     )
     table = df.sparkSession.createDataFrame(rows, schema)
     same = _all(F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys)
-    index = F.floor((F.col(t).cast("double") - F.col("_t0")) / F.col("_width"))
+    # rows without a time sort first; an old finding must not yield more slices
+    index = F.coalesce(F.floor((F.col(t).cast("double") - F.col("_t0")) / F.col("_width")), F.lit(0))
+    index = F.greatest(F.lit(0), F.least(index, F.col("_parts").cast("bigint")))
     return (
         df.join(F.broadcast(table), same, "left")
-        .withColumn(SLICE, index)
-        .drop("_t0", "_width", *[f"_b_{k}" for k in keys])
+        .withColumn(SLICE, F.when(F.col("_width").isNotNull(), index))
+        .drop("_t0", "_width", "_parts", *[f"_b_{k}" for k in keys])
     )
 
 
@@ -82,8 +84,9 @@ def _big_series(df: DataFrame, keys: Sequence[str], t: str, limit: float) -> lis
     limit = max(limit, sum(r["_n"] for r in big) / (MAX_SLICES / 2))
     rows = []
     for r in big:
-        width = ((r["_t1"] or 0.0) - (r["_t0"] or 0.0)) / math.ceil(r["_n"] / limit)
-        rows.append((*(r[k] for k in keys), r["_t0"], width if width > 0 else 1.0))
+        parts = math.ceil(r["_n"] / limit)
+        width = ((r["_t1"] or 0.0) - (r["_t0"] or 0.0)) / parts
+        rows.append((*(r[k] for k in keys), r["_t0"], width if width > 0 else 1.0, float(parts)))
     return rows
 
 

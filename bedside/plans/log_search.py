@@ -60,6 +60,23 @@ def template_filter(matches: Sequence[tuple[int, Sequence[str] | None]], include
     return all_of(each)
 
 
+def with_templates(logs: DataFrame, matches: DataFrame) -> DataFrame:
+    """Lines of any matched template (id, contents) that hold its contents."""
+    m = matches.select(F.col("id").alias("_id"), F.col("contents").alias("_c"))
+    place = F.sequence(F.lit(0), F.size("_c") - 1)
+    each = F.forall(
+        place,
+        lambda k: F.coalesce(F.get("_c", k), F.lit("")).isin("")
+        | F.get("message_content", k).eqNullSafe(F.get("_c", k)),
+    )
+    holds = (
+        F.when(F.coalesce(F.size("_c"), F.lit(0)) <= 0, F.lit(True))
+        .when(F.size("_c") == 1, F.array_contains("message_content", F.get("_c", 0)))
+        .otherwise(each)
+    )
+    return logs.join(m, (logs["cipher_id"] == m["_id"]) & holds, "left_semi")
+
+
 def months(first: dt.datetime, last: dt.datetime) -> Column:
     """Partition condition for the months a range touches (year, month columns)."""
     place = F.col("year") * 12 + F.col("month")
@@ -89,15 +106,15 @@ def device_stretches(blocks: DataFrame) -> DataFrame:
     return islands(blocks, ["session"], ["block"], "device_id", "unix_start", "unix_stop")
 
 
-def logs_of_session(logs: DataFrame, blocks: DataFrame, session: int) -> DataFrame:
-    """Log lines of the devices a session was on, while it was on them."""
-    stretches = device_stretches(blocks.where(F.col("session") == session)).withColumnRenamed("stop", "end")
+def logs_of_sessions(logs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Log lines of the devices each session was on, while it was on them."""
+    stretches = device_stretches(blocks).withColumnRenamed("stop", "end")
     at = F.unix_micros("datetime_sent") / 1_000_000
     pairs = point_join(
-        logs.where(F.col("device_id").isNotNull()), stretches.select("device_id", "start", "end"),
+        logs.where(F.col("device_id").isNotNull()), stretches.select("session", "device_id", "start", "end"),
         ["device_id"], at, (F.col("start"), F.col("end")), 86_400.0,
     )
-    return pairs.select("a.*").distinct()
+    return pairs.select("b.session", "a.*").distinct()
 
 
 def readable(logs: DataFrame, templates: DataFrame, levels: DataFrame, device_types: DataFrame) -> DataFrame:
@@ -107,7 +124,7 @@ def readable(logs: DataFrame, templates: DataFrame, levels: DataFrame, device_ty
     )
     for dimension, column in ((levels, "log_level"), (device_types, "device_type")):
         named = named.join(
-            F.broadcast(dimension.select(F.col("code").alias(column), F.col("cipher").alias(f"_{column}"))), column, "left"
+            dimension.select(F.col("code").alias(column), F.col("cipher").alias(f"_{column}")), column, "left"
         ).withColumn(column, F.coalesce(f"_{column}", F.col(column).cast("string"))).drop(f"_{column}")
     return named.withColumn(
         "message", rebuilt_message(F.col("_template"), F.col("message_content"))
@@ -135,10 +152,15 @@ def search(
     """Search the logs by place, time, device, level, class and message.
 
     One scan with everything composed into its filter; site, year and month
-    prune partitions where the logs are stored by them.  The matched templates
-    of the message dictionary become conditions of the filter.
+    prune partitions where the logs are stored by them.  Lines of the wanted
+    templates are kept by a semi join with the message dictionary; unwanted
+    templates, a few entries of it, become conditions of the filter.  With
+    ``blocks`` the search is by session: one, or all of them.
     """
-    df = logs if session is None else logs_of_session(logs, blocks, session)
+    df = logs
+    if blocks is not None:
+        own = blocks if session is None else blocks.where(F.col("session") == session)
+        df = logs_of_sessions(logs, own)
     if start is not None:
         first, last, closed = time_range(start, stop)
         if {"year", "month"} <= set(df.columns):
@@ -151,8 +173,7 @@ def search(
         if value is not None:
             df = df.where(F.col(column) == value)
     if message:
-        rows = matching_templates(templates, message).select("id", "contents").collect()
-        df = df.where(template_filter([(r["id"], r["contents"]) for r in rows], True))
+        df = with_templates(df, matching_templates(templates, message))
     if without:
         rows = matching_templates(templates, without).select("id", "contents").collect()
         df = df.where(template_filter([(r["id"], r["contents"]) for r in rows], False))

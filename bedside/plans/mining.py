@@ -9,7 +9,7 @@ from ..functions.codes import components
 from ..model import UPDATE_RATES, UPDATE_RATES_COMBINED, VALUE_RANGES
 from ..operators import alarms as al
 from ..operators import asof, budget, hist, ranges, runs
-from ..session import durable
+from ..session import durable, literal_table
 
 SPOT = ("BP_SYS", "BP_DIA", "BP_MAP")
 
@@ -64,8 +64,8 @@ def mine(
     limits = limits if limits is not None else al.limit_table(spark)
     alarms = durable(al.threshold_alarms(everything, limits))
     span = F.col("stop") - F.col("start")
-    value_ranges = spark.createDataFrame(
-        [(p, lo, hi) for p, (lo, hi) in VALUE_RANGES.items()], "param string, low int, high int"
+    value_ranges = literal_table(
+        spark, [(p, lo, hi) for p, (lo, hi) in VALUE_RANGES.items()], "param string, low int, high int"
     )
     totals = budget.session_times(times)
     return {

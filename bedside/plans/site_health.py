@@ -61,10 +61,9 @@ def alarms_per_day(
     """
     hr_a = defaults.where("param = 'HR'").withColumn("param", F.lit("HR_A"))
     wanted = defaults.unionByName(hr_a).withColumnRenamed("site", "_site")
-    at_default = alarms.join(F.broadcast(wanted.select("param", "kind", "limit", "delay").distinct()),
-                             ["param", "kind", "limit", "delay"], "left_semi")
-    facts = at_default.join(eligible(sessions, first_day, last_day, min_duration), "session")
     on = ["param", "kind", "limit", "delay"]
+    at_default = alarms.join(wanted.select(*on).distinct(), on, "left_semi")
+    facts = at_default.join(eligible(sessions, first_day, last_day, min_duration), "session")
     same = reduce(lambda a, b: a & b, [F.col(f"f.{c}") == F.col(f"d.{c}") for c in on])
     facts = facts.alias("f").join(
         wanted.alias("d"), same & (F.col("f.site") == F.col("d._site")), "left_semi"

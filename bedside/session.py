@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -27,6 +29,20 @@ def build(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
     return spark
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of constants as part of the plan.
+
+    Its size is known when the query is planned, so joins with it are
+    broadcast without a hint and no Python worker is needed to read it.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    cells = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*cells)))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint.
 

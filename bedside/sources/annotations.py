@@ -18,7 +18,7 @@ def new_versions(
     """
     known = (
         changes.select("id", "version", F.explode_outer("tags").alias("tag"))
-        .join(F.broadcast(tags.select("tag").distinct().withColumn("_known", F.lit(True))), "tag", "left")
+        .join(tags.select("tag").distinct().withColumn("_known", F.lit(True)), "tag", "left")
         .groupBy("id", "version")
         .agg(F.bool_and(F.col("tag").isNull() | F.coalesce("_known", F.lit(False))).alias("_valid"))
     )
@@ -94,4 +94,4 @@ def session_annotations(annotations: DataFrame, types: DataFrame, annotator: str
     df = annotations.where((F.col("annotator") == annotator) & (F.col("session") == session))
     if block is not None:
         df = df.where(F.col("block") == block)
-    return df.join(F.broadcast(types.select(F.col("id").alias("type_id"), "name")), "type_id", "left")
+    return df.join(types.select(F.col("id").alias("type_id"), "name"), "type_id", "left")
