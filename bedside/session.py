@@ -16,6 +16,8 @@ def build(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
         .appName("bedside")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # small tables: keep all cores busy instead of merging partitions up to 1 MB
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
