@@ -24,10 +24,11 @@ from ..session import durable
 
 SLICE = "_slice"
 SLICE_ROWS = "spark.bedside.sliceRows"
-MAX_SLICES = 200_000
+MAX_SLICES = 100_000
+BINS_PER_SLICE = 8
 
 
-_SEEN: dict = {}
+_EVEN: set = set()
 
 
 def balance(df: DataFrame, keys: Sequence[str], t: str, reduced: DataFrame | None = None) -> DataFrame:
@@ -36,8 +37,8 @@ def balance(df: DataFrame, keys: Sequence[str], t: str, reduced: DataFrame | Non
     One narrow aggregation finds the series above the limit.  There are at
     most total/limit of them; when their slices would pass ``MAX_SLICES`` the
     limit is raised, so what reaches the driver and the broadcast is bounded.
-    The finding is kept per plan: any slicing along ``t`` gives right results,
-    so a finding that no longer fits the data costs balance, not correctness.
+    That a plan has no such series is remembered; should its data have grown
+    since, that costs balance, not correctness.
 
     ``reduced`` names a frame checked before that holds at least as many rows
     per key; when that needed no slices, neither does ``df``.
@@ -46,31 +47,19 @@ def balance(df: DataFrame, keys: Sequence[str], t: str, reduced: DataFrame | Non
         return df
     limit = float(df.sparkSession.conf.get(SLICE_ROWS, "4000000"))
     plan = (df.semanticHash(), *keys, t, limit)
-    if plan not in _SEEN:
-        if len(_SEEN) > 1000:
-            _SEEN.clear()
-        _SEEN[plan] = _big_series(df, keys, t, limit)
-    rows = _SEEN[plan]
+    if plan in _EVEN:
+        return df
+    rows, limit = _big_series(df, keys, t, limit)
     if not rows:
+        if len(_EVEN) > 1000:
+            _EVEN.clear()
+        _EVEN.add(plan)
         return df
-    schema = T.StructType(
-        [T.StructField(f"_b_{k}", df.schema[k].dataType) for k in keys]
-        + [T.StructField(c, T.DoubleType()) for c in ("_t0", "_width", "_parts")]
-    )
-    table = df.sparkSession.createDataFrame(rows, schema)
-    same = _all(F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys)
-    # rows without a time sort first; an old finding must not yield more slices
-    index = F.coalesce(F.floor((F.col(t).cast("double") - F.col("_t0")) / F.col("_width")), F.lit(0))
-    index = F.greatest(F.lit(0), F.least(index, F.col("_parts").cast("bigint")))
-    return (
-        df.join(F.broadcast(table), same, "left")
-        .withColumn(SLICE, F.when(F.col("_width").isNotNull(), index))
-        .drop("_t0", "_width", "_parts", *[f"_b_{k}" for k in keys])
-    )
+    return _cut(df, keys, t, rows, limit)
 
 
-def _big_series(df: DataFrame, keys: Sequence[str], t: str, limit: float) -> list[tuple]:
-    """Key, start and slice width of every series above the limit."""
+def _big_series(df: DataFrame, keys: Sequence[str], t: str, limit: float) -> tuple[list, float]:
+    """Key, start, bin width and number of bins of every series above the limit."""
     sizes = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(t).cast("double").alias("_t0"),
@@ -84,10 +73,81 @@ def _big_series(df: DataFrame, keys: Sequence[str], t: str, limit: float) -> lis
     limit = max(limit, sum(r["_n"] for r in big) / (MAX_SLICES / 2))
     rows = []
     for r in big:
-        parts = math.ceil(r["_n"] / limit)
-        width = ((r["_t1"] or 0.0) - (r["_t0"] or 0.0)) / parts
-        rows.append((*(r[k] for k in keys), r["_t0"], width if width > 0 else 1.0, float(parts)))
-    return rows
+        bins = BINS_PER_SLICE * math.ceil(r["_n"] / limit)
+        width = ((r["_t1"] or 0.0) - (r["_t0"] or 0.0)) / bins
+        rows.append((*(r[k] for k in keys), r["_t0"], width if width > 0 else 1.0, bins))
+    return rows, limit
+
+
+def _cut(df: DataFrame, keys: Sequence[str], t: str, rows: list, limit: float) -> DataFrame:
+    """Slices of about ``limit`` rows, from the row counts of fine bins.
+
+    Bins are equal in ``t``; one that holds a burst is divided again.  Bins of
+    a sparse stretch end up in one slice.  Every bin has a slice, so rows that
+    come later still fall in order.  Rows without ``t`` sort first.
+    """
+    spark = df.sparkSession
+    schema = T.StructType(
+        [T.StructField(f"_b_{k}", df.schema[k].dataType) for k in keys]
+        + [T.StructField(c, T.DoubleType()) for c in ("_t0", "_width")]
+        + [T.StructField("_bins", T.LongType())]
+    )
+    table = spark.createDataFrame(rows, schema)
+    own = [f"_b_{k}" for k in keys]
+
+    def same(columns, prefix):
+        return _all(F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in columns)
+
+    def clipped(index: Column, top: Column) -> Column:
+        return F.greatest(F.lit(0), F.least(F.coalesce(index, F.lit(0)), top))
+
+    def counted(rows_: DataFrame, columns) -> DataFrame:
+        return rows_.groupBy(*[F.col(k).alias(f"_n_{k}") for k in columns]).agg(
+            F.count(F.lit(1)).alias("_n")
+        )
+
+    at = (F.col(t).cast("double") - F.col("_t0")) / F.col("_width")
+    placed = df.join(F.broadcast(table), same(keys, "_b_"), "left").withColumn(
+        "_bin", F.when(F.col("_width").isNotNull(), clipped(F.floor(at), F.col("_bins")))
+    )
+    big = placed.where(F.col("_bin").isNotNull())
+    heavy = (
+        counted(big, [*keys, "_bin"])
+        .where(F.col("_n") > 2 * limit)
+        .withColumn("_parts", (F.ceil(F.col("_n") / F.lit(limit)) * BINS_PER_SLICE).cast("bigint"))
+        .drop("_n")
+    )
+    heavy = durable(heavy)
+    within = F.floor((at - F.col("_bin")) * F.col("_parts"))
+    placed = (
+        placed.join(F.broadcast(heavy), same([*keys, "_bin"], "_n_"), "left")
+        .withColumn("_sub", F.when(F.col("_parts").isNotNull(), clipped(within, F.col("_parts") - 1)).otherwise(F.lit(0)))
+        .select(*df.columns, "_bin", "_sub")
+    )
+    counts = counted(placed.where(F.col("_bin").isNotNull()), [*keys, "_bin", "_sub"])
+    bins = table.select(*own, F.explode(F.sequence(F.lit(0).cast("bigint"), "_bins")).alias("_b__bin"))
+    paired = _all(
+        F.col(f"_b_{k}").eqNullSafe(F.col(f"_n_{k}")) for k in [*keys, "_bin"]
+    )
+    dense = bins.join(heavy, paired, "left").select(
+        *own,
+        "_b__bin",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)).alias("_b__sub"),
+    )
+    places = [*keys, "_bin", "_sub"]
+    paired = _all(F.col(f"_b_{k}").eqNullSafe(F.col(f"_n_{k}")) for k in places)
+    before = (
+        Window.partitionBy(*own)
+        .orderBy("_b__bin", "_b__sub")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    earlier = F.coalesce(F.sum(F.coalesce("_n", F.lit(0))).over(before), F.lit(0))
+    cuts = dense.join(counts, paired, "left").select(
+        *own, "_b__bin", "_b__sub", F.floor(earlier / F.lit(limit)).alias(SLICE)
+    )
+    return placed.join(F.broadcast(durable(cuts)), same(places, "_b_"), "left").select(
+        *df.columns, SLICE
+    )
 
 
 def kept_slice(df: DataFrame) -> list[Column]:

@@ -61,3 +61,17 @@ def test_same_instants_stay_in_order(spark):
         assert [r.p for r in out.collect()] == [None, *map(float, range(9))]
     finally:
         spark.conf.unset(SLICE_ROWS)
+
+
+def test_a_burst_is_spread(spark):
+    # nine tenths of the series fall into a hundredth of its time
+    df = spark.range(1000).select(
+        F.lit(1).alias("k"),
+        F.when(F.col("id") % 10 < 9, 500 + F.col("id") / 100).otherwise(F.col("id")).cast("double").alias("t"),
+    )
+    spark.conf.set(SLICE_ROWS, "100")
+    try:
+        sizes = [r["count"] for r in balance(df, ["k"], "t").groupBy(SLICE).count().collect()]
+    finally:
+        spark.conf.unset(SLICE_ROWS)
+    assert sum(sizes) == 1000 and len(sizes) <= 11 and max(sizes) <= 200
