@@ -190,6 +190,35 @@ def packet_selection(spark, sf):
     )
 
 
+@query(
+    "S10_replaced_sessions",
+    """WITH old AS (SELECT o_custkey AS session, o_orderkey AS row_id, o_totalprice AS v FROM orders), ses AS (SELECT c_custkey AS session FROM customer WHERE c_acctbal < 2000)
+    SELECT * FROM old WHERE session NOT IN (SELECT session FROM ses) UNION ALL
+    SELECT o_custkey, -o_orderkey, o_totalprice * 2 FROM orders WHERE o_orderstatus = 'F' AND o_custkey IN (SELECT session FROM ses)""",
+)
+def replaced_sessions(spark, sf):
+    """A result table after sessions of some customers were mined again."""
+    from ..sources.sinks import replaced
+
+    o = table(spark, sf, "orders")
+    old = o.select(F.col("o_custkey").alias("session"), F.col("o_orderkey").alias("row_id"), F.col("o_totalprice").alias("v"))
+    again = table(spark, sf, "customer").where("c_acctbal < 2000").select(F.col("c_custkey").alias("session"))
+    fresh = o.where("o_orderstatus = 'F'").select(
+        F.col("o_custkey").alias("session"), (-F.col("o_orderkey")).alias("row_id"), (F.col("o_totalprice") * 2).alias("v")
+    )
+    return replaced(old, fresh.join(again, "session", "left_semi"), again)
+
+
+@query(
+    "S12_csv_columns",
+    f"""WITH {READINGS} SELECT session, block, min(t) AS t0, max(t) AS t1, string_agg(DISTINCT param, ' ' ORDER BY param) AS params FROM readings GROUP BY ALL""",
+)
+def csv_columns(spark, sf):
+    from ..sources.sinks import flat
+
+    return flat(ingest.block_spans(readings(spark, sf)))
+
+
 @query(
     "S13_logs_into_session",
     f"""WITH {PACKETS}, sy AS (SELECT segment, sn, min(tm) AS tm FROM packets WHERE id = 1 GROUP BY ALL),

@@ -20,6 +20,13 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
+def replaced(old: DataFrame, fresh: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Rows of a result table after a re-run: those of the given sessions go,
+    the fresh ones come in."""
+    kept = old.join(sessions.select("session").distinct(), "session", "left_anti")
+    return fresh.unionByName(kept)
+
+
 def replace_sessions(df: DataFrame, path: str, sessions: DataFrame, buckets: int = 256) -> None:
     """Replace the rows of the given sessions in a result table bucketed by session.
 
@@ -33,8 +40,8 @@ def replace_sessions(df: DataFrame, path: str, sessions: DataFrame, buckets: int
     old = _read(spark, path)
     if old is not None:
         old = old.join(F.broadcast(touched), "bucket", "left_semi")
-        old = durable(old.join(sessions.select("session").distinct(), "session", "left_anti"))
-        fresh = fresh.unionByName(old)
+        # the table is read and written, so its rows are set down in between
+        fresh = durable(replaced(old, fresh, sessions))
     (
         fresh.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -77,9 +84,9 @@ def upserted(existing: DataFrame, fresh: DataFrame, keys: list[str], defaults: d
     return joined.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with header, one file per partition; arrays are joined with blanks."""
-    flat = df.select(
+def flat(df: DataFrame) -> DataFrame:
+    """Columns as CSV can hold them: arrays are joined with blanks."""
+    return df.select(
         *[
             F.array_join(F.col(f.name).cast("array<string>"), " ").alias(f.name)
             if f.dataType.typeName() == "array"
@@ -87,4 +94,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
             for f in df.schema.fields
         ]
     )
-    flat.write.mode(mode).option("header", True).csv(path)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """CSV with header, one file per partition."""
+    flat(df).write.mode(mode).option("header", True).csv(path)
