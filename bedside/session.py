@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,16 +46,29 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
     return spark.range(1).select(F.inline(F.array(*cells)))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and every executor see: ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only
-    where none is named (tests on one machine) a new local folder is taken.
+    Only a session inside one machine's JVM (``local[...]``, as in tests) may
+    leave it unset and gets a folder of its own; on a cluster that is an error,
+    because other machines would not see the files.
     """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", "") or context.getConf().get("spark.checkpoint.dir", "")
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = _LOCAL.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="bedside-")
+        _LOCAL[context.applicationId] = folder
+    return folder.rstrip("/")
+
+
+_LOCAL: dict[str, str] = {}
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage through a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", "") or context.getConf().get(
-            "spark.checkpoint.dir", ""
-        )
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="bedside-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
