@@ -6,22 +6,28 @@ SQL for the same rows where SQL can express them.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_duplicates
 from .mixing import mixed
 from .store import LOWER, UPPER, table
+from .token_counts import token_counts
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_token_counts, op9_source_mixing)}
 
 ORACLES = {
     "op1_exact_dedup": f"""
