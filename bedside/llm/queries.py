@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .exact_dedup import exact_duplicates
 from .mixing import mixed
+from .packing import packed, token_pieces
 from .store import LOWER, UPPER, table
 from .token_counts import token_counts
 
@@ -19,6 +21,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -27,7 +34,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_token_counts, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op4_token_counts, op9_source_mixing)}
 
 ORACLES = {
     "op1_exact_dedup": f"""
