@@ -7,9 +7,10 @@ SQL for the same rows where SQL can express them.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language
 from .exact_dedup import exact_duplicates
 from .mixing import mixed
 from .packing import packed, token_pieces
@@ -30,11 +31,25 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def fold(parts: int) -> Column:
+    """The part of a document: CRC-32 of its id as text, modulo ``parts``; null for a row without id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(fold(3) != 1), public_tokenizers.path("piece_bpe_32k.model"))
+    held_out = F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out")
+    return docs.select("doc_id", held_out, language.identified(model, F.col("text")).alias("p")).select(
+        "doc_id", "held_out", "p.lang_pred", "p.score"
+    )
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op4_token_counts, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op4_token_counts, op8_language_id, op9_source_mixing)}
 
 ORACLES = {
     "op1_exact_dedup": f"""
