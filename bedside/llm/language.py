@@ -44,51 +44,62 @@ SAMPLE = 800
 REMEMBERED, STRETCH = 120_000, 48
 
 
-def piece_table(path: str) -> dict[str, int]:
-    """Letter pieces of the vocabulary, numbered; -1 for strings that only begin one."""
-    import sentencepiece
-
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()))
-    chosen = sorted({p for p in pieces if len(p) <= LONGEST_PIECE and (p == START or LETTERS.fullmatch(p.lstrip(START)))})
-    table = {p: i + 1 for i, p in enumerate(chosen)}  # 0 is the unknown character
-    for p in chosen:
-        for end in range(1, len(p)):
-            table.setdefault(p[:end], -1)
-    return table
+class Pieces:
+    """Letter pieces of a vocabulary as a trie in sorted arrays; piece 0 stands for an unknown character."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        found = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()))
+        chosen = sorted({p for p in found if len(p) <= LONGEST_PIECE and (p == START or LETTERS.fullmatch(p.lstrip(START)))})
+        node = {"": 0}
+        for p in chosen:
+            for end in range(1, len(p) + 1):
+                node.setdefault(p[:end], len(node))
+        keys = np.array([node[x[:-1]] << 21 | ord(x[-1]) for x in node if x], np.int64)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.nodes = np.array([n for x, n in node.items() if x], np.int64)[order]
+        self.piece = np.full(len(node), -1)
+        self.piece[[node[p] for p in chosen]] = np.arange(1, len(chosen) + 1)
+        self.size = len(chosen) + 1
+
+    def step(self, node: np.ndarray, point: np.ndarray) -> np.ndarray:
+        """The node after one more character, -1 where no piece goes on like that."""
+        key = node << 21 | point
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.nodes[at], -1)
 
 
 class Lattice:
     """All segmentations of a list of words: edges from begin to end that use a piece."""
 
-    def __init__(self, words: list[str], table: dict[str, int]):
-        self.lengths = np.array([len(w) + 1 for w in words], np.int64)
-        width = int(self.lengths.max(initial=0)) + 1
+    def __init__(self, words: list[str], table: Pieces):
+        self.lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        self.words, self.width = len(words), int(self.lengths.max(initial=0)) + 1
+        points = np.frombuffer("".join(START + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), self.lengths)
+        inside = np.arange(len(points)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        cell, left = word * self.width + inside, self.lengths[word] - inside
         begins, ends, pieces = [], [], []
-        for i, word in enumerate(words):
-            marked, base = START + word, i * width
-            size = len(marked)
-            for begin in range(size):
-                short = False
-                for end in range(begin + 1, min(size, begin + LONGEST_PIECE) + 1):
-                    piece = table.get(marked[begin:end])
-                    if piece is None:
-                        break
-                    if piece > 0:
-                        begins.append(base + begin)
-                        ends.append(base + end)
-                        pieces.append(piece)
-                        short |= end == begin + 1
-                if not short:  # every character can stand alone
-                    begins.append(base + begin)
-                    ends.append(base + begin + 1)
-                    pieces.append(0)
-        self.begin, self.end, self.piece = (np.array(x, np.int64) for x in (begins, ends, pieces))
-        self.words, self.width = len(words), width
-        self.final = np.arange(len(words)) * width + self.lengths
+        at, node = np.arange(len(points)), np.zeros(len(points), np.int64)
+        for size in range(1, LONGEST_PIECE + 1):
+            node = table.step(node, points[at + size - 1])
+            piece = np.where(node >= 0, table.piece[node], -1)
+            if size == 1:
+                piece = np.where(piece < 0, 0, piece)  # every character can stand alone
+            ok = piece >= 0
+            begins.append(cell[at[ok]])
+            ends.append(cell[at[ok]] + size)
+            pieces.append(piece[ok])
+            on = (node >= 0) & (left[at] > size)
+            at, node = at[on], node[on]
+        self.begin, self.end, self.piece = (np.concatenate(x) for x in (begins, ends, pieces))
+        self.final = np.arange(len(words)) * self.width + self.lengths
 
     def _sweep(self, share: np.ndarray, origin: np.ndarray, source: np.ndarray, goal: np.ndarray, steps: range) -> np.ndarray:
-        """Sums over paths, cells in order of position; scaled per word and position is not needed for short words."""
+        """Sums over all paths from ``origin``, one position of all words at a time."""
         cells = np.zeros((self.words * self.width, share.shape[1]))
         cells[origin] = 1.0
         order = np.argsort(goal % self.width, kind="stable")
@@ -124,7 +135,7 @@ class LanguageModel:
     """Languages, pieces and their probabilities per language."""
 
     languages: list[str]
-    table: dict[str, int]
+    table: Pieces
     share: np.ndarray
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -176,7 +187,7 @@ def _seen(name: str, languages: int) -> _Seen:
 
 def _stretches(text: str | None) -> list[str]:
     words = LETTERS.findall(text.lower()) if text else []
-    if any(len(w) > STRETCH for w in words):
+    if max(map(len, words), default=0) > STRETCH:
         words = [w[i : i + STRETCH] for w in words for i in range(0, len(w), STRETCH)]
     return words
 
@@ -202,7 +213,7 @@ def fit(
     """Learn from the rows of ``docs`` that have a text and a language."""
     rows = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"), column(lang_col).alias("lang"))
     rows = _sampled(rows.filter("text is not null and lang is not null"), sample)
-    table = piece_table(path)
+    table = Pieces(path)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,8 +232,7 @@ def fit(
         "lang-words",
     )
     languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
-    size = 1 + max(table.values())
-    model = LanguageModel(languages, table, np.full((size, max(1, len(languages))), 1.0 / size))
+    model = LanguageModel(languages, table, np.full((table.size, max(1, len(languages))), 1.0 / table.size))
     model.share[0] = UNKNOWN
     for _ in range(ROUNDS if languages else 0):
         uses = counted.mapInArrow(_expectations(model), "piece int, lang int, n double")

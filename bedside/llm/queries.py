@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language
+from . import language, quality
 from .exact_dedup import exact_duplicates
 from .mixing import mixed
 from .packing import packed, token_pieces
@@ -18,6 +18,11 @@ from .store import LOWER, UPPER, table
 from .token_counts import token_counts
 
 
+def fold(parts: int) -> Column:
+    """The part of a document: CRC-32 of its id as text, modulo ``parts``; null for a row without id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -27,13 +32,17 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
-def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(fold(4) != 2)
+    model = quality.fit(docs, labels, "quality")
+    held_out = F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")
+    scored = docs.select("doc_id", held_out, quality.scored(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
-def fold(parts: int) -> Column:
-    """The part of a document: CRC-32 of its id as text, modulo ``parts``; null for a row without id."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +58,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op4_token_counts, op8_language_id, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op8_language_id, op9_source_mixing)}
 
 ORACLES = {
     "op1_exact_dedup": f"""
