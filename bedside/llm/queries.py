@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from . import language, quality
 from .exact_dedup import exact_duplicates
 from .mixing import mixed
+from .near_dedup import near_duplicates
 from .packing import packed, token_pieces
 from .store import LOWER, UPPER, table
 from .token_counts import token_counts
@@ -45,6 +46,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.filter(fold(3) != 1), public_tokenizers.path("piece_bpe_32k.model"))
@@ -58,7 +63,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op8_language_id, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op5_minhash_near_dedup, op8_language_id, op9_source_mixing)}
 
 ORACLES = {
     "op1_exact_dedup": f"""

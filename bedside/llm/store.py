@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def portions(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iter
     """Cut batches where the bytes of a text column pass ``limit``; a longer single text stays whole."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = [n or 0 for n in pa.compute.binary_length(texts).to_pylist()]
+        sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
         begin, held = 0, 0
         for i, n in enumerate(sizes):
             if held and held + n > limit:

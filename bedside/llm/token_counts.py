@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .merges import PairMerges
@@ -129,7 +130,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64()),
+                    pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()),
                     pa.array(tokens, pa.int64()),
                     pa.array([n > limit for n in tokens], pa.bool_()),
                 ],
