@@ -15,6 +15,7 @@ from .exact_dedup import exact_duplicates
 from .mixing import mixed
 from .near_dedup import near_duplicates
 from .packing import packed, token_pieces
+from .pivot_search import top_k
 from .store import LOWER, UPPER, table
 from .token_counts import token_counts
 
@@ -50,6 +51,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op6_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256.0)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.filter(fold(3) != 1), public_tokenizers.path("piece_bpe_32k.model"))
@@ -63,9 +68,17 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op5_minhash_near_dedup, op8_language_id, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op5_minhash_near_dedup, op6_pivot_top_k, op8_language_id, op9_source_mixing)}
 
 ORACLES = {
+    "op6_pivot_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op1_exact_dedup": f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS normal FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
