@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from . import language, quality
 from .exact_dedup import exact_duplicates
+from .html_text import extracted
 from .mixing import mixed
 from .near_dedup import near_duplicates
 from .packing import packed, token_pieces
@@ -68,7 +69,11 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op5_minhash_near_dedup, op6_pivot_top_k, op8_language_id, op9_source_mixing)}
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op5_minhash_near_dedup, op6_pivot_top_k, op8_language_id, op9_source_mixing, op10_html_extraction)}
 
 ORACLES = {
     "op6_pivot_top_k": """
