@@ -16,6 +16,7 @@ from .html_text import extracted
 from .mixing import mixed
 from .near_dedup import near_duplicates
 from .packing import packed, token_pieces
+from .pii import surrogates
 from .pivot_search import top_k
 from .store import LOWER, UPPER, table
 from .token_counts import token_counts
@@ -56,6 +57,10 @@ def op6_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256.0)
 
 
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates(table(spark, sf_dir, "documents"), key="corpus release 1")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.filter(fold(3) != 1), public_tokenizers.path("piece_bpe_32k.model"))
@@ -73,7 +78,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op5_minhash_near_dedup, op6_pivot_top_k, op8_language_id, op9_source_mixing, op10_html_extraction)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op5_minhash_near_dedup, op6_pivot_top_k, op7_pii_surrogates, op8_language_id, op9_source_mixing, op10_html_extraction)}
 
 ORACLES = {
     "op6_pivot_top_k": """
