@@ -6,15 +6,29 @@ that the stage before it kept.  All but the last return the columns of documents
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bedside.llm import exact_dedup, mixing
-from bedside.llm.store import settle, table
+from bedside.llm import exact_dedup, language, mixing, near_dedup, packing
+from bedside.llm.store import column, settle, spread, table, whole_row
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null text or no letter) go."""
+    model = language.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    rows = docs.select(whole_row(docs).alias("row"), language.identified(model, column("text").cast("string")).alias("found"))
+    return spread(rows.filter(F.col("found.lang_pred") != language.UND), "row", docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z in lower case) the document with the smallest id stays."""
-    return exact_dedup.without_copies(docs)
+    return exact_dedup.without_copies(docs, keep="smallest")
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts linked by a similarity of 0.8 or more over five-word shingles the smallest id stays."""
+    return near_dedup.without_near_copies(docs, shingle=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +36,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixture(docs)
 
 
-STAGES = [("exact dedup", exact), ("mixing", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of at most 4096 ids with their sequence and place in it."""
+    return packing.packed(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1))
+
+
+STAGES = [
+    ("language id", identify),
+    ("exact dedup", exact),
+    ("minhash near-dedup", near),
+    ("source mixing", mix),
+    ("best-fit packing", pack),
+]
 
 ORACLE_SQL = None
 
