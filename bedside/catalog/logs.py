@@ -74,10 +74,9 @@ def dictionary_text(spark, sf):
     return ls.readable(logs(spark, sf), *_dimensions(spark)).select(*OUT)
 
 
-@query("L4_rebuilt_message", f"WITH {LOGS} SELECT sq_num, message FROM logs WHERE cipher_id = 5")
+@query("L4_rebuilt_message", f"WITH {LOGS} SELECT sq_num, CAST(cipher_id AS INT) AS cipher_id, message FROM logs")
 def rebuilt_message(spark, sf):
-    out = ls.readable(logs(spark, sf).where("cipher_id = 5"), *_dimensions(spark))
-    return out.select("sq_num", "message")
+    return ls.readable(logs(spark, sf), *_dimensions(spark)).select("sq_num", "cipher_id", "message")
 
 
 @query(

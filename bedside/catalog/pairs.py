@@ -144,14 +144,14 @@ def time_axis(spark, sf):
     f"""WITH {AXIS}, r AS (SELECT session, block, seq, t FROM readings WHERE param = 'RR'), lastsn AS (SELECT session, block, max(sn) AS sn FROM anchors GROUP BY ALL),
     j AS (SELECT r.session, r.block, r.seq, r.t, s.sn AS a, s.t AS ta, s.sn1, s.t1 FROM r ASOF LEFT JOIN segs s ON r.session = s.session AND r.block = s.block AND r.t >= s.t),
     m AS (SELECT j.*, CASE WHEN a IS NULL THEN f.sn0 WHEN sn1 IS NULL THEN a ELSE a + (j.t - ta) / ((t1 - ta) / (sn1 - a)) END AS x
-      FROM j JOIN firsts f ON f.session = j.session AND f.block = j.block)
+      FROM j LEFT JOIN firsts f ON f.session = j.session AND f.block = j.block)
     SELECT session, block, seq, CAST(round_even(x, 0) AS BIGINT) AS sn FROM m""",
 )
 def sequence_of_time(spark, sf):
     r = readings(spark, sf)
     rows = r.where("param = 'RR'").select("session", "block", "seq", "t")
     out = asof.with_sequence(rows, _anchors(r))
-    return out.where("sn is not null").select("session", "block", "seq", "sn")
+    return out.select("session", "block", "seq", "sn")
 
 
 @query(
@@ -166,14 +166,12 @@ def robust_spread(spark, sf):
 
 @query(
     "A23_standardised",
-    f"""WITH {READINGS} SELECT session, param, seq, round((value - avg(value) OVER w) / stddev_pop(value) OVER w, 6) AS z FROM readings
-    WINDOW w AS (PARTITION BY session, param) QUALIFY stddev_pop(value) OVER w > 0""",
+    f"""WITH {READINGS} SELECT session, param, seq, CASE WHEN stddev_pop(value) OVER w > 0 THEN round((value - avg(value) OVER w) / stddev_pop(value) OVER w, 6) END AS z FROM readings
+    WINDOW w AS (PARTITION BY session, param)""",
 )
 def standardised(spark, sf):
     out = hist.standardised(readings(spark, sf), ["session", "param"], "value")
-    return out.where("z is not null and not isnan(z)").select(
-        "session", "param", "seq", F.round("z", 6).alias("z")
-    )
+    return out.select("session", "param", "seq", F.round("z", 6).alias("z"))
 
 
 CALIBRATION = PRESSURES + """, cal AS (SELECT session, seq AS cal_id, t AS t_stop, t - (sn - (sn - 3000 - seq % 700 * 500)) / 500.0 AS start FROM bp),

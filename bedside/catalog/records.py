@@ -492,18 +492,18 @@ def session_files(spark, sf):
 @query(
     "P19_typed_readings",
     f"""WITH {PACKETS}, p AS (SELECT *, ['TIME_SYNC', 'PR', 'HR', 'SPO2', 'RR'][id] AS param FROM packets)
-    SELECT session, param, sn, NULL::DOUBLE AS t, value FROM p WHERE id IN (2, 3)
-    UNION ALL SELECT session, 'PR', sn, NULL, CAST(seq AS DOUBLE) FROM p WHERE id = 4
-    UNION ALL SELECT session, 'TIME_SYNC', sn, tm / 1000.0, CAST(device AS DOUBLE) FROM p WHERE id = 1
-    UNION ALL SELECT session, 'ANALYTICS_' || seq % 3, sn, tm / 1000.0, value FROM p WHERE id = 5""",
+    SELECT session, param, sn, NULL::DOUBLE AS t, CAST(f AS INT) AS field, CASE f WHEN 0 THEN value WHEN 1 THEN value * 2 ELSE value + 1 END AS value FROM p, range(3) g(f) WHERE id IN (2, 3)
+    UNION ALL SELECT session, 'PR', sn, NULL, CAST(f AS INT), CAST(seq + f AS DOUBLE) FROM p, range(2) g(f) WHERE id = 4
+    UNION ALL SELECT session, 'TIME_SYNC', sn, tm / 1000.0, 0, CAST(device AS DOUBLE) FROM p WHERE id = 1
+    UNION ALL SELECT session, 'ANALYTICS_' || seq % 3, sn, tm / 1000.0, 0, value FROM p WHERE id = 5""",
 )
 def typed_readings(spark, sf):
     """Pass-through packets share the name PR with a numeric family; both stay."""
     p = _packets(spark, sf)
     names = F.array(*[F.lit(x) for x in ("TIME_SYNC", "PR", "HR", "SPO2", "RR")])
     p = p.withColumn("param", F.get(names, F.col("id").cast("int") - 1))
-    numeric = p.where("id in (2, 3)").withColumn("values", F.array("value"))
-    passed = p.where("id = 4").withColumn("param", F.lit("PR")).withColumn("values", F.array(F.lit(0.0), F.col("seq").cast("double")))
+    numeric = p.where("id in (2, 3)").withColumn("values", F.array("value", F.col("value") * 2, F.col("value") + 1))
+    passed = p.where("id = 4").withColumn("param", F.lit("PR")).withColumn("values", F.array(F.lit(0.0), F.col("seq").cast("double"), F.col("seq") + 1.0))
     syncs = p.where("id = 1").withColumn("tm_ms", F.col("tm"))
     extra = p.where("id = 5").withColumn("tm_ms", F.col("tm")).withColumn("subtype", F.col("seq") % 3)
     return pk.typed_readings(numeric, passed, syncs, extra.withColumn("values", F.array("value")))

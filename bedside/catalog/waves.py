@@ -185,11 +185,10 @@ def crossing_share(spark, sf):
     "U7_leakage",
     f"""WITH {VECTORS}, p AS (SELECT vec_id, a, CAST(round_even(2.0 * 3.14159265 * list_sum(list_transform(a[2:63], lambda x: abs(x)))
       / list_sum(list_transform(range(2, 65), lambda i: abs(a[i] - a[i - 1]))) / 2, 0) AS BIGINT) AS h FROM v)
-    SELECT vec_id, round(list_sum(list_transform(range(h + 1, 65), lambda i: abs(a[i] + a[i - h]))) / list_sum(list_transform(range(h + 1, 65), lambda i: abs(a[i]) + abs(a[i - h]))), 6) AS leakage FROM p WHERE h < 64""",
+    SELECT vec_id, CASE WHEN h < 64 THEN round(list_sum(list_transform(range(h + 1, 65), lambda i: abs(a[i] + a[i - h]))) / list_sum(list_transform(range(h + 1, 65), lambda i: abs(a[i]) + abs(a[i - h]))), 6) END AS leakage FROM p""",
 )
 def leakage(spark, sf):
-    out = _signal(spark, sf).select("vec_id", F.round(ft.leakage(F.col("a")), 6).alias("leakage"))
-    return out.where("leakage is not null")
+    return _signal(spark, sf).select("vec_id", F.round(ft.leakage(F.col("a")), 6).alias("leakage"))
 
 
 @query(
@@ -212,16 +211,14 @@ def cosine_similarity(spark, sf):
     m AS (SELECT n.session, n.block, n.sn, n.pos FROM b JOIN n ON n.session = b.session AND n.block = b.block AND n.sn = b.sn WHERE n.pos > 21),
     w AS (SELECT m.session, m.block, m.sn, list(CAST(n.value AS DOUBLE) ORDER BY n.pos) AS w FROM m JOIN n ON n.session = m.session AND n.block = m.block AND n.pos BETWEEN m.pos - 20 AND m.pos + 19 GROUP BY ALL),
     l AS (SELECT b.*, w.w, lag(w.w) OVER (PARTITION BY b.session, b.block ORDER BY b.sn) AS p FROM b LEFT JOIN w ON w.session = b.session AND w.block = b.block AND w.sn = b.sn),
-    s AS (SELECT session, block, sn, CASE WHEN p IS NULL OR w IS NULL THEN NULL WHEN len(p) <> len(w) THEN -1 ELSE list_dot_product(p, w) / nullif(sqrt(list_dot_product(p, p)) * sqrt(list_dot_product(w, w)), 0)
-      END AS x FROM (SELECT *, CASE WHEN len(p) = len(w) THEN p END AS pp FROM l) WHERE len(p) = len(w) OR p IS NULL OR w IS NULL)
+    s AS (SELECT session, block, sn, CASE WHEN p IS NULL OR w IS NULL THEN NULL WHEN len(p) <> len(w) THEN -1 ELSE list_dot_product(pp, w) / nullif(sqrt(list_dot_product(p, p)) * sqrt(list_dot_product(w, w)), 0)
+      END AS x FROM (SELECT *, CASE WHEN len(p) = len(w) THEN p ELSE w END AS pp FROM l))
     SELECT session, block, sn, round(x, 6) AS similarity, CASE WHEN x >= 0.6 THEN 1 ELSE 0 END AS good FROM s""",
 )
 def beat_similarity(spark, sf):
     s = samples(spark, sf).drop("i")
     beats = s.where("sn % 50 = 0").select("session", "block", "sn")
-    out = ft.beat_similarity(beats, s)
-    # a beat whose window is cut by the end of its block has one of another length
-    return out.where("similarity is null or similarity <> -1.0").select(
+    return ft.beat_similarity(beats, s).select(
         "session", "block", "sn", F.round("similarity", 6).alias("similarity"), "good"
     )
 
@@ -237,7 +234,7 @@ def rhythm_updates(spark, sf):
     w = w.withColumn("drr", drr).withColumn("good", F.transform("rr", lambda x: (x > 5).cast("int"))).withColumn("leads", F.transform("rr", lambda x: F.lit(1)))
     hr = r.select("session", "t")
     return ft.rhythm_updates(
-        w, hr, 6, (1.0, 1.0), (0.5, 0.5), lambda a, b: (a > -2) & (b > -1), update_seconds=864000.0, longest_gap=1e7
+        w, hr, 6, (1.0, 1.0), (0.5, 0.5), lambda a, b: (a > -2) & (b > -1), update_seconds=864000.0, longest_gap=1e7, no_entropy=-10.0
     )
 
 
@@ -286,8 +283,6 @@ NOISE = f"""{READINGS}, blocks AS (SELECT session, block, min(sn) AS sn_start, m
 def _spikes(spark, sf):
     r = readings(spark, sf)
     blocks = r.groupBy("session", "block").agg(F.min("sn").alias("sn_start"), F.max("sn").alias("sn_stop"))
-    # binding: short blocks, so that a handful of spikes passes the screen
-    blocks = blocks.withColumn("sn_stop", F.col("sn_start") + F.least(F.col("sn_stop") - F.col("sn_start"), F.lit(20000)))
     spikes = r.where("param <> 'PR'").select(
         "session", "block", F.col("sn").alias("start_sn"), F.lit(0.0).alias("start_ppg"), (F.col("value") * 40).alias("peak_ppg"),
         (F.col("seq") % 4).cast("double").alias("density"),
@@ -298,7 +293,7 @@ def _spikes(spark, sf):
 
 @query(
     "A15_noise_statistics",
-    f"""WITH {NOISE}, b AS (SELECT session, block, sn_start, sn_start + least(sn_stop - sn_start, 20000) AS sn_stop FROM blocks),
+    f"""WITH {NOISE}, b AS (SELECT * FROM blocks),
     a AS (SELECT session, block, abs(p - s) * (3300.0::DOUBLE / 65535) AS amp FROM spk WHERE density > 1),
     m AS (SELECT session, block, median(amp) AS mid, count(*) AS n FROM a GROUP BY ALL),
     h AS (SELECT a.session, a.block, mid, n, median(CASE WHEN amp > mid THEN amp END) AS up, median(CASE WHEN amp < mid THEN amp END) AS down, count(CASE WHEN amp >= 6 THEN 1 END) AS loud
@@ -306,12 +301,13 @@ def _spikes(spark, sf):
     w AS (SELECT a.session, a.block, max(CASE WHEN amp <= up + 1.5 * (up - down) THEN amp END) AS whisker FROM a JOIN h ON h.session = a.session AND h.block = a.block GROUP BY ALL),
     d AS (SELECT session, block, 100.0 * count(CASE WHEN seq % 4 >= 1 THEN 1 END) / count(*) AS d1, 100.0 * count(CASE WHEN seq % 4 >= 2 THEN 1 END) / count(*) AS d2, 100.0 * count(CASE WHEN seq % 4 >= 3 THEN 1 END) / count(*) AS d3
       FROM readings WHERE param = 'PR' GROUP BY ALL),
-    j AS (SELECT b.session, b.block, (sn_stop - sn_start) / 30000.0 * 3 < coalesce(n, 0) AS ok, mid, up, down, whisker, loud, d1, d2, d3 FROM b
+    j AS (SELECT b.session, b.block, (sn_stop - sn_start) / 30000.0 * 0.15 < coalesce(n, 0) AS ok, mid, up, down, whisker, loud, d1, d2, d3 FROM b
       LEFT JOIN h ON h.session = b.session AND h.block = b.block LEFT JOIN w ON w.session = b.session AND w.block = b.block LEFT JOIN d ON d.session = b.session AND d.block = b.block)
     SELECT session, block, {', '.join(f"round(CASE WHEN ok THEN CAST({x} AS DOUBLE) ELSE 0 END, 6) AS {n}" for x, n in {'mid': 'median_mv', 'up': 'upper_mv', 'down': 'lower_mv', 'whisker': 'whisker_mv', 'loud': 'loud', 'd1': 'pct_over_1', 'd2': 'pct_over_2', 'd3': 'pct_over_3'}.items())} FROM j""",
 )
 def noise_statistics(spark, sf):
-    out = wf.noise_statistics(*_spikes(spark, sf))
+    # readings are a day apart here, so a handful of spikes has to pass the screen
+    out = wf.noise_statistics(*_spikes(spark, sf), per_minute=0.15)
     return out.select("session", "block", *[F.round(c, 6).alias(c) for c in out.columns[2:]])
 
 

@@ -395,6 +395,7 @@ def rhythm_updates(
     update_seconds: float = 30.0,
     longest_gap: float = 5.0,
     keys=("session",),
+    no_entropy: float | None = None,
 ) -> DataFrame:
     """Rhythm code per update and the start of the stretch it belongs to.
 
@@ -404,6 +405,7 @@ def rhythm_updates(
     newest beat is stale; poor signal with too few good beats; otherwise the
     z-scored entropy and variability of the last beats go to ``score``, a
     function from two columns to a boolean column (an MLlib or pandas model).
+    An entropy that is missing goes as null, or as ``no_entropy`` if given.
     """
     w = windows.withColumn("_t0", F.array_min("ts")).withColumn("_t1", F.array_max("ts"))
     from .ranges import point_join
@@ -427,7 +429,8 @@ def rhythm_updates(
     squares = total(F.transform("_drr", lambda d: d * d))
     w = w.withColumn("entropy", sample_entropy(F.col("_drr")))
     w = w.withColumn("variability", F.try_divide(F.sqrt(F.try_divide(squares, F.size("_drr") - 1)), mean(F.col("_rr"))))
-    z0 = (F.coalesce("entropy", F.lit(-1.0)) - centre[0]) / scale[0]
+    entropy = F.col("entropy") if no_entropy is None else F.coalesce("entropy", F.lit(float(no_entropy)))
+    z0 = (entropy - centre[0]) / scale[0]
     z1 = (F.col("variability") - centre[1]) / scale[1]
     invalid = (
         F.col("_t1").isNull()
@@ -439,7 +442,7 @@ def rhythm_updates(
         F.when(F.coalesce(invalid, F.lit(True)), INVALID)
         .when(F.size("rr") < n, NO_RHYTHM)
         .when(F.size("_good") < n, POOR_SIGNAL)
-        .when(F.coalesce(F.col("variability") > 0, F.lit(False)), F.when(score(z0, z1), FIBRILLATION).otherwise(NO_RHYTHM))
+        .when(F.coalesce(F.col("variability") > 0, F.lit(False)), F.when(F.coalesce(score(z0, z1), F.lit(False)), FIBRILLATION).otherwise(NO_RHYTHM))
         .otherwise(INVALID)
     )
     w = w.select(*keys, "update", "stop", code.alias("code"), "entropy", "variability")

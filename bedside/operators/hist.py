@@ -128,7 +128,7 @@ def weighted_median(
 
 
 def standardised(df: DataFrame, keys, value: str) -> DataFrame:
-    """Value minus the group mean over the population deviation.
+    """Value minus the group mean over the population deviation; null in a group without spread.
 
     The moments are one partially aggregated row per group; joining them back
     on a hot group is left to the skew handling of adaptive execution.
@@ -136,7 +136,7 @@ def standardised(df: DataFrame, keys, value: str) -> DataFrame:
     moments = df.groupBy(*keys).agg(
         F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd")
     )
-    z = (F.col(value) - F.col("_mean")) / F.col("_sd")
+    z = F.when(F.col("_sd") > 0, (F.col(value) - F.col("_mean")) / F.col("_sd"))
     return df.join(moments, list(keys)).withColumn("z", z).drop("_mean", "_sd")
 
 

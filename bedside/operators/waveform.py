@@ -15,7 +15,6 @@ from ..model import NO_SAMPLE, TICKS_PER_SECOND
 from ..session import durable
 
 BLOCK = ("session", "block")
-MAX_BLOCK_TICKS = 5_400_000
 RAIL = 2**23 - 32
 
 
@@ -92,8 +91,8 @@ def clipped(value: Column, rail: int = RAIL, code: int = RAIL) -> Column:
 
 
 def merged_ecg(samples: DataFrame, leads: list[str], keys=BLOCK) -> DataFrame:
-    """Leads merged on the tick grid, clipped at the rails; long blocks left out."""
-    wide = leads_wide(samples, leads, keys, missing=RAIL, max_ticks=MAX_BLOCK_TICKS)
+    """Leads merged on the tick grid, clipped at the rails."""
+    wide = leads_wide(samples, leads, keys, missing=RAIL)
     return wide.select(*keys, "sn", *[clipped(F.col(n)).alias(n) for n in leads])
 
 
@@ -286,11 +285,13 @@ MILLIVOLTS = 3300.0 / 65535.0
 LOUD_MILLIVOLTS, FALSE_SPIKES_PER_MINUTE, MIN_DENSITY = 6.0, 3.0, 1.0
 
 
-def noise_statistics(spikes: DataFrame, density: DataFrame, blocks: DataFrame, keys=BLOCK) -> DataFrame:
+def noise_statistics(
+    spikes: DataFrame, density: DataFrame, blocks: DataFrame, keys=BLOCK, per_minute: float = FALSE_SPIKES_PER_MINUTE
+) -> DataFrame:
     """Box-plot statistics of spike amplitudes per block.
 
     Only spikes in windows denser than one per second count; a block with too
-    few of them (three per minute) gives zeros.  ``spikes`` carry ``density``.
+    few of them (``per_minute``) gives zeros.  ``spikes`` carry ``density``.
     """
     amp = F.abs(F.col("peak_ppg") - F.col("start_ppg")) * MILLIVOLTS
     dense = spikes.where(F.col("density") > MIN_DENSITY).withColumn("_amp", amp)
@@ -320,7 +321,7 @@ def noise_statistics(spikes: DataFrame, density: DataFrame, blocks: DataFrame, k
         .join(windows, list(keys), "left")
     )
     minutes = (F.col("sn_stop") - F.col("sn_start")) / (TICKS_PER_SECOND * 60.0)
-    enough = minutes * FALSE_SPIKES_PER_MINUTE < F.coalesce("_n", F.lit(0))
+    enough = minutes * per_minute < F.coalesce("_n", F.lit(0))
     cell = lambda c, name: F.when(enough, F.col(c).cast("double")).otherwise(F.lit(0.0)).alias(name)
     return out.select(
         *keys,

@@ -55,29 +55,30 @@ def active_alarms(packets: DataFrame, placeholder: int = 999) -> tuple[DataFrame
 def typed_readings(numeric: DataFrame, passed: DataFrame, syncs: DataFrame, analytics: DataFrame) -> DataFrame:
     """Decoded packets of every family as one readings frame.
 
-    Families that share a series name are united.  ``numeric`` carries
-    ``values``; pass-through packets skip their first field; sync packets carry
+    Families that share a series name are united.  A packet gives one row per
+    field, ``field`` counting from 0: ``numeric`` and analytics packets carry
+    ``values``, pass-through packets skip their first one.  Sync packets carry
     milliseconds; analytics rows carry their own time.
     """
-    first = lambda c: F.get(c, 0).cast("double")
-    out = numeric.select("session", "param", "sn", F.lit(None).cast("double").alias("t"), first("values").alias("value"))
-    skip = passed.select(
-        "session", "param", "sn", F.lit(None).cast("double").alias("t"), F.get("values", 1).cast("double").alias("value")
-    )
+
+    def fields(packets: DataFrame, param, t, first: int = 0) -> DataFrame:
+        rest = F.slice("values", first + 1, F.greatest(F.size("values") - first, F.lit(0)))
+        return packets.select("session", param, "sn", t.alias("t"), F.posexplode(rest).alias("field", "value")).withColumn(
+            "value", F.col("value").cast("double")
+        )
+
+    untimed, timed = F.lit(None).cast("double"), F.col("tm_ms") / 1000.0
+    out = fields(numeric, F.col("param"), untimed)
+    skip = fields(passed, F.col("param"), untimed, 1)
     sync = syncs.select(
         "session",
         F.lit("TIME_SYNC").alias("param"),
         "sn",
-        (F.col("tm_ms") / 1000.0).alias("t"),
+        timed.alias("t"),
+        F.lit(0).alias("field"),
         F.col("device").cast("double").alias("value"),
     )
-    extra = analytics.select(
-        "session",
-        F.concat(F.lit("ANALYTICS_"), F.col("subtype")).alias("param"),
-        "sn",
-        (F.col("tm_ms") / 1000.0).alias("t"),
-        first("values").alias("value"),
-    )
+    extra = fields(analytics, F.concat(F.lit("ANALYTICS_"), F.col("subtype")).alias("param"), timed)
     for part in (skip, sync, extra):
         out = out.unionByName(part)
     return out

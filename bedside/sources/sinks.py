@@ -9,8 +9,16 @@ from pyspark.sql.utils import AnalysisException
 from ..session import durable
 
 
-def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Write results so that a re-run replaces exactly the partitions it covers."""
+def replace_partitions(df: DataFrame, path: str, by: list[str], covered: DataFrame | None = None) -> None:
+    """Write results so that a re-run replaces exactly the partitions it covers.
+
+    ``covered`` lists the partitions of the run; one of them that gets no row
+    loses the rows it had.
+    """
+    if covered is not None:
+        df = durable(df)
+        emptied = covered.select(*by).distinct().join(df.select(*by).distinct(), by, "left_anti")
+        _drop_partitions(df.sparkSession, path, by, emptied)
     (
         df.repartition(*by)
         .write.mode("overwrite")
@@ -20,6 +28,16 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
+def _drop_partitions(spark: SparkSession, path: str, by: list[str], emptied: DataFrame) -> None:
+    """Delete partition folders; their number is that of the partitions of one run."""
+    jvm = spark._jvm
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in emptied.toLocalIterator():
+        folder = "/".join(name(c, None if row[c] is None else str(row[c])) for c in by)
+        files.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"), True)
+
+
 def replaced(old: DataFrame, fresh: DataFrame, sessions: DataFrame) -> DataFrame:
     """Rows of a result table after a re-run: those of the given sessions go,
     the fresh ones come in."""
@@ -31,7 +49,8 @@ def replace_sessions(df: DataFrame, path: str, sessions: DataFrame, buckets: int
     """Replace the rows of the given sessions in a result table bucketed by session.
 
     Rows of other sessions in the touched buckets are read back, kept and
-    written with the new ones; buckets without a listed session stay untouched.
+    written with the new ones; buckets without a listed session stay untouched,
+    and a touched bucket that is left without rows is deleted.
     """
     spark = df.sparkSession
     bucket = F.pmod(F.hash("session"), F.lit(buckets)).alias("bucket")
@@ -42,6 +61,7 @@ def replace_sessions(df: DataFrame, path: str, sessions: DataFrame, buckets: int
         old = old.join(F.broadcast(touched), "bucket", "left_semi")
         # the table is read and written, so its rows are set down in between
         fresh = durable(replaced(old, fresh, sessions))
+        _drop_partitions(spark, path, ["bucket"], touched.join(fresh.select("bucket").distinct(), "bucket", "left_anti"))
     (
         fresh.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -51,9 +71,12 @@ def replace_sessions(df: DataFrame, path: str, sessions: DataFrame, buckets: int
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, None if there is none yet; any other trouble is an error."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

@@ -14,6 +14,7 @@ from bedside.sources import annotations as notes
 from bedside.sources import packets as pk
 from bedside.sources import sinks, tables
 from bedside.sources.logs_text import read_log_text
+from bedside.sources.tables import page, page_after, select_readings
 
 
 def readings(spark):
@@ -29,8 +30,11 @@ def test_saved_readings_come_back_pruned(spark, tmp_path):
     path = str(tmp_path / "readings")
     tables.save_readings(readings(spark), path, buckets=4)
     many = tables.load_readings(spark, path, sessions=[1], params=["HR", "ECG"], buckets=4)
-    # several blocks: no waveforms, but always the time sync
-    assert {r.param for r in many.select("param").collect()} == {"HR", "TIME_SYNC"}
+    # what is named comes, and always the time sync
+    assert {r.param for r in many.select("param").collect()} == {"HR", "ECG", "TIME_SYNC"}
+    # several blocks and nothing named: no waveforms
+    rest = tables.load_readings(spark, path, sessions=[1], buckets=4)
+    assert {r.param for r in rest.select("param").collect()} == {"HR", "TIME_SYNC"}
     one = tables.load_readings(spark, path, sessions=[1], blocks=[0], params=["ECG"], buckets=4)
     assert {r.param for r in one.select("param").collect()} == {"ECG", "TIME_SYNC"}
     plan = one._jdf.queryExecution().toString()
@@ -202,3 +206,67 @@ def test_recode_and_state(spark):
     df = spark.createDataFrame([(16383.0,), (16374.0,), (16373.0,), (75.5,), (16380.5,)], "v double")
     got = [r[0] for r in df.select(codes.recode(F.col("v"))).collect()]
     assert got == [-1.0, -10.0, 16373.0, 75.5, 16380.5]
+
+
+def test_emptied_session_loses_its_rows(spark, tmp_path):
+    path = str(tmp_path / "results")
+    schema = "session bigint, v double"
+    sessions = lambda *ids: spark.createDataFrame([(i,) for i in ids], "session bigint")
+    sinks.replace_sessions(spark.createDataFrame([(i, float(i)) for i in range(20)], schema), path, sessions(*range(20)))
+    # session 7 is mined again without any result, session 3 with a new one
+    sinks.replace_sessions(spark.createDataFrame([(3, 33.0)], schema), path, sessions(3, 7))
+    got = {r.session: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {**{float(i): float(i) for i in range(20) if i != 7}, 3: 33.0}
+
+
+def test_only_a_missing_table_counts_as_none(spark, tmp_path):
+    path = tmp_path / "broken"
+    path.mkdir()
+    (path / "bucket=1").mkdir()
+    (path / "bucket=1" / "part-0.parquet").write_bytes(b"no parquet")
+    rows = spark.createDataFrame([(1, 1.0)], "session bigint, v double")
+    with pytest.raises(Exception):
+        sinks.replace_sessions(rows, str(path), rows.select("session"))
+    assert (path / "bucket=1" / "part-0.parquet").exists()
+
+
+def test_covered_partitions_without_rows_go(spark, tmp_path):
+    path = str(tmp_path / "by")
+    frame = lambda rows: spark.createDataFrame(rows, "site string, day int, v int")
+    sinks.replace_partitions(frame([("a b", 1, 1), ("a b", 2, 2), ("c", 1, 3)]), path, ["site", "day"])
+    sinks.replace_partitions(frame([("a b", 1, 9)]), path, ["site", "day"], frame([("a b", 1, 0), ("a b", 2, 0)]))
+    assert {(r.site, r.day, r.v) for r in spark.read.parquet(path).collect()} == {("a b", 1, 9), ("c", 1, 3)}
+
+
+def test_named_waveforms_of_several_blocks(spark):
+    rows = [(1, b, p, b * 10, 1.0) for b in (0, 1) for p in ("ECG_I", "PR", "TIME_SYNC")]
+    df = spark.createDataFrame(rows, "session bigint, block int, param string, sn int, value double")
+    names = lambda **k: sorted((r.block, r.param) for r in select_readings(df, **k).collect())
+    assert names(params=["ECG_I"]) == [(b, p) for b in (0, 1) for p in ("ECG_I", "TIME_SYNC")]
+    assert names() == names(blocks=[0, 1]) == [(b, p) for b in (0, 1) for p in ("PR", "TIME_SYNC")]
+    assert len(names(waveforms=True)) == 6 and len(names(blocks=[1])) == 3 and len(names(blocks=[1], waveforms=False)) == 2
+
+
+def test_every_field_of_a_packet(spark):
+    one = "session bigint, param string, sn int, values array<double>"
+    numeric = spark.createDataFrame([(1, "BP", 5, [1.0, 2.0, 3.0]), (1, "BP", 6, [])], one)
+    passed = spark.createDataFrame([(1, "PR", 7, [0.0, 4.0, 5.0]), (1, "PR", 8, [0.0])], one)
+    syncs = spark.createDataFrame([(1, 9, 2000, 77)], "session bigint, sn int, tm_ms long, device bigint")
+    extra = spark.createDataFrame([(1, "x", 10, 3000, [6.0, 7.0])], "session bigint, subtype string, sn int, tm_ms long, values array<double>")
+    got = sorted((r.sn, r.field, r.value, r.param, r.t) for r in pk.typed_readings(numeric, passed, syncs, extra).collect())
+    assert got == [
+        (5, 0, 1.0, "BP", None), (5, 1, 2.0, "BP", None), (5, 2, 3.0, "BP", None), (7, 0, 4.0, "PR", None), (7, 1, 5.0, "PR", None),
+        (9, 0, 77.0, "TIME_SYNC", 2.0), (10, 0, 6.0, "ANALYTICS_x", 3.0), (10, 1, 7.0, "ANALYTICS_x", 3.0),
+    ]
+
+
+def test_pages_go_on_after_the_last_row(spark):
+    df = spark.createDataFrame([(i // 3, i, None if i % 4 else "x") for i in range(20)], "a int, b int, c string")
+    seen, last = [], None
+    while True:
+        rows = (page(df, ["a", "b"], 0, 7) if last is None else page_after(df, ["a", "b"], last, 7)).collect()
+        if not rows:
+            break
+        seen += [r.b for r in rows]
+        last = (rows[-1].a, rows[-1].b)
+    assert seen == list(range(20))
