@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as ft
 from ..operators import waveform as wf
-from . import query
+from . import ORACLES, query
 from .base import READINGS, readings, table
 
 LEADS = ["ECG_I", "ECG_II", "ECG_III"]
@@ -166,7 +166,18 @@ def kurtosis(spark, sf):
     return _signal(spark, sf).select("vec_id", F.round(ft.kurtosis(F.col("a")), 5).alias("kurtosis"))
 
 
-@query("U5_band_count")
+def _band_sql(rate: int) -> str:
+    """Samples over the mean magnitude after the band-pass, as a recursive table: band (vec_id, band_count)."""
+    return f"""w AS (SELECT 2.0 * {rate} AS c, 2.0 * {rate} * tan(pi() * 13.0 / {rate}) AS w1, 2.0 * {rate} * tan(pi() * 16.5 / {rate}) AS w2),
+    k0 AS (SELECT c, w2 - w1 AS wide, w1 * w2 AS mid, c * c + (w2 - w1) * c + w1 * w2 AS a0 FROM w),
+    k AS (SELECT wide * c / a0 AS b0, (2 * mid - 2 * c * c) / a0 AS a1, (c * c - wide * c + mid) / a0 AS a2 FROM k0),
+    f AS (SELECT vec_id, 1 AS i, b0 * a[1] AS y, 0.0::DOUBLE AS before FROM v, k UNION ALL
+      SELECT f.vec_id, f.i + 1, b0 * a[f.i + 1] - b0 * coalesce(a[f.i - 1], 0) - a1 * y - a2 * before, y FROM f JOIN v ON v.vec_id = f.vec_id, k WHERE f.i < 64),
+    m AS (SELECT vec_id, abs(y) AS y, avg(abs(y)) OVER (PARTITION BY vec_id, (i - 1) // 8) AS mean FROM f WHERE i % 8 <> 0),
+    band AS (SELECT vec_id, CAST(count(CASE WHEN y > mean THEN 1 END) AS INT) AS band_count FROM m GROUP BY vec_id)"""
+
+
+@query("U5_band_count", f"WITH RECURSIVE {VECTORS}, {_band_sql(125)} SELECT vec_id, band_count FROM band")
 def band_count(spark, sf):
     return _signal(spark, sf).select("vec_id", ft.band_count(F.col("a")).alias("band_count"))
 
@@ -238,10 +249,18 @@ def rhythm_updates(spark, sf):
     )
 
 
-@query("U10_fibrillation_features")
+@query(
+    "U10_fibrillation_features",
+    f"""WITH RECURSIVE {VECTORS}, {_band_sql(8)}, u1 AS ({ORACLES["U1_sample_entropy"]}), u6 AS ({ORACLES["U6_crossing_share"]}), u7 AS ({ORACLES["U7_leakage"]})
+    SELECT v.vec_id, round(4000 * list_max(list_transform(a, lambda x: abs(x))), 6) AS peak, CAST(band_count AS DOUBLE) AS band_count,
+      coalesce(crossing, -1) AS crossing, coalesce(leakage, -1) AS leakage, coalesce(entropy, -1) AS entropy
+    FROM v JOIN band ON band.vec_id = v.vec_id JOIN u1 ON u1.vec_id = v.vec_id JOIN u6 ON u6.vec_id = v.vec_id JOIN u7 ON u7.vec_id = v.vec_id""",
+)
 def fibrillation_features(spark, sf):
+    """Vectors scaled to a few millivolts; the features but the peak do not depend on the scale."""
     s = _signal(spark, sf).withColumn("a", F.transform("a", lambda x: x * 4000))
-    return s.select("vec_id", ft.fibrillation_features(F.col("a"), 8).alias("f")).select("vec_id", "f.*")
+    out = s.select("vec_id", ft.fibrillation_features(F.col("a"), 8).alias("f")).select("vec_id", "f.*")
+    return out.select("vec_id", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
 
 
 def _noise(spark, sf):
