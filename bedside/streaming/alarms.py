@@ -9,10 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..model import LEAK_PER_SECOND
+from .ordered import due, wake_at
 
 NONE, NORM, ALARM, XX = 0, 1, 2, 3
 OUT = "session bigint, param string, start double, stop double, xx double, bucket double"
-STATE = "mode int, since double, start double, xx double, bucket double, last double"
+STATE = (
+    "mode int, since double, start double, xx double, bucket double, last double,"
+    " t array<double>, seq array<bigint>, value array<double>"
+)
 FRESH = (NONE, 0.0, math.nan, 0.0, 0.0, -math.inf)
 
 
@@ -64,29 +68,28 @@ def finish(state: tuple, end: float) -> list[tuple]:
 def alarm_stream(
     readings: DataFrame, kind: str, limit: float, silence: str = "1 hour", lateness: str = "1 minute"
 ) -> DataFrame:
-    """Alarms of a stream (session, param, ts, t, value) against one limit.
+    """Alarms of a stream (session, param, ts, t, value, maybe seq) against one limit.
 
-    The state of a series is six numbers.  An alarm comes out when a normal
-    reading closes it, or at the last reading of a series silent for
-    ``silence`` in event time.  Rows older than the last one seen are dropped.
+    The state of a series is six numbers and its rows of the last ``lateness``,
+    which wait for the watermark and are then taken in order of (t, seq).  An alarm
+    comes out when a normal reading closes it, or at the last reading of a series
+    silent for ``silence`` in event time.
     """
     wait = pd.Timedelta(silence) // pd.Timedelta("1ms")
 
     def advance(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        now = state.get if state.exists else FRESH
-        if state.hasTimedOut:
+        kept = tuple(state.get) if state.exists else (*FRESH, [], [], [])
+        now, waiting = kept[:6], dict(zip(("t", "seq", "value"), map(list, kept[6:])))
+        silent = state.hasTimedOut and not waiting["t"]
+        ready, waiting = due(waiting, [] if state.hasTimedOut else batches, state.getCurrentWatermarkMs())
+        now, rows = fold(now, ((t, reading_class(kind, v, limit)) for t, v in zip(ready["t"], ready["value"])))
+        if silent:
             rows = finish(now, now[5])
             state.remove()
         else:
-            pdf = pd.concat(list(batches)).sort_values("t")
-            pdf = pdf[pdf["t"] > now[5]]
-            now, rows = fold(
-                now, ((t, reading_class(kind, v, limit)) for t, v in zip(pdf["t"], pdf["value"]))
-            )
-            state.update(now)
-            state.setTimeoutTimestamp(
-                max(int(now[5] * 1000), state.getCurrentWatermarkMs()) + int(wait)
-            )
+            state.update((*now, waiting["t"], waiting["seq"], waiting["value"]))
+            last = now[5] if math.isfinite(now[5]) else 0.0
+            state.setTimeoutTimestamp(wake_at(waiting, last, int(wait), state.getCurrentWatermarkMs()))
         yield pd.DataFrame(
             [(*key, *r) for r in rows], columns=["session", "param", "start", "stop", "xx", "bucket"]
         )

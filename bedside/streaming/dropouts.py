@@ -7,27 +7,31 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .ordered import due, wake_at
+
 OUT = "session bigint, param string, start double, stop double"
-STATE = "last double, sn bigint, opened double"
+STATE = "last double, number bigint, opened double, t array<double>, seq array<bigint>, sn array<bigint>"
 
 
 def dropout_stream(
-    readings: DataFrame, rate: float, slop: float = 0.1, lateness: str = "1 minute"
+    readings: DataFrame, rate: float, slop: float = 0.1, lateness: str = "1 minute", silence: str = "1 hour"
 ) -> DataFrame:
-    """Merged dropouts of a stream (session, param, ts, t, sn, value).
+    """Merged dropouts of a stream (session, param, ts, t, sn, value, maybe seq).
 
     A dropout opens one update after the last reading and comes out with the
-    first reading that is on time again, or with a reset.  Rows older than the
-    last one seen are dropped.
+    first reading that is on time again, with a reset, or when the series is
+    silent for ``silence`` in event time, which also frees its state.  Rows wait
+    for the watermark and are taken in order of (t, seq).
     """
+    wait = pd.Timedelta(silence) // pd.Timedelta("1ms")
 
     def advance(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last, sn, opened = state.get if state.exists else (-1.0, -1, -1.0)
-        pdf = pd.concat(list(batches)).sort_values("t")
+        kept = tuple(state.get) if state.exists else (-1.0, -1, -1.0, [], [], [])
+        (last, sn, opened), waiting = kept[:3], dict(zip(("t", "seq", "sn"), map(list, kept[3:])))
+        silent = state.hasTimedOut and not waiting["t"]
+        ready, waiting = due(waiting, [] if state.hasTimedOut else batches, state.getCurrentWatermarkMs())
         rows = []
-        for t, n in zip(pdf["t"], pdf["sn"]):
-            if t <= last:
-                continue
+        for t, n in zip(ready["t"], ready["sn"]):
             reset = last < 0 or n < sn
             gap = not reset and t - last > rate + slop
             if opened >= 0 and not gap:
@@ -36,11 +40,17 @@ def dropout_stream(
             if gap and opened < 0:
                 opened = last + rate
             last, sn = float(t), int(n)
-        state.update((last, sn, opened))
+        if silent:
+            if opened >= 0:
+                rows.append((*key, opened, last))
+            state.remove()
+        else:
+            state.update((last, sn, opened, waiting["t"], waiting["seq"], waiting["sn"]))
+            state.setTimeoutTimestamp(wake_at(waiting, max(last, 0.0), int(wait), state.getCurrentWatermarkMs()))
         yield pd.DataFrame(rows, columns=["session", "param", "start", "stop"])
 
     return (
         readings.withWatermark("ts", lateness)
         .groupBy("session", "param")
-        .applyInPandasWithState(advance, OUT, STATE, "append", "NoTimeout")
+        .applyInPandasWithState(advance, OUT, STATE, "append", "EventTimeTimeout")
     )
