@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,10 +39,10 @@ PARTS = 1024
 #: Rounds of multiplicative weights, fillings taken per round, and the step.
 ROUNDS, PER_ROUND, STEP, ETA = 48, 192, 0.34, 3.0
 #: Words a worker remembers, and the longest it remembers.
-REMEMBERED, LONGEST = 150_000, 40
+REMEMBERED, LONGEST = 400_000, 40
 PORTION = 4 << 20
-#: Words whose ids are worked out by array merging: letters that lower-casing and composition treat one by one.
-PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Letters that lower-casing and composition treat one by one, then other marks, which are a word of their own.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=>?@\[-`{-~]*)")
 
 
 class WordIds:
@@ -88,27 +89,25 @@ class WordIds:
         data = ids.astype("<u4").tobytes()
         return [data[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
-    def _plain(self, words: list[str]) -> dict[str, bytes]:
-        return dict(zip(words, self._merged(words))) if words else {}
-
     def new(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that are not known yet."""
-        plain, marked, other = [], [], []
+        plain, other, ids, marked = set(), [], {}, []
         for w in words:
-            if self.all_at_once and PLAIN.fullmatch(w):
-                plain.append(w)
-            elif self.all_at_once and w[-1] in ".," and PLAIN.fullmatch(w, 0, len(w) - 1):
-                marked.append(w)  # letters and one mark are two words for the tokenizer
-            else:
+            found = PLAIN.fullmatch(w) if self.all_at_once else None
+            if found is None:
                 other.append(w)
-        stems = {w[:-1] for w in marked}
-        ids = self._plain(list({*plain, *(s for s in stems if s not in self.seen)}))
-        for mark in ".,":
-            self.seen.setdefault(mark, self._library([mark])[0])
-        for w in marked:
-            stem = ids.get(w[:-1])
-            ids[w] = (self.seen[w[:-1]] if stem is None else stem) + self.seen[w[-1]]
+            elif found[2]:
+                marked.append((w, found[1], found[2]))
+            else:
+                plain.add(w)
+        plain.update(stem for _, stem, _ in marked if stem not in self.seen)
+        other += {mark for _, _, mark in marked if mark not in self.seen}
+        if plain:
+            ids = dict(zip(plain, self._merged(list(plain))))
         ids.update(zip(other, self._library(other)))
+        for w, stem, mark in marked:
+            first, second = ids.get(stem), ids.get(mark)
+            ids[w] = (self.seen[stem] if first is None else first) + (self.seen[mark] if second is None else second)
         return ids
 
     def _library(self, words: list[str]) -> list[bytes]:
@@ -119,20 +118,26 @@ class WordIds:
         if len(self.seen) > REMEMBERED:
             self.seen = {"": b""}
         split = [_words(t) if t else [] for t in texts]
-        now = self.new(list({w for words in split for w in words if w not in self.seen}))
-        self.seen.update((w, i) for w, i in now.items() if len(w) <= LONGEST)
+        now = self.new(list(set(chain.from_iterable(split)).difference(self.seen)))
+        long = [w for w in now if len(w) > LONGEST]
+        kept = {w: now.pop(w) for w in long}
+        self.seen.update(now)
         out = []
         for words in split:
             try:
                 out.append(b"".join(map(self.seen.__getitem__, words)))
             except KeyError:
-                out.append(b"".join([now[w] if w in now else self.seen[w] for w in words]))
+                out.append(b"".join([kept[w] if w in kept else self.seen[w] for w in words]))
         return out
 
 
 def _words(text: str) -> list[str]:
-    if "<|" not in text and text.isascii():  # special tokens are found before lower-casing
-        text = text.lower()
+    if "<|" not in text:  # special tokens are found before lower-casing
+        try:
+            text.encode("latin-1")  # composed letters, each with one lower case
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
     return text.replace("\n", " ").split(" ")
 
 
