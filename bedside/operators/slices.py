@@ -5,26 +5,23 @@ series.  Windows put a whole series into one task, so a series that holds a
 large share of all rows is cut into slices of its order axis first
 (:func:`balance`).  :func:`scan` then works slice by slice and adds what the
 earlier (or later) slices of the series contribute from one summary row per
-slice.  The number of slices is bounded by ``MAX_SLICES`` whatever the data
-size, which makes the two small tables safe to broadcast.  Series below the
-limit, the usual case, run as plain windows with no extra work.
+slice.  The tables of slices and summaries are joined by key; nothing of them
+reaches the driver, and Spark broadcasts them only if they are small.  Series
+below the limit, the usual case, run as plain windows with no extra work.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import durable
 
 SLICE = "_slice"
 SLICE_ROWS = "spark.bedside.sliceRows"
-MAX_SLICES = 100_000
 BINS_PER_SLICE = 8
 
 
@@ -34,11 +31,10 @@ _EVEN: set = set()
 def balance(df: DataFrame, keys: Sequence[str], t: str, reduced: DataFrame | None = None) -> DataFrame:
     """Add a slice column to ``df`` when some series exceeds the row limit.
 
-    One narrow aggregation finds the series above the limit.  There are at
-    most total/limit of them; when their slices would pass ``MAX_SLICES`` the
-    limit is raised, so what reaches the driver and the broadcast is bounded.
-    That a plan has no such series is remembered; should its data have grown
-    since, that costs balance, not correctness.
+    One narrow aggregation finds the series above the limit, whatever their
+    number; slices hold about as many rows as the limit says.  That a plan has
+    no such series is remembered; should its data have grown since, that costs
+    balance, not correctness.
 
     ``reduced`` names a frame checked before that holds at least as many rows
     per key; when that needed no slices, neither does ``df``.
@@ -49,50 +45,39 @@ def balance(df: DataFrame, keys: Sequence[str], t: str, reduced: DataFrame | Non
     plan = (df.semanticHash(), *keys, t, limit)
     if plan in _EVEN:
         return df
-    rows, limit = _big_series(df, keys, t, limit)
-    if not rows:
+    big = _big_series(df, keys, t, limit)
+    if big.isEmpty():
         if len(_EVEN) > 1000:
             _EVEN.clear()
         _EVEN.add(plan)
         return df
-    return _cut(df, keys, t, rows, limit)
+    return _cut(df, keys, t, durable(big), limit)
 
 
-def _big_series(df: DataFrame, keys: Sequence[str], t: str, limit: float) -> tuple[list, float]:
+def _big_series(df: DataFrame, keys: Sequence[str], t: str, limit: float) -> DataFrame:
     """Key, start, bin width and number of bins of every series above the limit."""
     sizes = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(t).cast("double").alias("_t0"),
         F.max(t).cast("double").alias("_t1"),
     )
-    while True:
-        big = sizes.where(F.col("_n") > limit).limit(MAX_SLICES // 2 + 1).collect()
-        if len(big) <= MAX_SLICES // 2:
-            break
-        limit *= 4
-    limit = max(limit, sum(r["_n"] for r in big) / (MAX_SLICES / 2))
-    rows = []
-    for r in big:
-        bins = BINS_PER_SLICE * math.ceil(r["_n"] / limit)
-        width = ((r["_t1"] or 0.0) - (r["_t0"] or 0.0)) / bins
-        rows.append((*(r[k] for k in keys), r["_t0"], width if width > 0 else 1.0, bins))
-    return rows, limit
-
-
-def _cut(df: DataFrame, keys: Sequence[str], t: str, rows: list, limit: float) -> DataFrame:
+    bins = F.lit(BINS_PER_SLICE) * F.ceil(F.col("_n") / F.lit(limit))
+    width = (F.coalesce("_t1", F.lit(0.0)) - F.coalesce("_t0", F.lit(0.0))) / bins
+    return sizes.where(F.col("_n") > limit).select(
+        *[F.col(k).alias(f"_b_{k}") for k in keys],
+        "_t0",
+        F.when(width > 0, width).otherwise(F.lit(1.0)).alias("_width"),
+        bins.cast("bigint").alias("_bins"),
+    )
+
+
+def _cut(df: DataFrame, keys: Sequence[str], t: str, table: DataFrame, limit: float) -> DataFrame:
     """Slices of about ``limit`` rows, from the row counts of fine bins.
 
     Bins are equal in ``t``; one that holds a burst is divided again.  Bins of
     a sparse stretch end up in one slice.  Every bin has a slice, so rows that
     come later still fall in order.  Rows without ``t`` sort first.
     """
-    spark = df.sparkSession
-    schema = T.StructType(
-        [T.StructField(f"_b_{k}", df.schema[k].dataType) for k in keys]
-        + [T.StructField(c, T.DoubleType()) for c in ("_t0", "_width")]
-        + [T.StructField("_bins", T.LongType())]
-    )
-    table = spark.createDataFrame(rows, schema)
     own = [f"_b_{k}" for k in keys]
 
     def same(columns, prefix):
@@ -107,7 +92,7 @@ def _cut(df: DataFrame, keys: Sequence[str], t: str, rows: list, limit: float) -
         )
 
     at = (F.col(t).cast("double") - F.col("_t0")) / F.col("_width")
-    placed = df.join(F.broadcast(table), same(keys, "_b_"), "left").withColumn(
+    placed = df.join(table, same(keys, "_b_"), "left").withColumn(
         "_bin", F.when(F.col("_width").isNotNull(), clipped(F.floor(at), F.col("_bins")))
     )
     big = placed.where(F.col("_bin").isNotNull())
@@ -120,7 +105,7 @@ def _cut(df: DataFrame, keys: Sequence[str], t: str, rows: list, limit: float) -
     heavy = durable(heavy)
     within = F.floor((at - F.col("_bin")) * F.col("_parts"))
     placed = (
-        placed.join(F.broadcast(heavy), same([*keys, "_bin"], "_n_"), "left")
+        placed.join(heavy, same([*keys, "_bin"], "_n_"), "left")
         .withColumn("_sub", F.when(F.col("_parts").isNotNull(), clipped(within, F.col("_parts") - 1)).otherwise(F.lit(0)))
         .select(*df.columns, "_bin", "_sub")
     )
@@ -145,7 +130,7 @@ def _cut(df: DataFrame, keys: Sequence[str], t: str, rows: list, limit: float) -
     cuts = dense.join(counts, paired, "left").select(
         *own, "_b__bin", "_b__sub", F.floor(earlier / F.lit(limit)).alias(SLICE)
     )
-    return placed.join(F.broadcast(durable(cuts)), same(places, "_b_"), "left").select(
+    return placed.join(durable(cuts), same(places, "_b_"), "left").select(
         *df.columns, SLICE
     )
 
@@ -206,7 +191,7 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], **specs: Spec
     inside = work.select(*df.columns, *[c.alias(f"_in_{n}") for n, c in local.items()])
     carry = _carry(work, keys, order, specs)
     same = _all(F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in [*keys, SLICE])
-    joined = inside.join(F.broadcast(carry), same, "left")
+    joined = inside.join(carry, same, "left")
     return durable(
         joined.select(
             *df.columns,
