@@ -1,36 +1,8 @@
-"""Table schemas and fixed values of the data model."""
+"""Fixed values of the data model."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-SCHEMAS = {
-    "sessions": "session bigint, status string, site string, tz string, care_unit string, "
-    "room string, date_stop date, duration bigint, time_wt bigint, time_cable bigint, "
-    "time_total bigint, time_cnibp bigint",
-    "blocks": "session bigint, block int, device_id bigint, unix_start bigint, unix_stop bigint",
-    "readings": "session bigint, block int, param string, sn bigint, t double, value double",
-    "bp": "session bigint, sn bigint, t double, sys double, dia double, map double, "
-    "inflation_sn bigint, pr double, error_code int",
-    "alarms": "session bigint, sn bigint, t double, code int, severity int, state int, "
-    "start_sn bigint",
-    "time_sync": "session bigint, sn bigint, t double",
-    "packets": "id int, sn bigint, tm bigint, device bigint, segment int, samples array<int>, "
-    "sample_rate int, channels int",
-    "intervals": "session bigint, begin bigint, end bigint, tags array<string>",
-    "annotations": "id bigint, session bigint, block int, start_time double, stop_time double, "
-    "notes string, data string",
-    "annotation_tags": "tag string, annid bigint",
-    "logs": "site string, lid bigint, device_id bigint, sq_num bigint, log_level int, "
-    "device_type int, datetime_sent timestamp, cipher_id int, message_content array<string>",
-    "log_modules": "device_id bigint, module string, dt_start timestamp, dt_end timestamp",
-    "site_defaults": "code string, param string, alarm_type string, threshold int, delay int",
-    "device_sessions": "site_id int, device_id bigint, care_unit string, start_time timestamp, "
-    "stop_time timestamp",
-    "beats": "session bigint, sn bigint, t double, rr double, leads int",
-}
-
+# Clock of the devices and the code of a missing sample.
 TICKS_PER_SECOND = 500
 NO_SAMPLE = -(2**31)  # INT32_MIN: the waveform has no sample here
 
@@ -56,7 +28,8 @@ LAST_BIN_LABEL = 7201
 # Limits swept per parameter and side (first, last), step 1.
 LIMIT_RANGES = {
     ("SPO2", "LOW"): (60, 100), ("PR", "HIGH"): (120, 180), ("PR", "LOW"): (25, 50),
-    ("HR", "HIGH"): (120, 180), ("HR", "LOW"): (25, 50), ("RR", "HIGH"): (15, 50),
+    ("HR", "HIGH"): (120, 180), ("HR", "LOW"): (25, 50), ("HR_A", "HIGH"): (120, 180),
+    ("HR_A", "LOW"): (25, 50), ("RR", "HIGH"): (15, 50),
     ("RR", "LOW"): (0, 15), ("BP_SYS", "HIGH"): (160, 210), ("BP_SYS", "LOW"): (65, 95),
     ("BP_MAP", "HIGH"): (100, 180), ("BP_MAP", "LOW"): (55, 65), ("BP_DIA", "HIGH"): (100, 155),
     ("BP_DIA", "LOW"): (35, 60), ("CNIBP_SYS", "HIGH"): (180, 210),
@@ -64,6 +37,7 @@ LIMIT_RANGES = {
     ("CNIBP_MAP", "LOW"): (55, 65), ("CNIBP_DIA", "HIGH"): (115, 155),
     ("CNIBP_DIA", "LOW"): (35, 45), ("TEMP", "HIGH"): (92, 109), ("TEMP", "LOW"): (32, 92),
 }
+# Delays of the sweep and leak of the alarm bucket, in seconds.
 DELAY_MAX, DELAY_STEP = 600, 5
 LEAK_PER_SECOND = 30
 
@@ -100,7 +74,3 @@ SCALES = {
     "PRES": 1 / 8,
     "TEMP": 1 / 100,
 }
-
-
-def schema(name: str) -> T.StructType:
-    return T.StructType.fromDDL(SCHEMAS[name])

@@ -231,3 +231,12 @@ def test_empty_input_gives_empty_results(spark):
     empty = series(spark, [])
     assert budget.parameter_times(empty, 5.0).count() == 0
     assert al.threshold_alarms(empty, al.limit_table(spark)).count() == 0
+
+
+def test_every_heart_rate_is_swept(spark):
+    ranges = {(r.param, r.kind): (r.first, r.last) for r in al.limit_table(spark).collect()}
+    for kind in ("HIGH", "LOW"):
+        assert ranges["HR_A", kind] == ranges["HR", kind]
+    rows = [(1, "HR_A", i, i * 5.0, i, 200.0 if 2 <= i < 6 else 60.0) for i in range(10)]
+    df = spark.createDataFrame(rows, "session bigint, param string, sn bigint, t double, seq bigint, value double")
+    assert al.threshold_alarms(df, al.limit_table(spark)).where("param = 'HR_A'").count() > 0
