@@ -11,13 +11,17 @@ Rows of equal word sequences are one class; only its smallest id goes on.
 Sketches are cut into bands, and classes that agree in a whole band are
 candidates.  A bucket is not expanded into all pairs: its first member is compared
 with the others, true links are merged into components, and only buckets whose
-members are still in different components are looked at again, with 8 times as
-many members compared with all others each time.  A bucket is left when every pair
-of it that is not in one component has been compared, so no link is lost.  Links
-are confirmed on the full shingle sets.
+members are still in different components are looked at again, now with their
+first eight members as leaders.  In buckets that are open even then, members
+outside the bucket's largest component are compared with all that are not in their
+own.  Two members that never met are in one component, so no link is lost.  For the
+later looks the texts left get a longer sketch of which one bit per coordinate is
+kept; pairs whose bits differ too much never leave the join.  Links are confirmed
+on the full shingle sets.
 
 At a similarity of 0.8 two texts share none of the 44 bands of 6 coordinates with
-a probability of 1.6e-6, at 0.85 of 1e-9.
+a probability of 1.6e-6, at 0.85 of 1e-9; the bits of such a pair differ too much
+(five standard deviations) with a probability of 3e-7.
 
 Defined cases: null text and text without words have no shingles and are linked
 with nothing; a text of fewer words than a shingle is one shingle; a row without
@@ -26,13 +30,16 @@ id stays alone; rows that share an id are one document, linked by any of its tex
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import sha256
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -43,8 +50,10 @@ BANDS, ROWS = 44, 6
 #: Bytes of text and rows that are sketched at once.
 PORTION, TOGETHER = 1 << 20, 1000
 REMEMBERED, LONGEST = 200_000, 40
-#: Factor by which more members of an open bucket are compared in each round.
-GROWTH = 8
+#: Members of an open bucket that all others are compared with at the second look.
+LEADERS = 8
+#: Coordinates of the longer sketch, of each one bit, and the standard deviations that are allowed for.
+BITS, SIGMAS = 4096, 5.0
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -61,22 +70,22 @@ def _round_seed(i: int) -> np.uint64:
 
 def sketches(elements: np.ndarray, owner: np.ndarray, sets: int, bins: int) -> np.ndarray:
     """Similarity sketches of ``sets`` sets; ``owner`` tells the set of each element. No set is empty."""
-    out = np.full(sets * bins, _FULL)
+    out, filled = np.full(sets * bins, _FULL), np.zeros(sets, np.int64)
     for i in range(2 * bins):
         hashed = _mix(elements ^ _round_seed(i))
         if i < bins:
             place = owner * bins + ((hashed >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
         else:
             place = owner * bins + (i - bins)
-        lowest = np.full(sets * bins, _FULL)
-        np.minimum.at(lowest, place, _mix(hashed ^ np.uint64(0xD1B54A32D192ED03)))
-        out = np.where(out == _FULL, lowest, out)
-        open_ = (out.reshape(sets, bins) == _FULL).any(axis=1)
-        if not open_.any():
-            break
-        left = open_[owner]
+        empty = out[place] == _FULL  # at the start of the round: it decides by the smallest value
+        place = place[empty]
+        np.minimum.at(out, place, _mix(hashed[empty] ^ np.uint64(0xD1B54A32D192ED03)))
+        filled += np.bincount(np.unique(place) // bins, minlength=sets)
+        left = filled[owner] < bins
         if not left.all():
             elements, owner = elements[left], owner[left]
+            if not len(elements):
+                break
     return out.reshape(sets, bins)
 
 
@@ -152,6 +161,39 @@ def sketched(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataF
     return rows.mapInArrow(sketch, "doc_id long, n_shingles long, key binary, bands array<long>")
 
 
+def bit_sketches(texts: DataFrame, shingle: int) -> DataFrame:
+    """For rows of id and text: id, bits (one bit per coordinate of a longer sketch, in 64-bit words)."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for portion in portions(batches, "text", PORTION):
+            for at in range(0, portion.num_rows, TOGETHER // 4):
+                batch = portion.slice(at, TOGETHER // 4)
+                sets = [_elements(words_of(t), shingle) for t in batch.column(1).to_pylist()]
+                owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+                found = sketches(np.concatenate(sets), owner, len(sets), BITS)
+                words = np.packbits((found >> np.uint64(17) & np.uint64(1)).astype(bool), axis=1).view("<i8")
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(words), pa.list_(pa.int64()))], ["id", "bits"])
+
+    return texts.select("id", "text").mapInArrow(sketch, "id long, bits array<long>")
+
+
+def _alike(a: Column, b: Column, percent: int) -> Column:
+    """Whether two texts may reach the similarity, as far as their bits tell; a quarter of them is looked at first."""
+    differ = (1 - percent / 100) / 2
+
+    def near(bits: int) -> Column:
+        limit = math.floor(bits * differ + SIGMAS * math.sqrt(bits * differ * (1 - differ)))
+        return reduce(add, (F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(bits // 64))) <= limit
+
+    return near(BITS // 4) & near(BITS)
+
+
+def _first_met(band: Column, a: Column, b: Column) -> Column:
+    """Whether ``band`` is the first that two texts share, so that a pair comes out of one bucket only."""
+    shared = F.zip_with(a, b, lambda x, y: F.when(x == y, x))
+    return F.element_at(F.filter(shared, lambda x: x.isNotNull()), 1) == band
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
 
@@ -193,33 +235,40 @@ def near_duplicates(
         "candidates",
     )
     pairs = settle(live.filter("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
-    tested, compared = pairs, 1
     linked = components(settle(confirmed(pairs, texts, shingle, percent), "confirmed"))
-    while True:
-        # buckets with pairs that are neither compared nor in one component
+    tested, bits = pairs, None
+    for look in ("leaders", "rest"):
         labelled = live.select("band", "id").join(linked.withColumnRenamed("node", "id"), "id", "left").select(
             "band", "id", F.coalesce("low", "id").alias("low")
         )
-        still = (
-            labelled.groupBy("band")
-            .agg(F.min("low").alias("from"), F.max("low").alias("to"), F.count(F.lit(1)).alias("n"))
-            .filter((F.col("from") < F.col("to")) & (F.col("n") > compared + 1))
-        )
-        live = settle(labelled.join(still, "band", "left_semi"), "buckets")
+        # of two members one is the first, with which the other has been compared
+        still = labelled.groupBy("band").agg(F.min("low").alias("from"), F.max("low").alias("to"), F.count(F.lit(1)).alias("n"))
+        live = settle(labelled.join(still.filter((F.col("from") < F.col("to")) & (F.col("n") > 2)), "band", "left_semi"), "buckets")
         if live.isEmpty():
             break
-        rank = F.row_number().over(W.partitionBy("band").orderBy("id"))
-        leaders = live.withColumn("rank", rank).filter(F.col("rank") <= compared * GROWTH).filter(F.col("rank") > compared)
-        leaders = leaders.select("band", F.col("id").alias("leader"), F.col("low").alias("leader_low"))
+        if bits is None:
+            bits = bit_sketches(texts.join(live.select("id").distinct(), "id", "left_semi"), shingle)
+            bits = settle(bits.join(first.select("id", "bands").dropDuplicates(["id"]), "id"), "bits")
+        if look == "leaders":
+            rank = F.row_number().over(W.partitionBy("band").orderBy("id"))
+            some = live.withColumn("rank", rank).filter(F.col("rank") <= LEADERS)
+        else:
+            sizes = live.groupBy("band", "low").agg(F.count(F.lit(1)).alias("n"))
+            largest = sizes.groupBy("band").agg(F.max(F.struct("n", "low")).getField("low").alias("largest"))
+            some = live.join(largest, "band").filter(F.col("low") != F.col("largest"))
+        other = some.join(bits, "id").select("band", *[F.col(c).alias(f"other_{c}") for c in ("id", "low", "bits", "bands")])
+        near = (F.col("low") != F.col("other_low")) & _alike(F.col("bits"), F.col("other_bits"), percent)
+        once = _first_met(F.col("l.band"), F.col("bands"), F.col("other_bands"))
         pairs = settle(
-            live.join(leaders, "band")
-            .filter("low <> leader_low")
-            .select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b"))
+            live.join(bits, "id")
+            .alias("l")
+            .join(other.alias("o"), (F.col("l.band") == F.col("o.band")) & near & once)
+            .select(F.greatest("id", "other_id").alias("a"), F.least("id", "other_id").alias("b"))
             .distinct()
             .join(tested, ["a", "b"], "left_anti"),
             "pairs",
         )
-        tested, compared = tested.unionByName(pairs), compared * GROWTH
+        tested = tested.unionByName(pairs)
         more = settle(confirmed(pairs, texts, shingle, percent), "confirmed")
         if not more.isEmpty():
             stars = linked.select(F.col("node").alias("a"), F.col("low").alias("b"))
