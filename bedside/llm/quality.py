@@ -33,7 +33,7 @@ TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Features are hashed to so many weights; weight 0 is the intercept.
 DIMENSIONS = 1 << 18
 #: At most so many labelled rows are learned from, chosen by a hash of their id, in so many shards.
-SAMPLE, SHARDS, EPOCHS = 8000, 4, 4
+SAMPLE, SHARDS, EPOCHS = 8000, 2, 10
 #: FTRL-proximal: learning rate, its smoothing, and both penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-3
 REMEMBERED, LONGEST = 150_000, 40
