@@ -10,8 +10,13 @@ from .store import settle
 ROUNDS = 60
 
 
-def _checksum(links: DataFrame) -> tuple:
-    return links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "low").cast("decimal(20,0)"))).first()
+def _stars(links: DataFrame) -> bool:
+    """Whether every node hangs once under a node that hangs nowhere."""
+    ends = links.select(F.col("node").alias("id"), F.lit(1).alias("hangs")).unionByName(
+        links.select(F.col("low").alias("id"), F.lit(0).alias("hangs"))
+    )
+    met = ends.groupBy("id").agg(F.sum("hangs").alias("hangs"), F.count(F.lit(1)).alias("n"))
+    return met.filter("hangs > 1 or (hangs = 1 and n > 1)").isEmpty()
 
 
 def _lowest(links: DataFrame) -> DataFrame:
@@ -24,15 +29,13 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links`` has two columns a and b of node numbers; direction does not matter.
     Each round hangs larger neighbours, then smaller ones, under a node's smallest
-    neighbour, until the table no longer changes; then every component is a star
-    around its smallest node.  Rounds are joins and map-side combined minima, so a
-    node with very many neighbours is only a skewed join key.
+    neighbour, until every component is a star around its smallest node.  Rounds are
+    joins and map-side combined minima, so a node with very many neighbours is only
+    a skewed join key.
     """
-    pairs = links.filter("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("low")).distinct()
-    table = settle(pairs, "links")
-    before = _checksum(table)
+    table = settle(links.filter("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("low")), "links")
     for _ in range(ROUNDS):
-        if not before[0]:
+        if _stars(table):
             break
         both = table.select("node", F.col("low").alias("other")).unionByName(
             table.select(F.col("low").alias("node"), F.col("node").alias("other"))
@@ -42,7 +45,6 @@ def components(links: DataFrame) -> DataFrame:
             .filter("other > node")
             .select(F.col("other").alias("node"), F.col("least").alias("low"))
             .filter("node <> low")
-            .distinct()
         )
         large = settle(large, "large-star")
         down = large.select("node", F.col("low").alias("other"))
@@ -55,8 +57,6 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         table = settle(small, "small-star")
-        now = _checksum(table)
-        if now == before:
-            break
-        before = now
+    else:
+        raise RuntimeError(f"components are not done after {ROUNDS} rounds")
     return table

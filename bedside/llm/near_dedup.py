@@ -214,7 +214,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.select("a", "b").join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(confirm, "a long, b long").distinct()
+    return joined.mapInArrow(confirm, "a long, b long")
 
 
 def near_duplicates(
@@ -225,11 +225,11 @@ def near_duplicates(
     having = rows.filter("key is not null and doc_id is not null")
     classes = settle(having.groupBy("key").agg(F.min("doc_id").alias("id")), "classes")
     first = having.withColumnRenamed("doc_id", "id").join(classes, ["key", "id"], "left_semi")
-    banded = first.select("id", F.explode("bands").alias("band")).distinct()
+    banded = first.select("id", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("id").alias("leader"), F.max("id").alias("top")).filter("leader < top")
     live = settle(banded.join(buckets.select("band", "leader"), "band"), "buckets")
 
-    members = live.select("id").distinct()
+    members = live.select("id")
     texts = settle(
         docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("text")).join(members, "id", "left_semi"),
         "candidates",
@@ -247,7 +247,7 @@ def near_duplicates(
         if live.isEmpty():
             break
         if bits is None:
-            bits = bit_sketches(texts.join(live.select("id").distinct(), "id", "left_semi"), shingle)
+            bits = bit_sketches(texts.join(live.select("id"), "id", "left_semi"), shingle)
             bits = settle(bits.join(first.select("id", "bands").dropDuplicates(["id"]), "id"), "bits")
         if look == "leaders":
             rank = F.row_number().over(W.partitionBy("band").orderBy("id"))
