@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import column, settle
+from .store import column, hold, settle, small_batches
 
 START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -41,7 +41,7 @@ LONGEST_PIECE, ROUNDS, PSEUDO, UNKNOWN = 8, 3, 0.05, 1e-7
 #: At most about so many labelled rows per language are learned from, chosen by a hash of their id.
 SAMPLE = 800
 #: Words a worker remembers; a longer word is scored in stretches of this many letters.
-REMEMBERED, STRETCH = 120_000, 48
+REMEMBERED, STRETCH = 80_000, 48
 
 
 class Pieces:
@@ -179,6 +179,7 @@ _SEEN: dict[str, _Seen] = {}
 
 
 def _seen(name: str, languages: int) -> _Seen:
+    hold("language", _SEEN.clear)
     if name not in _SEEN or len(_SEEN[name].place) > REMEMBERED:
         _SEEN.clear()  # the words of an earlier model are of no use
         _SEEN[name] = _Seen(languages)
@@ -211,6 +212,7 @@ def fit(
     lang_col: str = "lang",
 ) -> LanguageModel:
     """Learn from the rows of ``docs`` that have a text and a language."""
+    small_batches(docs.sparkSession)
     rows = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"), column(lang_col).alias("lang"))
     rows = _sampled(rows.filter("text is not null and lang is not null"), sample)
     table = Pieces(path)

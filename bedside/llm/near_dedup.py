@@ -44,12 +44,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .components import components
-from .store import column, portions, settle, spread, whole_row
+from .store import column, hold, portions, settle, small_batches, spread, whole_row
 
 BANDS, ROWS = 44, 6
 #: Bytes of text and rows that are sketched at once.
 PORTION, TOGETHER = 1 << 20, 1000
-REMEMBERED, LONGEST = 200_000, 40
+REMEMBERED, LONGEST = 120_000, 40
 #: Members of an open bucket that all others are compared with at the second look.
 LEADERS = 8
 #: Coordinates of the longer sketch, of each one bit, and the standard deviations that are allowed for.
@@ -119,6 +119,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def _elements(words: list[bytes], size: int) -> np.ndarray:
+    hold("near", _WORDS.clear)
     hashed = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     width = min(size, len(words))
     out = np.full(len(words) - width + 1, np.uint64(len(words) if len(words) < size else 0))
@@ -221,6 +222,7 @@ def near_duplicates(
     docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    small_batches(docs.sparkSession)
     rows = settle(sketched(docs, shingle, id_col, text_col), "sketches")
     having = rows.filter("key is not null and doc_id is not null")
     classes = settle(having.groupBy("key").agg(F.min("doc_id").alias("id")), "classes")

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from .merges import PairMerges
-from .store import column, portions, settle
+from .store import column, hold, portions, settle, small_batches
 
 PARTS = 1024
 #: Rounds of multiplicative weights, fillings taken per round, and the step.
@@ -151,18 +151,26 @@ def _byte_signs() -> list[str]:
 _IDS: dict[str, WordIds] = {}
 
 
+def _word_ids(path: str) -> WordIds:
+    """The vocabulary and the words seen stay with the worker."""
+    hold("packing", _IDS.clear)
+    if path not in _IDS:
+        _IDS[path] = WordIds(path)
+    return _IDS[path]
+
+
 def token_pieces(
     docs: DataFrame, path: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids: doc_id, piece, start, length, ids (little-endian unsigned 32-bit)."""
+    small_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _IDS:
-            _IDS[path] = WordIds(path)
+        ids_of = _word_ids(path)
         for batch in portions(batches, "text", PORTION):
             rows, pieces, starts, parts = [], [], [], []
-            for i, ids in enumerate(_IDS[path].texts(batch.column(1).to_pylist())):
+            for i, ids in enumerate(ids_of.texts(batch.column(1).to_pylist())):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     rows.append(i)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -52,6 +52,31 @@ def spread(df: DataFrame, row: str, names: list[str]) -> DataFrame:
     return df.select(*[F.col(row).getField(c).alias(c) for c in names])
 
 
+#: Rows of text that go to a Python worker at once; pages and documents are long, so Spark's 10,000 are many.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep the batches between Spark and Python workers to ``BATCH_ROWS`` rows, unless they are smaller already."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, forget: Callable[[], None]) -> None:
+    """Say that a worker now remembers things for ``owner``.
+
+    Workers are used again by later stages; what one remembers for another
+    operator goes, so that its memory is bounded by one of them.
+    """
+    for other in [o for o in _HELD if o != owner]:
+        _HELD.pop(other)()
+    _HELD[owner] = forget
+
+
 def portions(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches where the bytes of a text column pass ``limit``; a longer single text stays whole."""
     for batch in batches:
