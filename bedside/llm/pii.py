@@ -12,11 +12,13 @@ punctuation of a number), so all mentions of one entity get the same surrogate,
 each written its own way.  Different entities get different surrogates, none of
 which is a real entity of the corpus: the distinct entities are checked against
 each other and losers draw again, with the number of the draw in the digest, until
-none is left.  The documents that mention a redrawn entity carry its draw.
+none is left.  The names to draw from grow with the number of the draw, without end.
+The documents that mention a redrawn entity carry its draw.
 
 Defined cases: null text stays null and has no entity; a text without entities
 comes out as it is; rows that share an id are treated alike; an empty table is
-empty; an entity that has no free surrogate after ``DRAWS`` draws is blanked.
+empty; an entity of another kind whose length leaves it no free surrogate after
+``DRAWS`` draws is blanked.
 """
 
 from __future__ import annotations
@@ -128,6 +130,12 @@ def _pick(names: list[str], digest: Column, at: int) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), number % len(names) + 1)
 
 
+def _made_up(digest: Column, syllables: Column) -> Column:
+    """A name of so many syllables, an even number of them."""
+    onsets = F.translate(F.substring(digest, F.lit(9), syllables), "0123456789abcdef", "bdfghjklmnprstvz")
+    return F.initcap(F.regexp_replace(onsets, "(.)(.)", "$1a$2o"))
+
+
 def _surrogate(kind: Column, canonical: Column, draw: Column, key: str) -> Column:
     """The canonical form of the replacement at a draw."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, canonical, draw.cast("string"))
@@ -137,11 +145,14 @@ def _surrogate(kind: Column, canonical: Column, draw: Column, key: str) -> Colum
     card = F.concat(F.substring(canonical, 1, 1), F.substring(digits, F.lit(2), F.length(digits)))
     given = F.when(canonical.startswith("m:"), _pick(MALE, digest, 0)).when(canonical.startswith("f:"), _pick(FEMALE, digest, 0))
     given = given.otherwise(_pick(MALE + FEMALE, digest, 0))
-    name, latin = F.substring(canonical, F.lit(3), F.length(canonical)), canonical.rlike(r"^.:[\p{IsLatin} ]+$")
+    # names of other scripts than the alphabets have get listed ones, as Latin names do
+    name = F.translate(F.substring(canonical, F.lit(3), F.length(canonical)), "ЁёΆΈΉΊΌΎΏάέήίόύώς", "ЕеΑΕΗΙΟΥΩαεηιουωσ")
+    swapped = name.rlike(r"^[\u0410-\u044F\u0391-\u03A9\u03B1-\u03C9 ]+$")
     family = _pick(FAMILY, digest, 2)
-    # later draws double the family name, so that names never run out
-    family = F.when(draw > 3, F.concat(family, F.lit("-"), _pick(FAMILY, digest, 4))).otherwise(family)
-    person = F.when(~latin, _like(name, digest)).when(name.contains(" "), F.concat_ws(" ", given, family)).otherwise(family)
+    # later draws double the family name, then make up a longer one with every draw, so that names never run out
+    family = F.when(draw > 3, _made_up(digest, 2 * draw - 4)).when(draw > 1, F.concat(family, F.lit("-"), _pick(FAMILY, digest, 4))).otherwise(family)
+    longer = F.concat(name, F.repeat(F.substring(name, -1, 1), F.greatest(draw - 3, F.lit(0))))
+    person = F.when(swapped, _like(longer, digest)).when(name.contains(" "), F.concat_ws(" ", given, family)).otherwise(family)
     octets = [_byte(digest, F.lit(i)).cast("string") for i in range(3)]
     return (
         F.when(kind == "email", F.concat(_like(F.regexp_replace(canonical, r"\.[a-z0-9-]+$", ""), digest), F.lit(".example")))
@@ -230,7 +241,8 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
         draw = F.when(moved, F.element_at("redrawn", known)).otherwise(F.lit(0))
         written = _written(kind, m["value"], _surrogate(kind, canonical, draw, key))
         blank = F.regexp_replace(m["value"], r"[\p{L}\p{N}]", "*")
-        return F.struct(kind.alias("kind"), F.when(kind.isNull(), m["value"]).otherwise(F.coalesce(written, blank)).alias("surrogate"))
+        new = F.when(kind.isNull(), m["value"]).when(draw.isNull(), blank).otherwise(written)
+        return F.struct(kind.alias("kind"), new.alias("surrogate"))
 
     pieces = F.when(F.size("found") > 0, F.split("text", ANY, -1)).otherwise(F.array("text"))
     put = F.array_append(F.transform("found", lambda m: m["surrogate"]), F.lit(""))

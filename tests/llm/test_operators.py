@@ -294,6 +294,26 @@ def test_surrogates_stay_distinct(spark):
     assert len({min(v) for v in new.values()}) == len(people) and not {min(v) for v in new.values()} & set(people)
 
 
+def test_surrogates_of_many_names(spark):
+    """Far more people than listed names, and names of two letters: nobody shares a surrogate or keeps a name."""
+    people = [f"Mr {a}{b}{c}{d}" for a in "ABCDEFGHIJ" for b in "aeiou" for c in "lmnr" for d in "abdefgiklmnopst"]
+    people += [f"Herr {a}{b}" for a in pii.ALPHABETS["[\\u0410-\\u042F]"] for b in pii.ALPHABETS["[\\u0430-\\u044F]"]]
+    got = pii.surrogates(spark.createDataFrame(list(enumerate(people)), "doc_id long, text string"), "k").collect()
+    new = {r["text"] for r in got}
+    assert len(people) == 4024 == len(new) and not new & set(people) and not any("*" in n for n in new)
+
+
+def test_a_surrogate_that_is_not_found_is_blanked(spark, monkeypatch):
+    """With one draw only, losers are blanked instead of taking a surrogate that another has."""
+    monkeypatch.setattr(pii, "DRAWS", 1)
+    people = [f"Mr. {a}{b}{c}" for a in "ABCDEFGH" for b in "aeiou" for c in "lmnr"]
+    got = pii.surrogates(spark.createDataFrame(list(enumerate(people)), "doc_id long, text string"), "k").collect()
+    drawn = [r["text"] for r in got if "*" not in r["text"]]
+    assert 0 < len(set(drawn)) == len(drawn) < len(people)
+    blank = {r["text"] for r in got} - set(drawn)
+    assert all(set(t) <= set("Mr*. ") for t in blank)
+
+
 def test_language(spark, docs, none):
     path = public_tokenizers.path("piece_bpe_32k.model")
     north = [(100 + i, prose(i, 40), "north", None) for i in range(40)]
