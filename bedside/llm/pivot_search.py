@@ -140,7 +140,9 @@ def top_k(
                 ["id", "packed", "cell", "away", "norm"],
             )
 
-    keyed = settle(rows.mapInArrow(key, "id long, packed binary, cell int, away double, norm double"), "keyed")
+    # repeated rows go before anything is counted or cut; the same vector has the same cell
+    keyed = rows.mapInArrow(key, "id long, packed binary, cell int, away double, norm double")
+    keyed = settle(keyed.dropDuplicates(["id", "packed"]), "keyed")
     queries = keyed.filter(is_query).select("id", "packed", F.floor(F.col("cell") / ANNULI).cast("int").alias("pivot"))
     size = len(pivots) * ANNULI
     found.near, found.far, found.norm = np.full(size, np.inf), np.full(size, -np.inf), np.full(size, -np.inf)
@@ -234,11 +236,15 @@ def _met(chunks: DataFrame, blocks: DataFrame, found: Directory, k: int) -> Data
                 on = np.flatnonzero(_wanted(found, matrix, least)[:, r["cell"]])
                 scores = _scores(matrix[on], vectors)
                 own = asks[on][:, None] == ids
+                repeated = (ids[1:] == ids[:-1]).any()
                 out = []
                 for i in range(len(on)):
                     # ~x falls as x rises; ids of a block rise, so a stable sort settles ties
                     order = np.argsort(~scores[i], kind="stable")
-                    order = order[~own[i][order]][:k]
+                    order = order[~own[i][order]]
+                    if repeated:  # different vectors under one id: the best of each, before the cut
+                        order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
+                    order = order[:k]
                     out.append((np.full(len(order), asks[on[i]]), ids[order], scores[i][order]))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query_id", "id", "score"])
