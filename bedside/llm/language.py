@@ -267,6 +267,16 @@ def _expectations(model: LanguageModel):
     return expect
 
 
+def lettered(text: Column) -> Column:
+    """Whether a text column has a letter, so that it has a language, known or not."""
+
+    @F.pandas_udf("boolean")
+    def any_letter(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: isinstance(t, str) and bool(LETTERS.search(t.lower()))).astype(bool)
+
+    return any_letter(text)
+
+
 def identified(model: LanguageModel, text: Column) -> Column:
     """A struct of lang_pred and score for a text column."""
 

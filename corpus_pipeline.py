@@ -15,8 +15,10 @@ from bedside.llm.store import column, settle, spread, table, whole_row
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null text or no letter) go."""
+    """Documents without a language (null text or no letter) go, also where no row is labelled and nothing can be learned."""
     model = language.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    if not model.languages:
+        return docs.filter(language.lettered(column("text").cast("string")))
     rows = docs.select(whole_row(docs).alias("row"), language.identified(model, column("text").cast("string")).alias("found"))
     return spread(rows.filter(F.col("found.lang_pred") != language.UND), "row", docs.columns)
 

@@ -76,6 +76,14 @@ def test_stages(spark):
         assert stage(spark, none, SF).count() == 0
 
 
+def test_language_stage_without_any_label(spark):
+    """Where no row has a language, nothing can be learned, but texts with a letter stay."""
+    rows = [(r[0], r[1], None, r[3]) for r in texts()]
+    out = dict(corpus_pipeline.STAGES)["language id"](spark, documents(spark, rows), SF)
+    want = Counter((r[0], r[1]) for r in rows if r[1] and any(c.isalpha() for c in r[1]))
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == want and want
+
+
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows
