@@ -337,6 +337,25 @@ def test_a_surrogate_that_is_not_found_is_blanked(spark, monkeypatch):
     assert all(set(t) <= set("Mr*. ") for t in blank)
 
 
+def test_surrogates_of_whole_names_and_secrets(spark):
+    """Nothing of a name or secret stays; short and full forms of a name agree under any title."""
+    clear = {
+        "Mr. John Percy Smith left.": "John Percy Smith", "Mr. Jean-Luc Picard sat.": "Jean Luc Picard", "Dr. O'Brien came.": "Brien",
+        "Mr. J. Smith spoke.": "Smith", "Frau Gudrun van der Berg": "Gudrun der Berg", "Prof. Dr. Edda Moor-Hill": "Edda Moor Hill",
+        "Dr. 王伟": "王 伟", "Dr. משה כהן": "משה כהן", "Dr John Smith, Mr Smith": "John Smith", "Mr. J.R.R. Tolkien's": "Tolkien",
+        '{"password": "hunter22"}': "hunter22", "password=abc:rest": "abc rest", "token    :     k3jf93kf": "k3jf93kf",
+    }
+    got = pii.surrogates(spark.createDataFrame(list(enumerate(clear)), "doc_id long, text string"), "k").collect()
+    new = {r["doc_id"]: r for r in got}
+    for i, (text, words) in enumerate(clear.items()):
+        assert new[i]["n_entities"] == (2 if "," in text else 1), text
+        assert not [w for w in words.split() if w in new[i]["text"]], new[i]["text"]
+    names = [new[i]["text"].split() for i in range(len(clear))]
+    assert names[8] == ["Dr", names[0][1], names[0][3] + ",", "Mr", names[0][3]] and names[3][2] == names[0][3]
+    assert names[4][0] == "Frau" and names[5][:2] == ["Prof.", "Dr."] and new[9]["text"].endswith("'s")
+    assert [new[i]["text"][:n] for i, n in ((10, 14), (11, 9), (12, 15))] == ['{"password": "', "password=", "token    :     "]
+
+
 def test_language(spark, docs, none):
     path = public_tokenizers.path("piece_bpe_32k.model")
     north = [(100 + i, prose(i, 40), "north", None) for i in range(40)]
