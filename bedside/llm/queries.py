@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 
 from . import language, quality
 from .exact_dedup import exact_duplicates
+from .fill_middle import fill_in_middle, restored
 from .html_text import extracted
 from .mixing import mixed
 from .near_dedup import near_duplicates
 from .packing import packed, token_pieces
 from .pii import surrogates
 from .pivot_search import top_k
+from .sharding import sharded
 from .store import LOWER, UPPER, table
 from .token_counts import token_counts
+from .whitening import whitened
 
 
 def fold(parts: int) -> Column:
@@ -78,7 +81,31 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op5_minhash_near_dedup, op6_pivot_top_k, op7_pii_surrogates, op8_language_id, op9_source_mixing, op10_html_extraction)}
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitened(table(spark, sf_dir, "embeddings"), components=8, weights="counts", scale=1024.0, shift=100_000)
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(table(spark, sf_dir, "documents"), shards=24)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(table(spark, sf_dir, "documents"), units="lines", seed=7, rate=100, spm=50)
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup, op2_best_fit_packing, op3_quality_classifier, op4_token_counts, op5_minhash_near_dedup, op6_pivot_top_k,
+        op7_pii_surrogates, op8_language_id, op9_source_mixing, op10_html_extraction, op11_embedding_whitening,
+        op12_minimax_sharding, op13_fill_in_middle,
+    )
+}
 
 ORACLES = {
     "op6_pivot_top_k": """
@@ -94,4 +121,17 @@ WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(normal) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY normal)""",
+    "op13_fill_in_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l FROM documents),
+ c AS (SELECT *, len(l) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(l) + 1) AS h1, ('0x' || substr(h, 9, 8))::BIGINT % (len(l) + 1) AS h2,
+    ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 AS s,
+    t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain FROM d),
+ p AS (SELECT *, array_to_string(l[1:least(h1, h2)], '') AS a, array_to_string(l[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+    array_to_string(l[greatest(h1, h2) + 1:n], '') AS z FROM c)
+SELECT doc_id, n::BIGINT AS n, CASE WHEN plain THEN 'plain' WHEN s THEN 'spm' ELSE 'psm' END AS form,
+  CASE WHEN NOT plain THEN length(a)::BIGINT END AS prefix_chars, CASE WHEN NOT plain THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE WHEN plain THEN t WHEN s THEN '<S>' || z || '<P>' || a || '<M>' || m
+    ELSE '<P>' || a || '<S>' || z || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p""",
 }

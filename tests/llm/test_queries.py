@@ -24,6 +24,9 @@ COLUMNS = {
     "op8_language_id": {"doc_id", "held_out", "lang_pred", "score"},
     "op9_source_mixing": {"doc_id", "size", "source_size", "target", "taken"},
     "op10_html_extraction": {"page_id", "url", "text", "n_chars"},
+    "op11_embedding_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
+    "op12_minimax_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
+    "op13_fill_in_middle": {"doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"},
 }
 
 
@@ -37,8 +40,9 @@ def test_matches_twin(spark, name):
 def test_columns_and_rows(spark, name):
     found = queries.QUERIES[name](spark, SF)
     assert COLUMNS[name] <= set(found.columns)
-    table = "pages" if name.startswith("op10") else "documents"
-    rows = found.select("piece").filter("piece = 0") if name.startswith("op2") else found
+    table = {"op10_html_extraction": "pages", "op11_embedding_whitening": "embeddings"}.get(name, "documents")
+    first = {"op2_best_fit_packing": "piece = 0", "op11_embedding_whitening": "component = 1"}.get(name)
+    rows = found.filter(first) if first else found
     assert rows.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
