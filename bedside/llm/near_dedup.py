@@ -52,6 +52,8 @@ PORTION, TOGETHER = 1 << 20, 1000
 REMEMBERED, LONGEST = 120_000, 40
 #: Members of an open bucket that all others are compared with at the second look.
 LEADERS = 8
+#: Members of a bucket that meet in one cell of a later look, on either side.
+CELL = 256
 #: Coordinates of the longer sketch, of each one bit, and the standard deviations that are allowed for.
 BITS, SIGMAS = 4096, 5.0
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -118,6 +120,10 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def _key(words: list[bytes]) -> bytes:
+    return sha256(b" ".join(words)).digest()
+
+
 def _elements(words: list[bytes], size: int) -> np.ndarray:
     hold("near", _WORDS.clear)
     hashed = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
@@ -140,7 +146,7 @@ def sketched(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataF
             for at in range(0, portion.num_rows, TOGETHER):
                 batch = portion.slice(at, TOGETHER)
                 split = [words_of(t) for t in batch.column(1).to_pylist()]
-                keys = [sha256(b" ".join(w)).digest() if w else None for w in split]
+                keys = [_key(w) if w else None for w in split]
                 first = {k: i for i, k in reversed(list(enumerate(keys))) if k}  # copies in a portion are sketched once
                 sets = {k: _elements(split[i], shingle) for k, i in first.items()}
                 bands = {}
@@ -163,19 +169,21 @@ def sketched(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataF
 
 
 def bit_sketches(texts: DataFrame, shingle: int) -> DataFrame:
-    """For rows of id and text: id, bits (one bit per coordinate of a longer sketch, in 64-bit words)."""
+    """For rows of id and text: id, key (of the word sequence), bits (one per coordinate of a longer sketch, in 64-bit words)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for portion in portions(batches, "text", PORTION):
             for at in range(0, portion.num_rows, TOGETHER // 4):
                 batch = portion.slice(at, TOGETHER // 4)
-                sets = [_elements(words_of(t), shingle) for t in batch.column(1).to_pylist()]
+                split = [words_of(t) for t in batch.column(1).to_pylist()]
+                sets = [_elements(w, shingle) for w in split]
                 owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
                 found = sketches(np.concatenate(sets), owner, len(sets), BITS)
                 words = np.packbits((found >> np.uint64(17) & np.uint64(1)).astype(bool), axis=1).view("<i8")
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(words), pa.list_(pa.int64()))], ["id", "bits"])
+                keys = pa.array([_key(w) for w in split], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), keys, pa.array(list(words), pa.list_(pa.int64()))], ["id", "key", "bits"])
 
-    return texts.select("id", "text").mapInArrow(sketch, "id long, bits array<long>")
+    return texts.select("id", "text").mapInArrow(sketch, "id long, key binary, bits array<long>")
 
 
 def _alike(a: Column, b: Column, percent: int) -> Column:
@@ -192,7 +200,7 @@ def _alike(a: Column, b: Column, percent: int) -> Column:
 def _first_met(band: Column, a: Column, b: Column) -> Column:
     """Whether ``band`` is the first that two texts share, so that a pair comes out of one bucket only."""
     shared = F.zip_with(a, b, lambda x, y: F.when(x == y, x))
-    return F.element_at(F.filter(shared, lambda x: x.isNotNull()), 1) == band
+    return F.get(F.filter(shared, lambda x: x.isNotNull()), F.lit(0)) == band
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -218,6 +226,23 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return joined.mapInArrow(confirm, "a long, b long")
 
 
+def _dealt(live: DataFrame, some: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a look dealt over the cells of each bucket: every two members meet in exactly one cell.
+
+    A bucket of n members, m of which are compared with all, is a grid of n / CELL by m / CELL cells.
+    """
+    counts = live.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.join(some.groupBy("band").agg(F.count(F.lit(1)).alias("m")), "band")
+    grid = settle(counts.select("band", *[F.ceil(F.col(c) / CELL).cast("int").alias(c) for c in ("n", "m")]), "grid")
+    row, column_ = (F.pmod(F.xxhash64("id", F.lit(seed)), F.col(c)).cast("int") for seed, c in ((21, "n"), (22, "m")))
+    across = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda k: row * F.col("m") + k)
+    down = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: k * F.col("m") + column_)
+    return (
+        live.join(grid, "band").select("band", "id", "low", F.explode(across).alias("cell")),
+        some.join(grid, "band").select("band", "id", "low", F.explode(down).alias("cell")),
+    )
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -237,7 +262,12 @@ def near_duplicates(
         "candidates",
     )
     pairs = settle(live.filter("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
-    linked = components(settle(confirmed(pairs, texts, shingle, percent), "confirmed"))
+    # the texts of one id hang together
+    text = F.xxhash64("key")
+    several = having.groupBy("doc_id").agg(F.min(text).alias("one"), F.max(text).alias("other")).filter("one < other").select("doc_id")
+    several = settle(several, "several")
+    own = having.join(several, "doc_id").join(classes, "key").filter("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    linked = components(settle(confirmed(pairs, texts, shingle, percent).unionByName(own), "confirmed"))
     tested, bits = pairs, None
     for look in ("leaders", "rest"):
         labelled = live.select("band", "id").join(linked.withColumnRenamed("node", "id"), "id", "left").select(
@@ -250,7 +280,8 @@ def near_duplicates(
             break
         if bits is None:
             bits = bit_sketches(texts.join(live.select("id"), "id", "left_semi"), shingle)
-            bits = settle(bits.join(first.select("id", "bands").dropDuplicates(["id"]), "id"), "bits")
+            # an id may have several texts, each with its own bands and bits
+            bits = settle(bits.join(first.select("id", "key", "bands"), ["id", "key"]).drop("key").distinct(), "bits")
         if look == "leaders":
             rank = F.row_number().over(W.partitionBy("band").orderBy("id"))
             some = live.withColumn("rank", rank).filter(F.col("rank") <= LEADERS)
@@ -258,13 +289,14 @@ def near_duplicates(
             sizes = live.groupBy("band", "low").agg(F.count(F.lit(1)).alias("n"))
             largest = sizes.groupBy("band").agg(F.max(F.struct("n", "low")).getField("low").alias("largest"))
             some = live.join(largest, "band").filter(F.col("low") != F.col("largest"))
-        other = some.join(bits, "id").select("band", *[F.col(c).alias(f"other_{c}") for c in ("id", "low", "bits", "bands")])
+        one, other = _dealt(live, some)
+        other = other.join(bits, "id").select("band", "cell", *[F.col(c).alias(f"other_{c}") for c in ("id", "low", "bits", "bands")])
         near = (F.col("low") != F.col("other_low")) & _alike(F.col("bits"), F.col("other_bits"), percent)
         once = _first_met(F.col("l.band"), F.col("bands"), F.col("other_bands"))
         pairs = settle(
-            live.join(bits, "id")
+            one.join(bits, "id")
             .alias("l")
-            .join(other.alias("o"), (F.col("l.band") == F.col("o.band")) & near & once)
+            .join(other.alias("o"), (F.col("l.band") == F.col("o.band")) & (F.col("l.cell") == F.col("o.cell")) & near & once)
             .select(F.greatest("id", "other_id").alias("a"), F.least("id", "other_id").alias("b"))
             .distinct()
             .join(tested, ["a", "b"], "left_anti"),
@@ -277,8 +309,9 @@ def near_duplicates(
             linked = components(stars.unionByName(more))
 
     groups = classes.join(linked.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("low", "id").alias("low"))
-    found = rows.select("doc_id", "n_shingles", "key").join(groups, "key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id"))
+    lowest = several.join(linked, F.col("doc_id") == F.col("node")).select("doc_id", F.col("low").alias("own"))
+    found = rows.select("doc_id", "n_shingles", "key").join(groups, "key", "left").join(lowest, "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("own", "low", "doc_id"))
     return found.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
