@@ -54,7 +54,7 @@ class _Tokens(dict):
 
 def _shape(token: str) -> int:
     if not (token[0].isalnum() or token[0] == "_"):
-        return xxhash.xxh3_64_intdigest(token[:8])
+        return xxhash.xxh3_64_intdigest(token)
     if token.isdigit():
         return 1
     if not token.isalpha():
