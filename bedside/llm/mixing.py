@@ -11,16 +11,20 @@ source or a hot size costs no more than its distinct sizes.
 Rates become whole copies: a class of n documents at rate r gives ``n * r``
 copies up to rounding, and roundings are carried from class to class in order of
 size, so what a source takes differs from its target by about one document.
-Which documents of a class get the extra copy is decided by a hash of their id,
-so reruns agree.
+Which documents of a class get the extra copy is decided by their id and a hash of
+their other columns, so reruns agree however rows are partitioned.
 
 Defined cases: null or blank text has size 0 and is taken zero times; a null
-source is a source of its own and ranks last; rows without id share a hash and
-are told apart only by rank; repeated rows are documents of their own.
+source is a source of its own and ranks last; rows that share an id, or have none,
+are told apart by their other columns (but for maps and variants); rows that are
+alike in all of them are documents of their own, and which of them is taken twice
+makes no difference.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -152,12 +156,14 @@ def mixed(
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, size, source_size, target, copies, taken and the ``row`` itself."""
     most = 2.0
+    plain = [column(f.name) for f in docs.schema if not re.search("map<|variant", f.dataType.simpleString())]
     rows = docs.select(
         column(id_col).alias("doc_id"),
         source_key(column(source_col)).alias("key"),
         words(column(text_col)).alias("size"),
+        F.xxhash64(*plain, F.lit(9)).alias("digest"),
         whole_row(docs).alias("row"),
-    ).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(PARTS)).cast("int"))
+    ).withColumn("part", F.pmod("digest", F.lit(PARTS)).cast("int"))
     counts = settle(rows.groupBy("key", "size", "part").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     classes = settle(counts.groupBy("key", "size").agg(F.sum("n").alias("n")), "mix-classes")
     sizes = classes.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -185,7 +191,7 @@ def mixed(
         .select("key", "size", "part", "start", "source_size", "target", "whole", "extra"),
         "mix-parts",
     )
-    ranked = rows.withColumn("rank", F.row_number().over(W.partitionBy("key", "size", "part").orderBy("doc_id")))
+    ranked = rows.withColumn("rank", F.row_number().over(W.partitionBy("key", "size", "part").orderBy("digest", "doc_id")))
     copies = F.col("whole") + (F.col("start") + F.col("rank") <= F.col("extra")).cast("long")
     return (
         ranked.join(starts, ["key", "size", "part"])
