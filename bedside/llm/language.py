@@ -9,18 +9,22 @@ language, every partition runs forward and backward over its words and sums the
 expected uses of pieces, and the driver only normalises the table of pieces by
 languages, whose size the vocabulary bounds.
 
-Words are runs of letters in lower case.  Most come again and again, so a worker
-keeps the log probabilities of those seen, in a table of bounded size.
+Words are runs of letters with their marks (vowel signs, accents), in lower case; a
+letter is what Unicode calls one, so number signs are none.  Words of about equal
+length are summed together; sums are scaled as they go along, and a very long word
+is read in windows, each of which begins with the positions that the last one left
+open, so words and pieces of any length are summed whole.  Most words come again and
+again, so a worker keeps the log probabilities of those seen, in a table of bounded
+size.
 
 Defined cases: a null text, an empty one and one without any letter are ``und``
 with score 0; without training rows every text is; a character outside the
 vocabulary has one small probability in all languages; ties go to the language
-that sorts first.
+that sorts first; words of more than ``LEARNED`` letters are scored but not learned from.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,20 +32,25 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import column, hold, settle, small_batches
 
 START = "▁"
-LETTERS = re.compile(r"[^\W\d_]+")
+#: A word is a letter with all letters, marks and joiners behind it; pieces may begin with a mark.
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}\u200C\u200D]*+")
+PIECE = regex.compile(r"[\p{L}\p{M}]+")
 UND = "und"
-#: Longest piece, rounds of expectation maximisation, pseudo count of a piece, share of an unknown character.
-LONGEST_PIECE, ROUNDS, PSEUDO, UNKNOWN = 8, 3, 0.05, 1e-7
+#: Rounds of expectation maximisation, pseudo count of a piece, share of an unknown character.
+ROUNDS, PSEUDO, UNKNOWN = 3, 0.05, 1e-7
 #: At most about so many labelled rows per language are learned from, chosen by a hash of their id.
 SAMPLE = 800
-#: Words a worker remembers; a longer word is scored in stretches of this many letters.
-REMEMBERED, STRETCH = 80_000, 48
+#: Words a worker remembers, letters of the longest of them, and letters of the longest that is learned from.
+REMEMBERED, LONGEST, LEARNED = 80_000, 60, 4096
+#: Positions that a lattice may have in all its words, those between two scalings, and those of a window in a longer word.
+CELLS, SCALED, WINDOW = 1 << 18, 16, 1 << 14
 
 
 class Pieces:
@@ -52,7 +61,8 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         found = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()))
-        chosen = sorted({p for p in found if len(p) <= LONGEST_PIECE and (p == START or LETTERS.fullmatch(p.lstrip(START)))})
+        chosen = sorted({p for p in found if p == START or PIECE.fullmatch(p.removeprefix(START))})
+        self.longest = max(map(len, chosen))
         node = {"": 0}
         for p in chosen:
             for end in range(1, len(p) + 1):
@@ -72,64 +82,141 @@ class Pieces:
         return np.where(self.keys[at] == key, self.nodes[at], -1)
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+
+
+def _edges(points: np.ndarray, left: np.ndarray, table: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pieces in ``points``: where they begin, how long they are and which; ``left`` is how much of its word a position has."""
+    begins, sizes, pieces = [], [], []
+    at, node = np.arange(len(left)), np.zeros(len(left), np.int64)
+    for size in range(1, table.longest + 1):
+        node = table.step(node, points[at + size - 1])
+        piece = np.where(node >= 0, table.piece[node], -1)
+        if size == 1:
+            piece = np.where(piece < 0, 0, piece)  # every character can stand alone
+        ok = piece >= 0
+        begins.append(at[ok])
+        sizes.append(np.full(ok.sum(), size))
+        pieces.append(piece[ok])
+        on = (node >= 0) & (left[at] > size)
+        at, node = at[on], node[on]
+    return tuple(np.concatenate(x) for x in (begins, sizes, pieces))
+
+
 class Lattice:
-    """All segmentations of a list of words: edges from begin to end that use a piece."""
+    """All segmentations of a list of words: edges from begin to end that use a piece.
+
+    Sums are kept as a number and the logarithm of its scale: at every ``SCALED``-th
+    position the numbers that later positions need are divided by the largest of them.
+    """
 
     def __init__(self, words: list[str], table: Pieces):
         self.lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        self.words, self.width = len(words), int(self.lengths.max(initial=0)) + 1
-        points = np.frombuffer("".join(START + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        self.words, self.width, self.reach = len(words), int(self.lengths.max(initial=0)) + 1, table.longest
+        points = _points("".join(START + w for w in words))
         word = np.repeat(np.arange(len(words)), self.lengths)
         inside = np.arange(len(points)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        cell, left = word * self.width + inside, self.lengths[word] - inside
-        begins, ends, pieces = [], [], []
-        at, node = np.arange(len(points)), np.zeros(len(points), np.int64)
-        for size in range(1, LONGEST_PIECE + 1):
-            node = table.step(node, points[at + size - 1])
-            piece = np.where(node >= 0, table.piece[node], -1)
-            if size == 1:
-                piece = np.where(piece < 0, 0, piece)  # every character can stand alone
-            ok = piece >= 0
-            begins.append(cell[at[ok]])
-            ends.append(cell[at[ok]] + size)
-            pieces.append(piece[ok])
-            on = (node >= 0) & (left[at] > size)
-            at, node = at[on], node[on]
-        self.begin, self.end, self.piece = (np.concatenate(x) for x in (begins, ends, pieces))
+        begin, size, self.piece = _edges(points, self.lengths[word] - inside, table)
+        cell = word * self.width + inside
+        self.begin, self.end = cell[begin], cell[begin] + size
         self.final = np.arange(len(words)) * self.width + self.lengths
 
-    def _sweep(self, share: np.ndarray, origin: np.ndarray, source: np.ndarray, goal: np.ndarray, steps: range) -> np.ndarray:
-        """Sums over all paths from ``origin``, one position of all words at a time."""
-        cells = np.zeros((self.words * self.width, share.shape[1]))
-        cells[origin] = 1.0
-        order = np.argsort(goal % self.width, kind="stable")
-        cuts = np.searchsorted((goal % self.width)[order], np.arange(self.width + 1))
-        for position in steps:
+    def _sweep(self, share: np.ndarray, origin: np.ndarray, source: np.ndarray, goal: np.ndarray, ahead: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Sums over all paths from ``origin``, one position of all words at a time, and the logarithms of their scales."""
+        cells, scales = np.zeros((self.words, self.width, share.shape[1])), np.zeros((self.words, self.width, share.shape[1]))
+        flat = cells.reshape(-1, share.shape[1])
+        flat[origin] = 1.0
+        at = goal % self.width
+        order = np.argsort(at, kind="stable")
+        cuts = np.searchsorted(at[order], np.arange(self.width + 1))
+        for position in range(1, self.width) if ahead else range(self.width - 1, -1, -1):
             edges = order[cuts[position] : cuts[position + 1]]
             if len(edges):
-                np.add.at(cells, goal[edges], cells[source[edges]] * share[self.piece[edges]])
-        return cells
-
-    def forward(self, share: np.ndarray) -> np.ndarray:
-        origin = np.arange(self.words) * self.width
-        return self._sweep(share, origin, self.begin, self.end, range(1, self.width))
+                np.add.at(flat, goal[edges], flat[source[edges]] * share[self.piece[edges]])
+            if position % SCALED == 0 and 0 < position < self.width - 1:
+                open_ = slice(max(0, position - self.reach), position + 1) if ahead else slice(position, position + self.reach + 1)
+                top = cells[:, open_].max(axis=1, keepdims=True)
+                top[top <= 0] = 1.0
+                cells[:, open_] /= top
+                scales[:, open_] += np.log(top)
+                if ahead:
+                    scales[:, position + 1 :] += np.log(top)
+                    # a word that ends here is done: what is behind its end is not read
+                else:
+                    scales[:, :position] += np.log(top)
+        return flat, scales.reshape(-1, share.shape[1])
+
+    def forward(self, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self._sweep(share, np.arange(self.words) * self.width, self.begin, self.end, True)
 
     def log_words(self, share: np.ndarray) -> np.ndarray:
         """Log probability of each word in each language."""
-        return np.log(np.maximum(self.forward(share)[self.final], 1e-300))
+        cells, scales = self.forward(share)
+        return np.log(cells[self.final]) + scales[self.final]
 
     def expected(self, share: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece in each language; ``counts`` has a word's count per language."""
-        ahead = self.forward(share)
-        behind = self._sweep(share, self.final, self.end, self.begin, range(self.width - 1, -1, -1))
-        weight = counts / np.maximum(ahead[self.final], 1e-300)
+        ahead, before = self.forward(share)
+        behind, after = self._sweep(share, self.final, self.end, self.begin, False)
         word = self.begin // self.width
-        use = ahead[self.begin] * share[self.piece] * behind[self.end] * weight[word]
+        whole = (np.log(ahead[self.final]) + before[self.final])[word]
+        scale = np.exp(before[self.begin] + after[self.end] - whole)
+        use = ahead[self.begin] * share[self.piece] * behind[self.end] * scale * counts[word]
         out = np.zeros_like(share)
         np.add.at(out, self.piece, use)
         return out
 
 
+def log_long(word: str, table: Pieces, share: np.ndarray) -> np.ndarray:
+    """Log probability of one very long word: windows that carry the positions the last one left open."""
+    points = _points(START + word)
+    carry, scale = np.zeros((table.longest + 1, share.shape[1])), np.zeros(share.shape[1])
+    carry[0] = 1.0
+    for at in range(0, len(points), WINDOW):
+        many = min(WINDOW, len(points) - at)
+        left = np.minimum(len(points) - at - np.arange(many), table.longest)
+        begin, size, piece = _edges(points[at : at + many + table.longest], left, table)
+        order = np.argsort(begin, kind="stable")
+        cuts = np.searchsorted(begin[order], np.arange(many + 1))
+        cells = np.zeros((many + table.longest + 1, share.shape[1]))
+        cells[: table.longest + 1] = carry
+        for position in range(many):
+            edges = order[cuts[position] : cuts[position + 1]]
+            # edges of one position have different lengths, so no goal comes twice
+            cells[position + size[edges]] += cells[position] * share[piece[edges]]
+            if position % SCALED == 0:
+                open_ = cells[position + 1 : position + table.longest + 1]
+                top = open_.max(axis=0)
+                open_ /= top
+                scale += np.log(top)
+        carry = cells[many : many + table.longest + 1]
+    return np.log(carry[0]) + scale
+
+
+def grouped(words: list[str]) -> Iterator[np.ndarray]:
+    """Places of words of about equal length, as many as have ``CELLS`` positions together; a longer word alone."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    order = np.argsort(lengths, kind="stable")
+    at = 0
+    while at < len(order):
+        reach = np.arange(1, len(order) - at + 1) * lengths[order[at:]]
+        many = max(1, int(np.searchsorted(reach, CELLS, "right")))
+        yield order[at : at + many]
+        at += many
+
+
+def log_words(words: list[str], table: Pieces, share: np.ndarray) -> np.ndarray:
+    """Log probability of each of any words in each language."""
+    out = np.zeros((len(words), share.shape[1]))
+    for places in grouped(words):
+        if len(places) == 1 and len(words[places[0]]) > WINDOW:
+            out[places[0]] = log_long(words[places[0]], table, share)
+        else:
+            out[places] = Lattice([words[i] for i in places], table).log_words(share)
+    return out
+
+
 @dataclass
 class LanguageModel:
     """Languages, pieces and their probabilities per language."""
@@ -144,16 +231,18 @@ class LanguageModel:
         if not self.languages:
             return [UND] * len(texts), [0.0] * len(texts)
         seen = _seen(self.name, len(self.languages))
-        split = [_stretches(t) for t in texts]
-        new = list({w for words in split for w in words if w not in seen.place})
-        seen.add(new, self)
         languages, scores = [], []
+        split = [_words(t) for t in texts]
+        long = {w for words in split for w in words if len(w) > LONGEST}
+        seen.add(list({w for words in split for w in words if w not in seen.place and w not in long}), self)
+        apart = dict(zip(long, log_words(list(long), self.table, self.share)))
         for words in split:
             if not words:
                 languages.append(UND)
                 scores.append(0.0)
                 continue
-            log = seen.rows[np.fromiter(map(seen.place.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            usual = [seen.place[w] for w in words if w not in apart] if apart else list(map(seen.place.__getitem__, words))
+            log = seen.rows[np.array(usual, np.int64)].sum(axis=0) + sum((apart[w] for w in words if w in apart), 0.0)
             best = int(log.argmax())
             languages.append(self.languages[best])
             scores.append(float(1 / np.exp(log - log[best]).sum()))
@@ -171,7 +260,7 @@ class _Seen:
             used = len(self.place)
             if used + len(part) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros((max(len(self.rows), len(part)), self.rows.shape[1]))])
-            self.rows[used : used + len(part)] = Lattice(part, model.table).log_words(model.share)
+            self.rows[used : used + len(part)] = log_words(part, model.table, model.share)
             self.place.update(zip(part, range(used, used + len(part))))
 
 
@@ -186,11 +275,8 @@ def _seen(name: str, languages: int) -> _Seen:
     return _SEEN[name]
 
 
-def _stretches(text: str | None) -> list[str]:
-    words = LETTERS.findall(text.lower()) if text else []
-    if max(map(len, words), default=0) > STRETCH:
-        words = [w[i : i + STRETCH] for w in words for i in range(0, len(w), STRETCH)]
-    return words
+def _words(text: str | None) -> list[str]:
+    return LETTERS.findall(text.lower()) if text else []
 
 
 def _sampled(rows: DataFrame, sample: int) -> DataFrame:
@@ -221,8 +307,9 @@ def fit(
         for batch in batches:
             counts: dict[tuple[str, str], int] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w in _stretches(text):
-                    counts[lang, w] = counts.get((lang, w), 0) + 1
+                for w in _words(text):
+                    if len(w) <= LEARNED:
+                        counts[lang, w] = counts.get((lang, w), 0) + 1
             langs, found = zip(*counts) if counts else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(found, pa.string()), pa.array(counts.values(), pa.int64())],
@@ -258,7 +345,9 @@ def _expectations(model: LanguageModel):
                 langs = np.array([number[x] for x in part.column(0).to_pylist()])
                 counts = np.zeros((part.num_rows, len(number)))
                 counts[np.arange(part.num_rows), langs] = part.column(2).to_numpy()
-                total += Lattice(part.column(1).to_pylist(), model.table).expected(model.share, counts)
+                found = part.column(1).to_pylist()
+                for places in grouped(found):
+                    total += Lattice([found[i] for i in places], model.table).expected(model.share, counts[places])
         piece, lang = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])], ["piece", "lang", "n"]
