@@ -5,7 +5,8 @@ valid check digit), IBANs, social security numbers, IPv4 addresses, access keys,
 values of passwords and tokens, and names after a title.  Each gets a replacement
 of its own type that a keyed digest of its canonical form decides: an address
 stays an address, a card keeps a valid check digit, digits and letters keep their
-places, case and script.  Of a name, the family name (with its particles) and each
+places, case and script (a social security number and a secret of digits only keep
+digits, a name in Chinese characters gets Chinese characters).  Of a name, the family name (with its particles) and each
 given name or initial are entities of their own, so short and full forms agree under
 any title; a given name keeps the gender of its title, and under a title without one
 has the gender that the corpus gives it elsewhere, if only one does.
@@ -18,6 +19,10 @@ each other and losers draw again, with the number of the draw in the digest, unt
 none is left.  The names to draw from grow with the number of the draw, without end.
 The documents that mention a redrawn entity carry its draw.
 
+A password or token after its word is a secret if it is in quotes, follows ``=``
+without a blank, or has a digit, both cases or a sign in it; a plain word after
+"token:" or "secret =" is prose and stays.  Names are found after a title only.
+
 Defined cases: null text stays null and has no entity; a text without entities
 comes out as it is; rows that share an id are treated alike; an empty table is
 empty; an entity of another kind whose length leaves it no free surrogate after
@@ -26,6 +31,8 @@ empty; an entity of another kind whose length leaves it no free surrogate after
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -70,7 +77,7 @@ PATTERNS = {
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A quick look for anything that a pattern needs.
 HINT = rf"[0-9@]|AKIA|(?i:passw|passwd|pwd|token|secret|api_?key)|\b(?:{TITLES})\b"
-# fixed values: letters of the scripts in which letters are replaced by letters
+# fixed values: letters of the scripts in which letters are replaced by letters; for Chinese and Korean, signs that are usual in names
 ALPHABETS = {
     "[0-9]": "0123456789",
     "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -79,7 +86,21 @@ ALPHABETS = {
     "[\\u0430-\\u044F]": "абвгдежзийклмнопрстуфхцчшщъыьэюя",
     "[\\u0391-\\u03A9]": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
     "[\\u03B1-\\u03C9]": "αβγδεζηθικλμνξοπρστυφχψω",
+    "[\\u05D0-\\u05EA]": "אבגדהוזחטיכלמנסעפצקרשת",
+    "[\\u0621-\\u064A]": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "[\\u0905-\\u0914]": "अआइईउऊएऐओऔ",
+    "[\\u0915-\\u0939]": "कखगघचछजझटठडढतथदधनपफबभमयरलवशसह",
+    "[\\u0E01-\\u0E2E]": "กขคงจฉชซญดตถทธนบปผพฟภมยรลวศสหอ",
+    "[\\u3041-\\u3096]": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ",
+    "[\\u30A1-\\u30FA]": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ",
+    "[\\u4E00-\\u9FFF]": "王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗梁宋郑谢韩唐冯于董萧程曹袁邓许傅沈曾彭吕明华丽强军平杰敏静伟芳娜秀英磊洋勇艳涛超玲桂建国文",
+    "[\\uAC00-\\uD7A3]": "김이박최정강조윤장임한오서신권황안송유홍민지수현영준성진호은주경",
 }
+HEX = "0123456789abcdef"
+#: Those for anything but names.
+PLAIN = dict(list(ALPHABETS.items())[:7])
+#: Names of these letters (and marks) only are replaced letter by letter.
+LETTERWISE = "".join(p.strip("[]") for p in ALPHABETS if p not in ("[0-9]", "[A-Z]", "[a-z]"))
 
 
 def _chars(text: Column) -> Column:
@@ -111,7 +132,9 @@ def _kind(value: Column, lead: Column) -> Column:
     kind = F.when(lead.rlike(f"^{TITLE}$"), F.lit("name")).otherwise(kind)
     # card numbers begin with 2 to 6 and end in a check digit
     valid = _digits(value).rlike("^[2-6][0-9]{12,18}$") & (_check_sum(_digits(value), 0) % 10 == 0)
-    return F.when((kind == "card") & ~valid, F.lit(None)).otherwise(kind)
+    # a word of plain letters that the sign does not mark as a value is prose
+    marked = lead.rlike(r"[\"']$|[A-Za-z]=$") | value.rlike(r"[0-9]|[a-z][A-Z]|[^\p{L}\p{M}'’.,;:!?()-]")
+    return F.when((kind == "card") & ~valid | (kind == "secret") & ~marked, F.lit(None)).otherwise(kind)
 
 
 def _canonical(kind: Column, value: Column) -> Column:
@@ -160,17 +183,25 @@ def _byte(digest: Column, i: Column) -> Column:
     return F.conv(F.substring(digest, F.pmod(i, F.lit(64)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def _like(text: Column, digest: Column, alphabets: dict[str, str] = ALPHABETS) -> Column:
+def _range(pattern: str) -> tuple[Column, Column]:
+    """First and last letter of a pattern of one range."""
+    return tuple(F.lit(x.encode().decode("unicode_escape") if len(x) > 1 else x) for x in re.findall(r"\\u[0-9A-F]{4}|[^\[\]-]", pattern))
+
+
+def _like(text: Column, digest: Column, alphabets: dict[str, str] = PLAIN) -> Column:
     """Each digit and letter replaced by one of its own class; anything else stays."""
 
-    def swap(c: Column, i: Column) -> Column:
-        out = c
-        for pattern, letters in alphabets.items():
-            pick = F.substring(F.lit(letters), _byte(digest, i) % len(letters) + 1, F.lit(1))
-            out = F.when(c.rlike(pattern), pick).otherwise(out)
-        return out
+    def known(c: Column, i: Column) -> Column:
+        letters = F.lit("")
+        for pattern, of in alphabets.items():
+            letters = F.when(c.between(*_range(pattern)), F.lit(of)).otherwise(letters)
+        return F.struct(c.alias("c"), letters.alias("letters"), _byte(digest, i).alias("byte"))
+
+    def swap(x: Column) -> Column:
+        pick = F.substring(x["letters"], x["byte"] % F.greatest(F.length(x["letters"]), F.lit(1)) + 1, F.lit(1))
+        return F.when(x["letters"] == "", x["c"]).otherwise(pick)
 
-    return F.array_join(F.transform(_chars(text), swap), "")
+    return F.array_join(F.transform(F.transform(_chars(text), known), swap), "")
 
 
 def _pick(names: list[str], digest: Column, at: int) -> Column:
@@ -207,25 +238,26 @@ def _drawn(kind: Column, canonical: Column, draw: Column, digest: Column) -> Col
     # names of other scripts than the alphabets have get listed ones, as Latin names do
     name = F.when(kind == "given", F.substring(canonical, F.lit(3), F.length(canonical))).otherwise(canonical)
     name = F.translate(name, "ЁёΆΈΉΊΌΎΏάέήίόύώς", "ЕеΑΕΗΙΟΥΩαεηιουωσ")
-    swapped = name.rlike(r"^[\u0410-\u044F\u0391-\u03A9\u03B1-\u03C9'’ -]+$")
+    swapped = name.rlike(rf"^[{LETTERWISE}\p{{M}}'’ -]+$")
     # later draws double the name, then make up a longer one with every draw, so that names never run out
     second = F.when(kind == "given", _pick(MALE, digest, 4)).otherwise(_pick(FAMILY, digest, 4))
     second = F.when(canonical.startswith("f:"), _pick(FEMALE, digest, 4)).otherwise(second)
     listed = F.when(draw > 3, _made_up(digest, 2 * draw - 4)).when(draw > 1, F.concat(listed, F.lit("-"), second)).otherwise(listed)
-    longer = F.concat(name, F.repeat(F.substring(name, -1, 1), F.greatest(draw - 3, F.lit(0))))
+    longer = F.concat(name, F.repeat(F.regexp_extract(name, r"(\p{L})[^\p{L}]*$", 1), F.greatest(draw - 3, F.lit(0))))
     letter = F.regexp_replace(name, r"[^A-Z\u0410-\u042F\u0391-\u03A9.]", "X")
     initials = F.concat(F.repeat(F.lit("X."), F.greatest(draw - 1, F.lit(0))), letter)
-    person = F.when(name.rlike(INITIALS), _like(initials, digest)).when(swapped, _like(longer, digest)).otherwise(listed)
+    person = F.when(name.rlike(INITIALS), _like(initials, digest)).when(swapped, _like(longer, digest, ALPHABETS)).otherwise(listed)
     octets = [_byte(digest, F.lit(i)).cast("string") for i in range(3)]
     return (
         F.when(kind == "email", F.concat(_like(F.regexp_replace(canonical, r"\.[a-z0-9-]+$", ""), digest), F.lit(".example")))
         .when(kind == "ip", F.concat_ws(".", F.lit("10"), *octets))
         .when(kind == "card", F.concat(card, ((10 - _check_sum(card, 1) % 10) % 10).cast("string")))
         .when(kind == "phone", F.concat(F.substring(canonical, 1, 1), _like(F.substring(canonical, F.lit(2), F.length(canonical)), digest)))
+        .when(kind == "ssn", _like(canonical, digest))
         .when(kind == "key", F.concat(F.lit("AKIA"), _like(F.substring(canonical, F.lit(5), F.length(canonical)), digest)))
         .when(kind == "iban", F.concat(F.substring(canonical, 1, 2), _like(F.substring(canonical, F.lit(3), F.length(canonical)), digest)))
         .when(kind.isin("family", "given"), person)
-        .when(canonical.rlike("^[0-9a-f]+$"), _like(canonical, digest, {"[0-9a-f]": "0123456789abcdef"}))
+        .when(canonical.rlike("^[0-9]*[a-f][0-9a-f]*$") & canonical.rlike("[0-9]"), _like(canonical, digest, {"[0-9]": HEX, "[a-f]": HEX}))
         .otherwise(_like(canonical, digest))
     )
 
