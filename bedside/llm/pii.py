@@ -97,8 +97,6 @@ ALPHABETS = {
     "[\\uAC00-\\uD7A3]": "김이박최정강조윤장임한오서신권황안송유홍민지수현영준성진호은주경",
 }
 HEX = "0123456789abcdef"
-#: Those for anything but names.
-PLAIN = dict(list(ALPHABETS.items())[:7])
 #: Names of these letters (and marks) only are replaced letter by letter.
 LETTERWISE = "".join(p.strip("[]") for p in ALPHABETS if p not in ("[0-9]", "[A-Z]", "[a-z]"))
 
@@ -188,13 +186,14 @@ def _range(pattern: str) -> tuple[Column, Column]:
     return tuple(F.lit(x.encode().decode("unicode_escape") if len(x) > 1 else x) for x in re.findall(r"\\u[0-9A-F]{4}|[^\[\]-]", pattern))
 
 
-def _like(text: Column, digest: Column, alphabets: dict[str, str] = PLAIN) -> Column:
-    """Each digit and letter replaced by one of its own class; anything else stays."""
+def _like(text: Column, digest: Column, hexadecimal: Column) -> Column:
+    """Each digit and letter replaced by one of its own class, or by a hexadecimal digit; anything else stays."""
 
     def known(c: Column, i: Column) -> Column:
         letters = F.lit("")
-        for pattern, of in alphabets.items():
+        for pattern, of in ALPHABETS.items():
             letters = F.when(c.between(*_range(pattern)), F.lit(of)).otherwise(letters)
+        letters = F.when(hexadecimal & c.between("0", "f"), F.lit(HEX)).otherwise(letters)
         return F.struct(c.alias("c"), letters.alias("letters"), _byte(digest, i).alias("byte"))
 
     def swap(x: Column) -> Column:
@@ -230,9 +229,6 @@ def _surrogate(kind: Column, canonical: Column, draw: Column, key: str) -> Colum
 
 
 def _drawn(kind: Column, canonical: Column, draw: Column, digest: Column) -> Column:
-    digits = _like(F.substring(canonical, F.lit(1), F.length(canonical) - 1), digest)
-    # the leading digit tells the kind of a card
-    card = F.concat(F.substring(canonical, 1, 1), F.substring(digits, F.lit(2), F.length(digits)))
     given = F.when(canonical.startswith("m:"), _pick(MALE, digest, 0)).when(canonical.startswith("f:"), _pick(FEMALE, digest, 0))
     listed = F.when(kind == "given", given.otherwise(_pick(MALE + FEMALE, digest, 0))).otherwise(_pick(FAMILY, digest, 2))
     # names of other scripts than the alphabets have get listed ones, as Latin names do
@@ -246,20 +242,27 @@ def _drawn(kind: Column, canonical: Column, draw: Column, digest: Column) -> Col
     longer = F.concat(name, F.repeat(F.regexp_extract(name, r"(\p{L})[^\p{L}]*$", 1), F.greatest(draw - 3, F.lit(0))))
     letter = F.regexp_replace(name, r"[^A-Z\u0410-\u042F\u0391-\u03A9.]", "X")
     initials = F.concat(F.repeat(F.lit("X."), F.greatest(draw - 1, F.lit(0))), letter)
-    person = F.when(name.rlike(INITIALS), _like(initials, digest)).when(swapped, _like(longer, digest, ALPHABETS)).otherwise(listed)
+    person = F.when(name.rlike(INITIALS), initials).when(swapped, longer).otherwise("")
     octets = [_byte(digest, F.lit(i)).cast("string") for i in range(3)]
-    return (
-        F.when(kind == "email", F.concat(_like(F.regexp_replace(canonical, r"\.[a-z0-9-]+$", ""), digest), F.lit(".example")))
-        .when(kind == "ip", F.concat_ws(".", F.lit("10"), *octets))
-        .when(kind == "card", F.concat(card, ((10 - _check_sum(card, 1) % 10) % 10).cast("string")))
-        .when(kind == "phone", F.concat(F.substring(canonical, 1, 1), _like(F.substring(canonical, F.lit(2), F.length(canonical)), digest)))
-        .when(kind == "ssn", _like(canonical, digest))
-        .when(kind == "key", F.concat(F.lit("AKIA"), _like(F.substring(canonical, F.lit(5), F.length(canonical)), digest)))
-        .when(kind == "iban", F.concat(F.substring(canonical, 1, 2), _like(F.substring(canonical, F.lit(3), F.length(canonical)), digest)))
+    # the leading digit tells the kind of a card, a phone's its country; the last digit of a card is worked out
+    kept = F.when(kind.isin("card", "phone"), 1).when(kind == "key", 4).when(kind == "iban", 2).otherwise(0)
+    body = (
+        F.when(kind == "email", F.regexp_replace(canonical, r"\.[a-z0-9-]+$", ""))
         .when(kind.isin("family", "given"), person)
-        .when(canonical.rlike("^[0-9]*[a-f][0-9a-f]*$") & canonical.rlike("[0-9]"), _like(canonical, digest, {"[0-9]": HEX, "[a-f]": HEX}))
-        .otherwise(_like(canonical, digest))
+        .otherwise(F.substring(canonical, kept + 1, F.length(canonical) - kept - (kind == "card").cast("int")))
     )
+    hexadecimal = (kind == "secret") & canonical.rlike("^[0-9]*[a-f][0-9a-f]*$") & canonical.rlike("[0-9]")
+
+    def finished(whole: Column) -> Column:
+        return (
+            F.when(kind == "email", F.concat(whole, F.lit(".example")))
+            .when(kind == "ip", F.concat_ws(".", F.lit("10"), *octets))
+            .when(kind == "card", F.concat(whole, ((10 - _check_sum(whole, 1) % 10) % 10).cast("string")))
+            .when(kind.isin("family", "given") & (whole == ""), listed)
+            .otherwise(whole)
+        )
+
+    return _bound(finished, whole=F.concat(F.substring(canonical, F.lit(1), kept), _like(body, digest, hexadecimal)))
 
 
 def _written(kind: Column, value: Column, surrogate: Column) -> Column:
