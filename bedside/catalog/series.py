@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..operators import alarms as al
+from ..operators import cardiac
 from ..operators import budget, hist, runs
 from ..operators.slices import balance
 from ..plans import export, mining
@@ -588,3 +589,37 @@ def result_tables(spark, sf):
     for f in frames[1:]:
         total = total.unionByName(f)
     return total
+
+
+def _sweep_sql() -> str:
+    """Every limit and delay on an axis of its own: elementary segments, then islands."""
+    inner = ALARM_ROWS[len(READINGS) :]
+    start, stop = inner.index("limits AS ("), inner.index("ends AS (")
+    limits = ", ".join(f"('{p}', 'HIGH', {x})" for p in ("PR", "HR") for x in (60, 100, 140))
+    alarms = inner[:start] + f"limits AS (SELECT * FROM (VALUES {limits}) v(param, kind, lim)),\n " + inner[stop:]
+    return f"""WITH {OVERLAY}{alarms}, d AS (SELECT unnest(range(0, 864001, 43200)) AS delay),
+     al AS (SELECT session, lim, delay, param, start, stop FROM found JOIN d ON bucket > delay WHERE stop > start),
+     k AS (SELECT DISTINCT session, lim, delay FROM al),
+     lay AS (SELECT session, lim, delay, lower(param) || '_alarm' AS layer, start, stop FROM al
+       UNION ALL SELECT k.session, lim, delay, 'pr_xx', start, stop FROM pairs_xx x JOIN k ON k.session = x.session WHERE param = 'PR' AND stop > start),
+     edges AS (SELECT session, lim, delay, start AS t FROM lay UNION SELECT session, lim, delay, stop FROM lay),
+     seg AS (SELECT session, lim, delay, t AS a, lead(t) OVER (PARTITION BY session, lim, delay ORDER BY t) AS b FROM edges),
+     cov AS (SELECT seg.session, seg.lim, seg.delay, a, b, bool_or(layer = 'pr_xx') AS pr_xx, bool_or(layer = 'pr_alarm') AS pr_alarm,
+         bool_or(layer = 'hr_alarm') AS hr_alarm
+       FROM seg JOIN lay ON lay.session = seg.session AND lay.lim = seg.lim AND lay.delay = seg.delay AND start <= a AND stop >= b
+       WHERE b IS NOT NULL GROUP BY ALL),
+     hit AS (SELECT * FROM cov WHERE CASE WHEN pr_xx THEN hr_alarm ELSE pr_alarm END),
+     isl AS (SELECT *, sum(CASE WHEN pb = a THEN 0 ELSE 1 END) OVER (PARTITION BY session, lim, delay ORDER BY a ROWS UNBOUNDED PRECEDING) AS g
+       FROM (SELECT *, lag(b) OVER (PARTITION BY session, lim, delay ORDER BY a) AS pb FROM hit))
+     SELECT session, 'HIGH' AS kind, CAST(lim AS BIGINT) AS "limit", CAST(delay AS BIGINT) AS delay, count(DISTINCT g) AS alarms,
+       CAST(trunc(sum(b - a)) AS BIGINT) AS time_over_threshold FROM isl GROUP BY ALL"""
+
+
+@query("C1_cardiac_sweep", _sweep_sql())
+def cardiac_sweep_rows(spark, sf):
+    """Cardiac-rate alarms at three limits and all delays."""
+    base = readings(spark, sf).where("param in ('PR', 'HR')")
+    alarms = al.threshold_alarms(base, al.limit_table(spark, {(p, "HIGH"): (60, 140, 40) for p in ("PR", "HR")}))
+    pulse = runs.numbered(runs.marked(base.where("param = 'PR'"), RATE))
+    invalid = runs.state_runs(pulse, RATE).select("session", "start", "stop")
+    return cardiac.cardiac_sweep(alarms, invalid, last=864000, step=43200, width=86400.0)

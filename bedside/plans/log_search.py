@@ -37,6 +37,23 @@ def matching_templates(templates: DataFrame, terms: str | Sequence[str]) -> Data
     return df.select("id", "cipher", "term", F.when(hit, captured).alias("contents"))
 
 
+def _cells(values: Sequence[str] | None) -> list[tuple[Column, str]]:
+    return [(F.get("message_content", k), v) for k, v in enumerate(values or []) if v]
+
+
+def with_contents(values: Sequence[str] | None) -> list[Column]:
+    """Conditions for a line to hold the contents: a single one anywhere, several each in its place."""
+    if values and len(values) == 1:
+        return [F.array_contains("message_content", values[0])]
+    return [c == v for c, v in _cells(values)]
+
+
+def without_contents(values: Sequence[str] | None) -> list[Column]:
+    if values and len(values) == 1:
+        return [~F.array_contains("message_content", values[0])]
+    return [c != v for c, v in _cells(values)]
+
+
 def template_filter(matches: Sequence[tuple[int, Sequence[str] | None]], include: bool) -> Column:
     """Condition of the matched templates on (cipher_id, message_content).
 
@@ -44,15 +61,7 @@ def template_filter(matches: Sequence[tuple[int, Sequence[str] | None]], include
     their contents.
     """
 
-    def contents(values) -> list[Column]:
-        if not values:
-            return []
-        if len(values) == 1:
-            hit = F.array_contains("message_content", values[0])
-            return [hit if include else ~hit]
-        cells = [(F.get("message_content", k), v) for k, v in enumerate(values) if v]
-        return [c == v if include else c != v for c, v in cells]
-
+    contents = with_contents if include else without_contents
     own = lambda x: (F.col("cipher_id") == x) if include else (F.col("cipher_id") != x)
     each = [all_of([own(x), *contents(values)]) for x, values in matches]
     if include:
@@ -77,6 +86,20 @@ def with_templates(logs: DataFrame, matches: DataFrame) -> DataFrame:
     return logs.join(m, (logs["cipher_id"] == m["_id"]) & holds, "left_semi")
 
 
+def without_templates(logs: DataFrame, matches: DataFrame) -> DataFrame:
+    """Lines of no matched template (id, contents) that hold none of the contents.
+
+    Templates, of which the dictionary may have any number, are an anti join.  Contents
+    are parts of the search terms, so there are few of them however many templates match.
+    """
+    contents = [r["contents"] for r in matches.select("contents").distinct().collect()]
+    if not contents:
+        return logs
+    ids = matches.select(F.col("id").alias("_id")).distinct()
+    kept = logs.where("cipher_id is not null").join(ids, F.col("cipher_id") == F.col("_id"), "left_anti")
+    return kept.where(all_of([c for values in contents for c in without_contents(values)]))
+
+
 def months(first: dt.datetime, last: dt.datetime) -> Column:
     """Partition condition for the months a range touches (year, month columns)."""
     place = F.col("year") * 12 + F.col("month")
@@ -153,8 +176,8 @@ def search(
 
     One scan with everything composed into its filter; site, year and month
     prune partitions where the logs are stored by them.  Lines of the wanted
-    templates are kept by a semi join with the message dictionary; unwanted
-    templates, a few entries of it, become conditions of the filter.  With
+    templates are kept by a semi join with the message dictionary, those of unwanted
+    ones dropped by an anti join.  With
     ``blocks`` the search is by session: one, or all of them.
     """
     df = logs
@@ -175,7 +198,6 @@ def search(
     if message:
         df = with_templates(df, matching_templates(templates, message))
     if without:
-        rows = matching_templates(templates, without).select("id", "contents").collect()
-        df = df.where(template_filter([(r["id"], r["contents"]) for r in rows], False))
+        df = without_templates(df, matching_templates(templates, without))
     order = [order_by] if order_by == "datetime_sent" else [order_by, "datetime_sent"]
     return readable(df, templates, levels, device_types).orderBy(*order)
