@@ -142,7 +142,7 @@ def sensor_off_codes(spo2: DataFrame, alarms: DataFrame, off_code: int = 33) ->
 
     A stretch starts at an "off" alarm (consecutive alarms of one start
     counted once) and lasts to the next reading at which SpO2 comes back.
-    Keys: session; ``spo2`` has t, seq, value; ``alarms`` t, seq, code, start_sn.
+    Keys: session; ``spo2`` has t, seq, value and may have sn; ``alarms`` t, seq, code, start_sn.
     """
     from .runs import changes
     from .slices import balance, filled, filled_before, overall_max, scan, unsliced
@@ -151,8 +151,9 @@ def sensor_off_codes(spo2: DataFrame, alarms: DataFrame, off_code: int = 33) ->
     off = fresh.where(F.col("code") == off_code).select(
         "session", "t", F.lit(0).alias("kind"), "seq", F.lit(None).cast("double").alias("value")
     )
-    rows = spo2.select("session", "t", F.lit(1).alias("kind"), "seq", "value")
-    both = balance(off.unionByName(rows), ["session"], "t")
+    kept = [c for c in ("sn",) if c in spo2.columns]
+    rows = spo2.select("session", "t", F.lit(1).alias("kind"), "seq", "value", *kept)
+    both = balance(off.unionByName(rows, allowMissingColumns=True), ["session"], "t")
     order = ["t", "kind", "seq"]
     ok = F.when(F.col("kind") == 1, F.col("value") > 0)
     both = scan(both, ["session"], order, _ok=filled_before(ok))
@@ -175,5 +176,5 @@ def sensor_off_codes(spo2: DataFrame, alarms: DataFrame, off_code: int = 33) ->
     return unsliced(
         both.where("kind = 1")
         .withColumn("value", F.when(inside, F.lit(float(SENSOR_OFF))).otherwise(F.col("value")))
-        .select("session", "t", "seq", "value", *([c for c in both.columns if c == "_slice"]))
+        .select("session", "t", "seq", "value", *kept, *([c for c in both.columns if c == "_slice"]))
     )

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.codes import components
 from ..model import UPDATE_RATES, UPDATE_RATES_COMBINED, VALUE_RANGES
 from ..operators import alarms as al
-from ..operators import asof, budget, hist, ranges, runs
+from ..operators import asof, budget, cardiac, hist, ranges, runs
+from ..operators.slices import balance
 from ..session import durable, literal_table
 
 SPOT = ("BP_SYS", "BP_DIA", "BP_MAP")
@@ -68,7 +69,20 @@ def mine(
         spark, [(p, lo, hi) for p, (lo, hi) in VALUE_RANGES.items()], "param string, low int, high int"
     )
     totals = budget.session_times(times)
+    invalid_cardiac, dropouts_cardiac, sweep_cardiac = cardiac_tables(everything, invalid, gaps, alarms)
+    notices = device_alarms.distinct()
+    ordered = notices if "seq" in notices.columns else notices.withColumn("seq", F.col("start_sn"))
+    oximeter = everything.where("param = 'SPO2'")
+    off = budget.sensor_off_codes(oximeter, ordered).withColumn("param", F.lit("SPO2"))
     return {
+        "cardiac_invalid": invalid_cardiac,
+        "cardiac_dropouts": dropouts_cardiac,
+        "cardiac_invalid_histogram": hist.duration_histogram(invalid_cardiac, ["session"], span),
+        "cardiac_dropout_histogram": hist.duration_histogram(dropouts_cardiac, ["session"], span),
+        "cardiac_sweep": sweep_cardiac,
+        "oximeter_times": budget.oximeter_times(off, slop=slop),
+        "alarm_changes": runs.changes(ordered, ["session", "start_sn"], ["t", "seq"], F.struct("code", "state")),
+        "alarm_code_histogram": hist.code_histogram(notices, ["session"], F.col("code")),
         "times": times,
         "session_times": totals,
         "summary": budget.session_summary(times, totals, sorted(UPDATE_RATES)),
@@ -83,12 +97,27 @@ def mine(
             alarms, ["session", "param", "kind", "limit"], span - F.col("xx")
         ),
         "value_histogram": hist.value_histogram(everything, value_ranges),
-        "device_alarm_histogram": hist.alarm_histogram(device_alarms.distinct()),
+        "device_alarm_histogram": hist.alarm_histogram(notices),
         "cuff_values": asof.cuff_pairs(bp, cnibp),
         "agreement": asof.agreement_pairs(bp, cnibp),
     }
 
 
+def cardiac_tables(everything: DataFrame, invalid: DataFrame, gaps: DataFrame, alarms: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Where the cardiac rate (PR, or HR while PR is XX) is XX or dropped, and its alarms at all limits and delays."""
+    pair = F.col("param").isin("PR", "HR")
+    low = F.lower("param")
+    layers = invalid.where(pair).select("session", F.concat(low, F.lit("_xx")).alias("layer"), "start", "stop").unionByName(
+        gaps.where(pair).select("session", F.concat(low, F.lit("_drop")).alias("layer"), "start", "stop")
+    )
+    presence = everything.groupBy("session").agg(
+        F.bool_or(F.col("param") == "PR").alias("has_pr"), F.bool_or(F.col("param") == "HR").alias("has_hr")
+    )
+    cut = al.cardiac_cut(layers, presence, balance(everything.where(pair), ["session"], "t"))
+    sweep = cardiac.cardiac_sweep(alarms, invalid.where("param = 'PR'"))
+    return al.cardiac_invalid(cut), al.cardiac_dropout(cut), sweep
+
+
 def calibration_table(calibrations, cuff, connections, time_sync, posture, arm) -> DataFrame:
     """Calibration times with device swaps read off the time sync."""
     swaps = runs.epochs(time_sync, ["session"])
