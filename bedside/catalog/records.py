@@ -235,7 +235,17 @@ def logs_into_session(spark, sf):
     return out.select("id", "tm", "raw", "segment", "sn")
 
 
-@query("S14_chunk_manifest")
+@query(
+    "S14_chunk_manifest",
+    f"""WITH RECURSIVE {PACKETS}, n AS (SELECT session, sn, tm, size, row_number() OVER w AS k,
+      coalesce(last_value(CASE WHEN sn IS NOT NULL THEN segment END IGNORE NULLS) OVER w, first_value(CASE WHEN sn IS NOT NULL THEN segment END IGNORE NULLS) OVER (PARTITION BY session ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), -1) AS segment
+      FROM packets WINDOW w AS (PARTITION BY session ORDER BY seq ROWS UNBOUNDED PRECEDING)),
+    c AS (SELECT session, k, segment, size AS filled, CAST(0 AS BIGINT) AS num FROM n WHERE k = 1 UNION ALL
+      SELECT n.session, n.k, n.segment, CASE WHEN filled >= 1200 OR n.segment <> c.segment THEN n.size ELSE filled + n.size END,
+        num + CASE WHEN filled >= 1200 THEN 1 ELSE 0 END + CASE WHEN n.segment <> c.segment THEN 1 ELSE 0 END FROM c JOIN n ON n.session = c.session AND n.k = c.k + 1)
+    SELECT session, num, CAST(sum(size) AS BIGINT) AS size, min(n.segment) AS segment, min(tm) AS min_ts, max(tm) AS max_ts, min(sn) AS min_sn, max(sn) AS max_sn
+    FROM c JOIN n USING (session, k) GROUP BY session, num""",
+)
 def chunk_manifest(spark, sf):
     return pk.chunk_manifest(_packets(spark, sf), limit=1200)
 

@@ -133,6 +133,7 @@ def logs_into_session(packets: DataFrame, device: int, t0: int, t1: int, syncs:
 
 
 CHUNK_BYTES = 512_000
+FAN = 8  # slices a node of the hand-over tree takes
 
 
 def _cuts(sizes: np.ndarray, carried: int, limit: int) -> tuple[np.ndarray, int, int]:
@@ -161,8 +162,10 @@ def chunk_manifest(
     to ``limit`` bytes.  A stretch of one segment is cut into slices of at most
     ``slice_rows`` packets.  How far a slice is filled when it starts depends on
     the slice before, so every slice first works out, for each amount it may
-    inherit, what it leaves (packets and bytes decide, not their content); one
-    short pass over the slices of a stretch then fixes what each inherits.
+    inherit, what it leaves (packets and bytes decide, not their content).  These
+    step functions are composed in a tree of ``FAN`` slices a node, and what each
+    slice inherits is handed down the same tree, so no task sees more than ``FAN``
+    of them however long the stretch.
     """
     known = F.when(F.col("sn").isNotNull(), F.col("segment"))
     checked = balance(packets, keys, order[0])
@@ -199,33 +202,20 @@ def chunk_manifest(
         return out
 
     schema = f"{head}, _part bigint, inherit array<bigint>, left array<bigint>, closed array<bigint>"
-    multi = rows.groupBy(*group).agg(F.max("_part").alias("_parts")).where("_parts > 0").drop("_parts")
-    steps = (
-        rows.join(multi, group, "left_semi")
-        .select(*group, "_part", "_n", "size")
-        .groupBy(*group, "_part")
-        .applyInPandas(leaves, schema)
-    )
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_part")
-        carried, number, rows_out = 0, 0, []
-        for inherit, left, closed in zip(pdf["inherit"], pdf["left"], pdf["closed"]):
-            rows_out.append((carried, number))
-            i = int(np.searchsorted(np.asarray(inherit), carried, side="right")) - 1
-            rest = int(left[i])
-            # a slice that closes nothing adds its bytes to what it inherits
-            carried = carried + rest if closed[i] == 0 else rest
-            number += int(closed[i])
-        out = pdf[[*group, "_part"]].copy()
-        out["_carried"] = [r[0] for r in rows_out]
-        out["_base"] = [r[1] for r in rows_out]
-        return out
-
-    starts = steps.groupBy(*group).applyInPandas(
-        follow, f"{head}, _part bigint, _carried bigint, _base bigint"
-    )
-    ready = rows.join(starts, [*group, "_part"], "left").fillna(0, ["_carried", "_base"])
+    carries = f"{head}, _part bigint, _carried bigint, _base bigint"
+    last_part = rows.agg(F.max("_part")).first()[0] or 0
+    if last_part:
+        multi = rows.groupBy(*group).agg(F.max("_part").alias("_parts")).where("_parts > 0").drop("_parts")
+        steps = (
+            rows.join(multi, group, "left_semi")
+            .select(*group, "_part", "_n", "size")
+            .groupBy(*group, "_part")
+            .applyInPandas(leaves, schema)
+        )
+        starts = _inherited(durable(steps), group, schema, carries, last_part)
+        ready = rows.join(starts, [*group, "_part"], "left").fillna(0, ["_carried", "_base"])
+    else:
+        ready = rows.withColumn("_carried", F.lit(0).cast("bigint")).withColumn("_base", F.lit(0).cast("bigint"))
 
     kept = [*group, "_part", "_n", "size", "sn", "tm", "_seg", "_carried", "_base"]
     part_schema = (
@@ -295,42 +285,113 @@ def chunk_manifest(
     )
 
 
+def _inherited(steps: DataFrame, group: list, schema: str, carries: str, last_part: int) -> DataFrame:
+    """Bytes and chunk number each slice starts with, from the step functions of all.
+
+    Up the tree the functions of ``FAN`` neighbours are composed into one; down
+    the tree each node hands its start on through its children.
+    """
+    up = F.expr(f"_part div {FAN}")
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_part")
+        whole = None
+        for step in zip(pdf["inherit"], pdf["left"], pdf["closed"]):
+            step = tuple(np.asarray(a, dtype=np.int64) for a in step)
+            whole = step if whole is None else _composed(whole, step)
+        out = pdf.iloc[:1][group].copy()
+        out["_part"] = pdf["_part"].iat[0] // FAN
+        out["inherit"], out["left"], out["closed"] = ([a] for a in whole)
+        return out
+
+    def hand_down(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_part")
+        carried, number = int(pdf["_carried"].iat[0]), int(pdf["_base"].iat[0])
+        starts = []
+        for inherit, left, closed in zip(pdf["inherit"], pdf["left"], pdf["closed"]):
+            starts.append((carried, number))
+            i = int(np.searchsorted(np.asarray(inherit), carried, side="right")) - 1
+            # a slice that closes nothing adds its bytes to what it inherits
+            carried = int(left[i]) + (carried if closed[i] == 0 else 0)
+            number += int(closed[i])
+        out = pdf[[*group, "_part"]].copy()
+        out["_carried"], out["_base"] = zip(*starts)
+        return out
+
+    levels = [steps]
+    while last_part >= FAN:
+        above = levels[-1].groupBy(*group, up.alias("_up")).applyInPandas(compose, schema)
+        levels.append(durable(above))
+        last_part //= FAN
+    nothing = F.lit(0).cast("bigint")
+    starts = None
+    for nodes in reversed(levels):
+        nodes = nodes.withColumn("_up", up)
+        if starts is None:
+            nodes = nodes.withColumn("_carried", nothing).withColumn("_base", nothing)
+        else:
+            nodes = nodes.join(starts.withColumnRenamed("_part", "_up"), [*group, "_up"])
+        starts = nodes.groupBy(*group, "_up").applyInPandas(hand_down, carries)
+    return starts
+
+
+def _composed(first, second):
+    """One step function for two neighbouring slices.
+
+    Each is (inherit, left, closed) arrays by rising inherited amount.  Only the
+    first step can close nothing; there the bytes are added to what is inherited,
+    everywhere else what is left does not depend on it.
+    """
+    inherit, left, closed = first
+    inherit2, left2, closed2 = second
+
+    def then(left, closed):
+        at = np.searchsorted(inherit2, left, side="right") - 1
+        return left2[at] + np.where(closed2[at] == 0, left, 0), closed + closed2[at]
+
+    out_left, out_closed = then(left, closed)
+    if closed[0] == 0:
+        # the amounts of this step reach the second slice one by one: its steps show through
+        base = left[0]
+        seen = inherit2 > base
+        if len(inherit) > 1:
+            seen &= inherit2 < inherit[1] + base
+        inherit = np.r_[0, inherit2[seen] - base, inherit[1:]]
+        out_left = np.r_[out_left[0], left2[seen], out_left[1:]]
+        out_closed = np.r_[out_closed[0], closed2[seen], out_closed[1:]]
+    new = np.r_[True, (np.diff(out_left) != 0) | (np.diff(out_closed) != 0)]
+    return inherit[new], out_left[new], out_closed[new]
+
+
 def _transfer(ends: np.ndarray, limit: int):
     """For every inherited amount in [0, limit): bytes left open and chunks closed.
 
     The first packet that closes a chunk falls as the inherited amount grows,
     so the answer is a step function: one entry per first closing packet.  From
-    a closing packet on, the cuts no longer depend on the amount; they are
-    worked out once per packet from the back.
+    a closing packet on, the cuts no longer depend on the amount: its chain of
+    closing packets is followed by doubling jumps, all packets at once.
     """
     n = len(ends)
-    # next closing packet after one that closed a chunk at i
-    nxt = np.searchsorted(ends, ends + limit, side="left")
-    left = np.empty(n, dtype=np.int64)
-    closed = np.empty(n, dtype=np.int64)
-    for i in range(n - 1, -1, -1):
-        j = nxt[i]
-        if j >= n:
-            left[i], closed[i] = ends[-1] - ends[i], 1
-        else:
-            left[i], closed[i] = left[j], closed[j] + 1
-    inherit, out_left, out_closed = [], [], []
+    jump = np.searchsorted(ends, ends + limit, side="left")  # next closing packet after one that closed
+    last = np.arange(n)
+    closed = np.ones(n, dtype=np.int64)
+    while len(open_ := np.flatnonzero(jump < n)):
+        to = jump[open_]
+        closed[open_] += closed[to]
+        last[open_] = last[to]
+        jump[open_] = jump[to]
+    left = ends[-1] - ends[last]
     reach = int(np.searchsorted(ends, limit, side="left"))  # first close when nothing is inherited
     if reach >= n:
-        inherit.append(0)
-        out_left.append(int(ends[-1]))
-        out_closed.append(0)
-        first = n - 1
+        start, out_left, out_closed, before = 0, int(ends[-1]), 0, n
     else:
-        inherit.append(0)
-        out_left.append(int(left[reach]))
-        out_closed.append(int(closed[reach]))
-        first = reach - 1
-    for i in range(first, -1, -1):
-        need = int(limit - ends[i])  # smallest amount with which packet i closes
-        if need >= limit:
-            continue
-        inherit.append(need)
-        out_left.append(int(left[i]))
-        out_closed.append(int(closed[i]))
-    return inherit, out_left, out_closed
+        start, out_left, out_closed, before = 0, int(left[reach]), int(closed[reach]), reach
+    # smallest amount with which each packet closes; of packets without bytes the first one
+    need = limit - ends[:before]
+    keep = (need < limit) & np.r_[True, np.diff(ends[:before]) > 0][:before]
+    rows = np.flatnonzero(keep)[::-1]
+    return (
+        np.r_[start, need[rows]],
+        np.r_[out_left, left[rows]],
+        np.r_[out_closed, closed[rows]],
+    )

@@ -6,6 +6,7 @@ import datetime as dt
 import gzip
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,42 @@ def test_chunks_match_packet_by_packet(either, slice_rows):
         assert got == chunks
 
 
+def test_composed_steps_equal_the_whole():
+    """Any grouping of slices gives the step function of their concatenation."""
+    rng = np.random.default_rng(8)
+    for trial in range(60):
+        limit = int(rng.integers(5, 60))
+        parts = [rng.integers(0, [4, 25, 2 * limit][trial % 3], int(rng.integers(1, 9))) for _ in range(5)]
+        steps = [pk._transfer(np.cumsum(p), limit) for p in parts]
+        left = steps[0]
+        for s in steps[1:]:
+            left = pk._composed(left, s)
+        right = pk._composed(pk._composed(steps[0], steps[1]), pk._composed(pk._composed(steps[2], steps[3]), steps[4]))
+        for carried in range(limit):
+            _, open_, closed = pk._cuts(np.concatenate(parts), carried, limit)
+            for inherit, rest, count in (left, right):
+                i = int(np.searchsorted(inherit, carried, side="right")) - 1
+                assert (rest[i] + (carried if count[i] == 0 else 0), count[i]) == (open_, closed)
+
+
+def test_one_long_stretch_is_cut_through_a_tree(spark):
+    """One stretch of 500 slices beside short ones: three levels of the tree."""
+    rng = random.Random(3)
+    rows, want = [], {}
+    for session, n in ((1, 1500), (2, 2), (3, 40)):
+        stream = [(q, q, 1000 + q, 0, rng.choice([0, 1, 9, 40, 130])) for q in range(n)]
+        want[session] = chunks_by_hand(stream, 100)
+        rows += [(session, *r) for r in stream]
+    df = spark.createDataFrame(rows, "session bigint, seq bigint, sn bigint, tm bigint, segment bigint, size bigint")
+    out = pk.chunk_manifest(df, limit=100, slice_rows=3).collect()
+    for session, chunks in want.items():
+        got = sorted(
+            (r.num, r.segment, r.size, r.min_ts, r.max_ts, r.min_sn, r.max_sn) for r in out if r.session == session
+        )
+        # a last chunk without bytes is not written
+        assert got == [c for c in chunks if c[2] > 0]
+
+
 def test_annotation_versions(spark):
     tags = spark.createDataFrame([("afib",), ("noise",)], "tag string")
     schema = (
