@@ -141,10 +141,26 @@ def sample_entropy(spark, sf):
     return s.select("vec_id", F.round(ft.sample_entropy(F.col("a")), 6).alias("entropy"))
 
 
-@query("U2_entropy_profile")
+@query(
+    "U2_entropy_profile",
+    f"""WITH {VECTORS}, z AS (SELECT vec_id, list_transform(a, lambda x: (x - list_aggregate(a, 'avg')) / coalesce(nullif(list_aggregate(a, 'stddev_pop'), 0), 1)) AS a FROM v),
+    o AS (SELECT vec_id, a, unnest(range(1, 65)) AS i FROM z), q AS (SELECT vec_id, a, i, unnest(range(1, 65)) AS j FROM o),
+    c AS (SELECT vec_id, i, j, abs(a[i] - a[j]) < 0.2 AS c0, i > 1 AND j > 1 AND abs(a[i - 1] - a[j - 1]) < 0.2 AS c1, i > 2 AND j > 2 AND abs(a[i - 2] - a[j - 2]) < 0.2 AS c2 FROM q WHERE i <> j),
+    t AS (SELECT vec_id, i, j, unnest(range(CASE WHEN c1 AND c2 THEN 3 WHEN c1 THEN 2 ELSE 1 END)) AS m FROM c WHERE c0),
+    g AS (SELECT vec_id, m, i, count(*) AS deg, count(*) - count_if(i - j BETWEEN 1 AND 2) AS b1, count(*) - count_if(j - i = 1) AS f1,
+      count(*) - count_if(i - j BETWEEN 1 AND 4) AS b2, count(*) - count_if(j - i BETWEEN 1 AND 3) AS f2 FROM t GROUP BY ALL),
+    k AS (SELECT x.vec_id, x.m, sum(x.deg) / 2 AS a, sum(CASE WHEN x.i = 64 THEN x.deg ELSE 0 END) AS tail, sum(x.deg * (x.deg - 1)) AS k0, sum(2.0 * x.f1 * coalesce(y.b1, 0)) AS k1, sum(2.0 * x.f2 * coalesce(w.b2, 0)) AS k2
+      FROM g x LEFT JOIN g y ON y.vec_id = x.vec_id AND y.m = x.m AND y.i = x.i + 1 LEFT JOIN g w ON w.vec_id = x.vec_id AND w.m = x.m AND w.i = x.i + 2 GROUP BY ALL),
+    l AS (SELECT vec_id, unnest(range(3)) AS m FROM v),
+    n AS (SELECT l.vec_id, l.m, coalesce(h.a, 0) AS a, CASE l.m WHEN 0 THEN 2016.0 ELSE coalesce(s.a - s.tail, 0) END AS b,
+      CASE l.m WHEN 0 THEN h.k0 WHEN 1 THEN h.k0 + h.k1 ELSE h.k0 + h.k1 + h.k2 END AS long, CASE l.m WHEN 0 THEN 64.0 * 63 * 62 WHEN 1 THEN s.k0 + s.k1 ELSE s.k0 + s.k1 + s.k2 END AS short
+      FROM l LEFT JOIN k h ON h.vec_id = l.vec_id AND h.m = l.m LEFT JOIN k s ON s.vec_id = l.vec_id AND s.m = l.m - 1)
+    SELECT vec_id, CAST(m AS INTEGER) AS length, CASE WHEN a > 0 AND b > 0 THEN round(-ln(a / b), 6) END AS entropy,
+      CASE WHEN a > 0 AND b > 0 THEN round(sqrt(a / b * (1 - a / b) / b + greatest((long - short * (a / b) * (a / b)) / (b * b), 0)), 6) END AS error FROM n""",
+)
 def entropy_profile(spark, sf):
     s = _signal(spark, sf).select("vec_id", F.explode(ft.entropy_profile(F.col("a"), 2, 0.2, True)).alias("p"))
-    return s.select("vec_id", "p.*")
+    return s.select("vec_id", "p.length", F.round("p.entropy", 6).alias("entropy"), F.round("p.error", 6).alias("error"))
 
 
 @query(

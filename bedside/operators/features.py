@@ -152,6 +152,78 @@ def beat_similarity(
 # ---- window features that need pairs or recursion: numpy per window ------------------
 
 
+def _neighbours(points: np.ndarray, r: float) -> np.ndarray:
+    """For each row of ``points`` the other rows nearer than ``r`` in the largest coordinate.
+
+    A k-d tree against itself: pairs of nodes whose boxes lie wholly within
+    ``r`` add their sizes without looking at points, pairs wholly beyond it go,
+    the rest is divided down to leaves of ``LEAF`` points.  Pairs wait on a
+    stack and are taken ``AT_ONCE`` at a time, so memory grows with the points
+    only.  Rounding keeps order, so box bounds decide exactly as points would.
+    """
+    counts = np.zeros(len(points), dtype=np.int64)
+    known = np.flatnonzero(np.isfinite(points).all(axis=1))
+    if not r > 0 or len(known) < 2:
+        return counts
+    depth = 0 if len(known) <= DIRECT else math.ceil(math.log2(len(known) / LEAF))
+    # halves of halves along the widest side; nodes of one depth differ by a point at most
+    order, starts = known, np.array([0, len(known)])
+    lows, highs, firsts, sizes = [], [], [], []
+    for level in range(depth + 1):
+        size = np.diff(starts)
+        sorted_points = points[order]
+        low = np.minimum.reduceat(sorted_points, starts[:-1])
+        high = np.maximum.reduceat(sorted_points, starts[:-1])
+        lows.append(low), highs.append(high), firsts.append(starts[:-1]), sizes.append(size)
+        if level < depth:
+            node = np.repeat(np.arange(len(size)), size)
+            side = np.argmax(high - low, axis=1)[node]
+            order = order[np.lexsort((sorted_points[np.arange(len(order)), side], node))]
+            cuts = np.empty(2 * len(size) + 1, dtype=np.int64)
+            cuts[::2], cuts[1::2] = starts, starts[:-1] + size // 2
+            starts = cuts
+    # boxes hold for the points of a node, whichever way the levels below order them
+    flat = points[order]
+    inside = [np.zeros(len(s), dtype=np.int64) for s in sizes]
+    own = np.zeros(len(flat), dtype=np.int64)
+    offsets = np.arange(int(sizes[depth].max()))
+    todo = [(0, np.array([0]), np.array([0]))]
+    while todo:
+        level, a, b = todo.pop()
+        if len(a) > AT_ONCE:
+            todo.append((level, a[AT_ONCE:], b[AT_ONCE:]))
+            a, b = a[:AT_ONCE], b[:AT_ONCE]
+        up = highs[level][a] - lows[level][b]
+        down = highs[level][b] - lows[level][a]
+        gap = -np.minimum(up, down).min(axis=1)
+        reach = np.maximum(up, down).max(axis=1)
+        whole = reach < r
+        np.add.at(inside[level], a[whole], sizes[level][b[whole]])
+        rest = ~whole & (gap < r)
+        a, b = a[rest], b[rest]
+        if not len(a):
+            continue
+        if level < depth:
+            a, b = 2 * a, 2 * b
+            todo.append((level + 1, np.r_[a, a, a + 1, a + 1], np.r_[b, b + 1, b, b + 1]))
+            continue
+        rows = firsts[level][a][:, None] + offsets
+        cols = firsts[level][b][:, None] + offsets
+        is_row, is_col = offsets < sizes[level][a][:, None], offsets < sizes[level][b][:, None]
+        rows, cols = np.where(is_row, rows, 0), np.where(is_col, cols, 0)
+        near = is_row[:, :, None] & is_col[:, None, :]
+        for k in range(flat.shape[1]):
+            near &= np.abs(flat[rows, k][:, :, None] - flat[cols, k][:, None, :]) < r
+        np.add.at(own, rows[is_row], near.sum(axis=2)[is_row])
+    for level in range(depth + 1):
+        own += np.repeat(inside[level], sizes[level])
+    counts[order] = own - 1  # each point met itself
+    return counts
+
+
+DIRECT, LEAF, AT_ONCE = 128, 16, 4096  # points without a tree, points of a leaf, node pairs looked at together
+
+
 def _sample_entropy(x: np.ndarray, dim: int = 2, scale: float = 0.2) -> float:
     """ln of template matches of length ``dim`` over those one longer."""
     n = len(x)
@@ -159,12 +231,9 @@ def _sample_entropy(x: np.ndarray, dim: int = 2, scale: float = 0.2) -> float:
     if m < 2:
         return math.nan
     r = scale * np.std(x)
-    far = np.zeros((m, m))
-    for k in range(dim):
-        far = np.maximum(far, np.abs(x[k : k + m, None] - x[None, k : k + m]))
-    longer = np.maximum(far, np.abs(x[dim : dim + m, None] - x[None, dim : dim + m]))
-    pairs = np.triu_indices(m, 1)
-    short, long_ = int((far[pairs] < r).sum()), int((longer[pairs] < r).sum())
+    templates = np.lib.stride_tricks.sliding_window_view(x, dim + 1)
+    short = int(_neighbours(templates[:, :dim], r).sum()) // 2
+    long_ = int(_neighbours(templates, r).sum()) // 2
     return math.log(short / long_) if long_ else math.nan
 
 
@@ -172,7 +241,8 @@ def _entropy_profile(x: np.ndarray, longest: int, r: float, normalise: bool):
     """Entropy and standard error for template lengths 0 to ``longest``.
 
     The error follows the published variance of the match probability: pairs of
-    matching templates that overlap are counted as dependent.
+    matching templates that overlap are counted as dependent.  Matches are
+    counted per template in a tree, and pairs of near templates from diagonals.
     """
     n = len(x)
     top = longest + 1
@@ -181,41 +251,36 @@ def _entropy_profile(x: np.ndarray, longest: int, r: float, normalise: bool):
     if normalise:
         sd = np.std(x)
         x = (x - np.mean(x)) / sd if sd else x - np.mean(x)
-    close = np.abs(x[:, None] - x[None, :]) < r
-    # run[i, j]: length of the match that ends at i and j
-    run = np.zeros((n, n), dtype=np.int64)
-    for i in range(n):
-        before = np.zeros(n, dtype=np.int64)
-        if i:
-            before[1:] = run[i - 1, :-1]
-        run[i] = np.where(close[i], before + 1, 0)
-    np.fill_diagonal(run, 0)
-    out = []
-    lower = np.tril(np.ones((n, n), dtype=bool), -1)
-    # matches among templates that may still be extended: the last point is left out
-    tail = np.ones(n, dtype=bool)
-    tail[n - 1] = False
+    counts, touching, before = [], np.zeros((top, top + 1)), None
     for m in range(top):
-        match = run >= m + 1
-        a = int((match & lower).sum())
-        if m == 0:
-            b = n * (n - 1) / 2.0
-        else:
-            shorter = (run >= m) & lower
-            b = float((shorter & tail[:, None]).sum())
-        p = a / b if b else math.nan
-        out.append((m, a, b, p))
-    return _with_errors(out, run, n, top)
-
-
-def _with_errors(counts, run, n, top):
+        # matches of m + 1 points that end at each sample
+        degree = np.zeros(n, dtype=np.int64)
+        degree[m:] = _neighbours(np.lib.stride_tricks.sliding_window_view(x, m + 1), r)
+        a = int(degree.sum()) // 2
+        # matches among templates that may still be extended: the last point is left out
+        b = n * (n - 1) / 2.0 if m == 0 else float(int(before.sum()) // 2 - before[n - 1])
+        counts.append((m, a, b, a / b if b else math.nan))
+        touching[m] = _dependent(degree.astype(float), lambda d, m=m: _diagonal(x, r, m, d), top)
+        before = degree
+    return _with_errors(counts, touching, n)
+
+
+def _diagonal(x: np.ndarray, r: float, m: int, d: int) -> np.ndarray:
+    """Whether the last m + 1 points match, for all pairs of samples ``d`` apart."""
+    close = np.abs(x[d:] - x[:-d]) < r
+    match = np.zeros(len(close), dtype=bool)
+    if len(close) > m:
+        match[m:] = np.lib.stride_tricks.sliding_window_view(close, m + 1).all(axis=1)
+    return match
+
+
+def _with_errors(counts, touching, n):
     """Attach the standard error to each template length.
 
     The variance of a match probability p over b pairs is p(1-p)/b plus
     (K_long - K_short p^2)/b^2, where K counts pairs of matches that depend on
     each other because their templates overlap.
     """
-    touching = np.array([_dependent(run >= m + 1, top) for m in range(top)])
     rows = []
     for m, a, b, p in counts:
         if not b or not a:
@@ -228,14 +293,13 @@ def _with_errors(counts, run, n, top):
     return rows
 
 
-def _dependent(match, top):
+def _dependent(degree, diagonal, top):
     """Dependent pairs by distance 0, 1, ... of the two templates.
 
     At distance d > 0 the matches of both are multiplied, leaving out those
     with templates so near that they are already counted.
     """
-    n = match.shape[0]
-    degree = match.sum(axis=1).astype(float)
+    n = len(degree)
     out = np.zeros(top + 1)
     out[0] = (degree * (degree - 1)).sum()
     before, after = degree.copy(), degree.copy()
@@ -243,12 +307,12 @@ def _dependent(match, top):
     for d in range(1, top):
         while reach < 2 * d:
             reach += 1
-            near = match.diagonal(reach)
+            near = diagonal(reach)
             before[reach:] -= near
             if reach < 2 * d:
                 after[: n - reach] -= near
         out[d] = 2.0 * (before[d:] * after[: n - d]).sum()
-        after[: n - reach] -= match.diagonal(reach)
+        after[: n - reach] -= diagonal(reach)
     return out
 
 

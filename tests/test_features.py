@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -36,6 +37,37 @@ def test_sample_entropy_by_pairs(spark):
     assert values(column(spark, [rows[2]]), ft.sample_entropy(F.col("a"), none=-1.0)) == [-1.0]
 
 
+def test_neighbours_by_all_pairs():
+    rng = np.random.default_rng(5)
+    shapes = [
+        rng.normal(size=(700, 3)), rng.integers(0, 4, (900, 2)) * 0.2, np.zeros((400, 2)), rng.normal(size=(3, 1)),
+        np.cumsum(rng.normal(size=(600, 1)), axis=0), np.where(rng.random((500, 3)) < 0.02, np.nan, rng.normal(size=(500, 3))),
+        np.empty((0, 2)),
+    ]
+    for points in shapes:
+        near = (np.abs(points[:, None] - points[None]) < 0.2).all(axis=2)
+        np.fill_diagonal(near, False)
+        assert (ft._neighbours(points, 0.2) == near.sum(axis=1)).all()
+        assert not ft._neighbours(points, 0.0).any() and not ft._neighbours(points, math.nan).any()
+
+
+def test_entropy_of_a_very_long_window_in_bounded_memory():
+    """100,000 values; a matrix of their pairs would take 10 GB even as booleans."""
+    x = np.random.default_rng(6).integers(0, 2000, 100_000).astype(float)
+    tracemalloc.start()
+    got = ft._neighbours(x[:, None], 7.0)
+    profile = ft._entropy_profile(x, 1, 200.0, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    kinds = np.bincount(x.astype(int), minlength=2000)
+    around = np.convolve(kinds, np.ones(13, dtype=int), "same")
+    assert (got == around[x.astype(int)] - 1).all()
+    wide = np.convolve(kinds, np.ones(399, dtype=int), "same")
+    pairs = (wide[x.astype(int)] - 1).sum() / 2
+    assert profile[0][1] == pytest.approx(-math.log(pairs / (100_000 * 99_999 / 2)))
+    assert peak < 200_000_000
+
+
 def test_entropy_profile_counts(spark):
     x = np.random.default_rng(4).normal(size=50)
     got = values(column(spark, [x]), ft.entropy_profile(F.col("a"), 2, 0.5))[0]
