@@ -10,7 +10,7 @@ from ..plans import ingest
 from ..sources import annotations as notes
 from ..sources import packets as pk
 from ..sources import tables as stored
-from ..session import literal_table
+from ..session import literal_table, shared_folder
 from . import query
 from .base import (
     ALARMS,
@@ -147,6 +147,10 @@ def log_text(spark, sf):
     """Lines are written out first; a ninth lack the date, a tenth the tabs."""
     from ..sources.logs_text import parsed_lines
 
+    return _log_columns(parsed_lines(_log_lines(spark, sf)))
+
+
+def _log_lines(spark, sf):
     e = table(spark, sf, "events")
     n = F.col("event_id")
     stamp = F.date_format("ts", "dd MMM yyyy HH:mm:ss")
@@ -154,8 +158,11 @@ def log_text(spark, sf):
         F.lit("deviceID="), (F.col("user_id") + 100000).cast("string"), F.when(n % 9 == 0, F.lit(" x ")).otherwise(F.concat(F.lit(" x Date="), stamp))
     )
     body = F.concat(F.lit("\t "), F.col("event_type"), F.lit("  \t"), F.col("props"))
-    lines = e.select(F.concat(head, F.when(n % 10 == 0, F.lit("")).otherwise(body)).alias("value"))
-    return parsed_lines(lines).select(
+    return e.select(F.concat(head, F.when(n % 10 == 0, F.lit("")).otherwise(body)).alias("value"))
+
+
+def _log_columns(lines):
+    return lines.select(
         "device_id",
         F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"),
         F.get("fields", 0).alias("field"),
@@ -163,6 +170,24 @@ def log_text(spark, sf):
     )
 
 
+@query(
+    "S8_log_files",
+    """SELECT 100000 + user_id AS device_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, event_type AS field, props AS rest FROM events
+    WHERE event_id % 9 <> 0 AND event_id % 10 <> 0 AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND user_id >= 3""",
+)
+def log_files(spark, sf):
+    """The lines go to gzip files; the device and date filters are pushed into the data source."""
+    import uuid
+
+    from ..sources.log_files import read_log_files
+
+    folder = f"{shared_folder(spark)}/device-logs-{uuid.uuid4().hex}"
+    _log_lines(spark, sf).write.text(folder, compression="gzip")
+    rows = read_log_files(spark, folder)
+    wanted = rows.where((F.col("device_id") >= 100003) & (F.col("at") >= F.lit("2024-01-05 00:00:00").cast("timestamp")))
+    return _log_columns(wanted)
+
+
 def _packets(spark, sf):
     """Binding: a reading is a packet; its type is the place of its param."""
     r = readings(spark, sf)

@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 HEAD = r"deviceID=([0-9]{6}).*Date=([0-9]{2} [A-Z][a-z]{2} [0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2})"
 
 
-def parsed_lines(lines: DataFrame, column: str = "value", device: int | None = None) -> DataFrame:
-    """Lines to (device_id, at, fields); lines without both are dropped."""
+def parsed_lines(
+    lines: DataFrame, column: str = "value", device: int | None = None, head_pattern: str = HEAD
+) -> DataFrame:
+    """Lines to (device_id, at, fields); lines without both are dropped.
+
+    ``head_pattern`` finds the device id and the date in the first field.
+    """
     parts = F.split(F.col(column), "\t")
     head = F.get(parts, 0)
     df = lines.withColumn("_parts", parts).where(F.size("_parts") > 1).select(
         *[c for c in lines.columns if c != column],
-        F.regexp_extract(head, HEAD, 1).try_cast("bigint").alias("device_id"),
-        F.try_to_timestamp(F.regexp_extract(head, HEAD, 2), F.lit("dd MMM yyyy HH:mm:ss")).alias("at"),
+        F.regexp_extract(head, head_pattern, 1).try_cast("bigint").alias("device_id"),
+        F.try_to_timestamp(F.regexp_extract(head, head_pattern, 2), F.lit("dd MMM yyyy HH:mm:ss")).alias("at"),
         F.transform(F.slice("_parts", F.lit(2), F.size("_parts") - 1), lambda x: _trim(x)).alias("fields"),
     )
     df = df.where(F.col("device_id").isNotNull() & F.col("at").isNotNull())

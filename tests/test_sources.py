@@ -14,7 +14,8 @@ from bedside.functions import clock, codes, device, text
 from bedside.sources import annotations as notes
 from bedside.sources import packets as pk
 from bedside.sources import sinks, tables
-from bedside.sources.logs_text import read_log_text
+from bedside.sources.log_files import read_log_files
+from bedside.sources.logs_text import parsed_lines, read_log_text
 from bedside.sources.tables import page, page_after, select_readings
 
 
@@ -100,6 +101,53 @@ def test_gzip_logs(spark, tmp_path):
     assert read_log_text(spark, str(tmp_path)).count() == 2
 
 
+def test_log_files_push_device_and_date(spark, tmp_path, capfd):
+    lines = [
+        "deviceID=123456 x Date=03 Feb 2020 04:05:06\t one \ttwo",
+        "deviceID=123456 x Date=31 Feb 2020 04:05:06\tno such day",
+        "deviceID=123457 Date=04 Feb 2020 00:00:00\t\u00a0kept\u00a0\t\t",
+        "deviceID=12345 Date=04 Feb 2020 00:00:00\tshort id",
+        "no head\tx", "", "deviceID=123458 Date=05 Foo 2020 00:00:00\tmonth", "deviceID=123458 Date=05 Mar 2020 23:59:59",
+    ]
+    with gzip.open(tmp_path / "a.gz", "wt", encoding="utf-8") as f:
+        f.write("\n".join(lines))
+    with gzip.open(tmp_path / "a.gz", "at", encoding="utf-8") as f:  # a second member
+        f.write("\ndeviceID=123460 Date=06 Feb 2020 00:00:00\tsecond\r\n")
+    (tmp_path / "b.txt").write_text("\n".join(f"deviceID={200000 + i} Date=01 Jan 2021 00:00:00\t{i}" for i in range(9000)))
+    (tmp_path / "_SUCCESS").write_text(lines[0])
+    (tmp_path / "empty.txt").write_text("")
+    files, text = read_log_files(spark, str(tmp_path)), read_log_text(spark, str(tmp_path))
+    columns = ["device_id", "at", "fields"]
+    both = lambda cond: [sorted(map(str, df.where(cond).select(columns).collect())) for df in (files, text)]
+    got, want = both("true")
+    assert got == want and len(got) == 9003
+    for condition in (
+        "device_id = 123456", "device_id IN (123457, 123460)", "at > timestamp'2020-02-03 04:05:06' AND device_id < 200000",
+        "at <= timestamp'2020-02-04 00:00:00'", "device_id > 200004 AND at = timestamp'2021-01-01 00:00:00' AND size(fields) = 1",
+        "device_id <> 123456 AND device_id <= 123460", "device_id IS NULL",
+    ):
+        got, want = both(condition)
+        assert got == want, condition
+    capfd.readouterr()
+    files.where("device_id = 123456 AND at >= timestamp'2020-02-03 04:05:06' AND size(fields) = 2").explain("formatted")
+    plan = capfd.readouterr().out
+    pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
+    assert "EqualTo(device_id,123456)" in pushed and "GreaterThanOrEqual(at,2020-02-03 04:05:06" in pushed
+    conditions = [line for line in plan.splitlines() if line.startswith("Condition")]
+    assert len(conditions) == 1 and "size(fields" in conditions[0] and "device_id" not in conditions[0]
+    assert files.rdd.getNumPartitions() == 3
+    assert read_log_files(spark, str(tmp_path / "b.txt")).count() == 9000
+
+
+def test_a_head_of_another_format(spark, tmp_path):
+    (tmp_path / "x.log").write_text("unit 77 on 01 Dec 2022 10:00:00\ta\tb\nunit x\ta")
+    pattern = r"unit ([0-9]+) on ([0-9]{2} [A-Z][a-z]{2} [0-9]{4} [0-9:]{8})"
+    rows = read_log_files(spark, str(tmp_path), pattern).drop("file").collect()
+    assert [tuple(r) for r in rows] == [(77, dt.datetime(2022, 12, 1, 10), ["a", "b"])]
+    lines = spark.read.text(str(tmp_path))
+    assert parsed_lines(lines, head_pattern=pattern).collect() == rows
+
+
 def chunks_by_hand(rows, limit):
     """rows: (seq, sn, tm, segment, size) of one stream, cut packet by packet."""
     out, number, last, now = [], 0, None, None
