@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators import features as ft
 from ..operators import waveform as wf
+from ..plans.rhythm_model import RhythmModel, out_of_fold, training_rows
 from . import ORACLES, query
 from .base import READINGS, readings, table
+from .intervals import marks_to_intervals
 
 LEADS = ["ECG_I", "ECG_II", "ECG_III"]
 
@@ -250,19 +252,71 @@ def beat_similarity(spark, sf):
     )
 
 
-@query("U9_rhythm_updates")
-def rhythm_updates(spark, sf):
-    """Five-day beat windows, scored by a plain threshold on both features."""
+def _rhythm_sql(longest_gap: float, score: str) -> str:
+    return f"""WITH {READINGS}, r AS (SELECT * FROM readings WHERE value > 0), b AS (SELECT session, t, seq, value FROM r WHERE param = 'HR'),
+    sp AS (SELECT session, min(t) AS t0, max(t) AS t1 FROM b GROUP BY session),
+    u AS (SELECT session, u AS "update", t0 + u * 86400.0 AS stop FROM (SELECT *, unnest(range(CAST(ceil((t1 - t0) / 86400) AS BIGINT))) AS u FROM sp)),
+    w AS (SELECT u.session, u."update", u.stop, b.t, b.seq, b.value FROM u JOIN b ON b.session = u.session AND b.t BETWEEN u.stop - 1728000 AND u.stop
+      QUALIFY row_number() OVER (PARTITION BY u.session, u."update" ORDER BY b.t DESC, b.seq DESC) <= 12),
+    x AS (SELECT *, coalesce(value - lag(value) OVER (PARTITION BY session, "update" ORDER BY t, seq), 0) AS drr FROM w),
+    s AS (SELECT session, "update", stop, min(t) AS t0, max(t) AS t1, count(*) AS beats, count_if(value > 5) AS good FROM x GROUP BY ALL),
+    h AS (SELECT s.session, s."update", count(*) AS seen FROM s JOIN r ON r.session = s.session AND r.t BETWEEN t0 AND t1 GROUP BY ALL),
+    g AS (SELECT * FROM x WHERE value > 5 QUALIFY row_number() OVER (PARTITION BY session, "update" ORDER BY t DESC, seq DESC) <= 6),
+    l AS (SELECT session, "update", list(drr ORDER BY t, seq) AS d, sqrt(sum(drr * drr) / nullif(count(*) - 1, 0)) / avg(value) AS variability, 0.2 * stddev_pop(drr) AS r FROM g GROUP BY ALL),
+    p AS (SELECT session, "update", d, r, unnest(range(len(d) - 2)) AS i FROM l), q AS (SELECT *, unnest(range(i + 1, len(d) - 2)) AS j FROM p),
+    n AS (SELECT session, "update", greatest(abs(d[i + 1] - d[j + 1]), abs(d[i + 2] - d[j + 2])) < r AS near, abs(d[i + 3] - d[j + 3]) < r AS longer FROM q),
+    e AS (SELECT session, "update", CASE WHEN count_if(near AND longer) > 0 THEN ln(count_if(near) / count_if(near AND longer)) END AS entropy FROM n GROUP BY ALL),
+    f AS (SELECT s.session, s."update", stop, entropy, variability, CASE WHEN t1 - t0 - coalesce(seen, 0) > {longest_gap} OR stop - t1 > 864000 THEN -1 WHEN beats < 6 THEN 0 WHEN good < 6 THEN -2
+        WHEN variability > 0 THEN CASE WHEN {score} THEN 1 ELSE 0 END ELSE -1 END AS code
+      FROM s LEFT JOIN l USING (session, "update") LEFT JOIN e USING (session, "update") LEFT JOIN h USING (session, "update")),
+    c AS (SELECT *, lag(code) OVER (PARTITION BY session ORDER BY "update") AS was FROM f)
+    SELECT session, "update", CAST(stop AS DOUBLE) AS stop, code, round(entropy, 6) AS entropy, round(variability, 6) AS variability,
+      CAST(last_value(CASE WHEN code IS DISTINCT FROM was THEN stop END IGNORE NULLS) OVER (PARTITION BY session ORDER BY "update" ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS rhythm_start FROM c"""
+
+
+def _rhythm_windows(spark, sf):
+    """Twenty-day beat windows of the heart-rate readings, updated daily, and all times with a reading."""
     r = readings(spark, sf).where("value > 0")
     beats = r.where("param = 'HR'").select("session", "t", "seq", F.col("value").alias("rr"))
     w = wf.beat_windows(beats, 12, 1728000.0, 86400.0)
     n = F.size("rr")
     drr = F.concat(F.array(F.lit(0.0)), F.zip_with(F.slice("rr", F.lit(2), n - 1), F.slice("rr", F.lit(1), n - 1), lambda b, a: b - a))
     w = w.withColumn("drr", drr).withColumn("good", F.transform("rr", lambda x: (x > 5).cast("int"))).withColumn("leads", F.transform("rr", lambda x: F.lit(1)))
-    hr = r.select("session", "t")
-    return ft.rhythm_updates(
-        w, hr, 6, (1.0, 1.0), (0.5, 0.5), lambda a, b: (a > -2) & (b > -1), update_seconds=864000.0, longest_gap=1e7, no_entropy=-10.0
-    )
+    return w, r.select("session", "t")
+
+
+def _rounded_rhythm(out):
+    return out.withColumn("entropy", F.round("entropy", 6)).withColumn("variability", F.round("variability", 6))
+
+
+@query("U9_rhythm_updates", _rhythm_sql(1e7, "(coalesce(entropy, -10) - 1) / 0.5 > -2 AND (variability - 1) / 0.5 > -1"))
+def rhythm_updates(spark, sf):
+    """Beat windows scored by a plain threshold on both features."""
+    return _rounded_rhythm(ft.rhythm_updates(
+        *_rhythm_windows(spark, sf), 6, (1.0, 1.0), (0.5, 0.5), lambda a, b: (a > -2) & (b > -1), update_seconds=864000.0, longest_gap=1e7, no_entropy=-10.0
+    ))
+
+
+@query(
+    "U9_weighted_decision",
+    _rhythm_sql(1.2e6, "1 / (1 + exp(-(0.4 * (coalesce(entropy, 0) - 0.5) / 0.4 + 1.5 * (variability - 0.9) / 0.3 - 0.2))) >= 0.5"),
+)
+def weighted_decision(spark, sf):
+    """The same windows decided by a logistic model with fixed weights; wide windows with few readings are invalid."""
+    model = RhythmModel((0.5, 0.9), (0.4, 0.3), (0.4, 1.5), -0.2)
+    return _rounded_rhythm(ft.rhythm_updates(
+        *_rhythm_windows(spark, sf), 6, model.centre, model.scale, model, update_seconds=864000.0, longest_gap=1.2e6, no_entropy=0.0
+    ))
+
+
+@query("U9_trained_rhythm")
+def trained_rhythm(spark, sf):
+    """Out-of-fold decisions of models fitted to the marked stretches of other sessions."""
+    features = ft.rhythm_features(*_rhythm_windows(spark, sf), 6, 864000.0, 1e7)
+    marked = marks_to_intervals(spark, sf).where("tag IN ('AFIB', 'AFL')").select("session", F.col("start").alias("begin"), F.col("stop").alias("end"))
+    rows = training_rows(features, marked, span=21600.0, width=86400.0, no_entropy=0.0)
+    out = out_of_fold(rows)
+    return out.select("session", "update", "fold", "label", F.round("probability", 6).alias("probability"), "decided")
 
 
 @query(

@@ -449,27 +449,21 @@ def fibrillation_features(window: Column, rate: int = 125) -> Column:
 FIBRILLATION, NO_RHYTHM, INVALID, POOR_SIGNAL = 1, 0, -1, -2
 
 
-def rhythm_updates(
+def rhythm_features(
     windows: DataFrame,
     heart_rate: DataFrame,
     beats_needed: int,
-    centre: tuple[float, float],
-    scale: tuple[float, float],
-    score,
     update_seconds: float = 30.0,
     longest_gap: float = 5.0,
     keys=("session",),
-    no_entropy: float | None = None,
 ) -> DataFrame:
-    """Rhythm code per update and the start of the stretch it belongs to.
+    """Entropy and variability per update, and the code where a rule already fixes it.
 
     ``windows`` has (keys, update, stop, ts, rr, good, leads): the beats in
-    reach of each update as arrays in time order.  Invalid without beats, with
-    leads off, with more than five seconds of heart rate missing, or when the
-    newest beat is stale; poor signal with too few good beats; otherwise the
-    z-scored entropy and variability of the last beats go to ``score``, a
-    function from two columns to a boolean column (an MLlib or pandas model).
-    An entropy that is missing goes as null, or as ``no_entropy`` if given.
+    reach of each update as arrays in time order.  ``fixed`` is invalid without
+    beats, with leads off, with more than five seconds of heart rate missing, or
+    when the newest beat is stale; poor signal with too few good beats; null
+    where a classifier has to decide.  ``start`` is the oldest beat in reach.
     """
     w = windows.withColumn("_t0", F.array_min("ts")).withColumn("_t1", F.array_max("ts"))
     from .ranges import point_join
@@ -493,22 +487,46 @@ def rhythm_updates(
     squares = total(F.transform("_drr", lambda d: d * d))
     w = w.withColumn("entropy", sample_entropy(F.col("_drr")))
     w = w.withColumn("variability", F.try_divide(F.sqrt(F.try_divide(squares, F.size("_drr") - 1)), mean(F.col("_rr"))))
-    entropy = F.col("entropy") if no_entropy is None else F.coalesce("entropy", F.lit(float(no_entropy)))
-    z0 = (entropy - centre[0]) / scale[0]
-    z1 = (F.col("variability") - centre[1]) / scale[1]
     invalid = (
         F.col("_t1").isNull()
         | F.exists("leads", lambda x: x == 0)
         | ((F.col("_t1") - F.col("_t0") - F.col("_seen")) > longest_gap)
         | (F.col("stop") - F.col("_t1") > update_seconds)
     )
-    code = (
+    fixed = (
         F.when(F.coalesce(invalid, F.lit(True)), INVALID)
         .when(F.size("rr") < n, NO_RHYTHM)
         .when(F.size("_good") < n, POOR_SIGNAL)
-        .when(F.coalesce(F.col("variability") > 0, F.lit(False)), F.when(F.coalesce(score(z0, z1), F.lit(False)), FIBRILLATION).otherwise(NO_RHYTHM))
-        .otherwise(INVALID)
+        .when(~F.coalesce(F.col("variability") > 0, F.lit(False)), INVALID)
     )
+    return w.select(*keys, "update", F.col("_t0").alias("start"), "stop", fixed.alias("fixed"), "entropy", "variability")
+
+
+def rhythm_updates(
+    windows: DataFrame,
+    heart_rate: DataFrame,
+    beats_needed: int,
+    centre: tuple[float, float],
+    scale: tuple[float, float],
+    score,
+    update_seconds: float = 30.0,
+    longest_gap: float = 5.0,
+    keys=("session",),
+    no_entropy: float | None = None,
+) -> DataFrame:
+    """Rhythm code per update and the start of the stretch it belongs to.
+
+    Where no rule of ``rhythm_features`` fixes the code, the z-scored entropy and
+    variability of the last beats go to ``score``, a function from two columns to a
+    boolean column (such as a trained ``plans.rhythm_model.RhythmModel``).
+    An entropy that is missing goes as null, or as ``no_entropy`` if given.
+    """
+    w = rhythm_features(windows, heart_rate, beats_needed, update_seconds, longest_gap, keys)
+    entropy = F.col("entropy") if no_entropy is None else F.coalesce("entropy", F.lit(float(no_entropy)))
+    z0 = (entropy - centre[0]) / scale[0]
+    z1 = (F.col("variability") - centre[1]) / scale[1]
+    decided = F.when(F.coalesce(score(z0, z1), F.lit(False)), FIBRILLATION).otherwise(NO_RHYTHM)
+    code = F.coalesce("fixed", decided)
     w = w.select(*keys, "update", "stop", code.alias("code"), "entropy", "variability")
     w = scan(balance(w, keys, "update"), keys, ["update"], _was=previous("code"))
     start = F.when(F.col("code").eqNullSafe(F.col("_was")), None).otherwise(F.col("stop"))

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bedside.operators import features as ft
+from bedside.plans import rhythm_model as rhythm
 from bedside.operators import waveform as wf
 
 
@@ -205,3 +206,46 @@ def test_rhythm_codes(spark):
     out = ft.rhythm_updates(df, hr, 4, (0.0, 0.0), (1.0, 1.0), lambda a, b: b > 0).orderBy("update").collect()
     assert [r.code for r in out] == [ft.FIBRILLATION, ft.POOR_SIGNAL, ft.INVALID, ft.INVALID, ft.NO_RHYTHM]
     assert [r.rhythm_start for r in out] == [100.0, 130.0, 160.0, 160.0, 220.0]
+
+
+def test_trained_rhythm_decides_unseen_sessions(spark):
+    """Irregular sessions against regular ones: models that never saw a session tell them apart."""
+    rng = np.random.default_rng(12)
+    rows, marked = [], []
+    for session in range(40):
+        irregular = session % 2 == 1
+        for update in range(8):
+            stop = 1000.0 * update + 100.0
+            rr = 800 + rng.normal(size=60) * (160 if irregular else 30 + 10 * (session % 3))
+            ts = np.linspace(stop - 50, stop - 1, 60)
+            rows.append((session, update, stop, ts.tolist(), rr.tolist(), np.diff(rr, prepend=rr[0]).tolist(), [1] * 60, [1] * 60))
+        if irregular:
+            marked.append((session, 0.0, 1e6))
+    # a session with leads off is decided by rule and never trained on
+    rows.append((99, 0, 100.0, [90.0] * 60, [800.0] * 60, [0.0] * 60, [1] * 60, [0] * 60))
+    df = spark.createDataFrame(
+        rows, "session bigint, update bigint, stop double, ts array<double>, rr array<double>, drr array<double>, good array<int>, leads array<int>"
+    )
+    hr = df.select("session", F.explode(F.sequence(F.lit(0), F.lit(60))).alias("i"), "stop").select("session", (F.col("stop") - F.col("i")).alias("t"))
+    features = ft.rhythm_features(df, hr, 60)
+    assert [r.fixed for r in features.where("session = 99").collect()] == [ft.INVALID]
+    intervals = spark.createDataFrame(marked, "session bigint, begin double, `end` double")
+    # windows without an entropy are left out, or one stands for it
+    known = features.where("fixed is null and entropy is not null").count()
+    assert rhythm.training_rows(features, intervals).count() == known < 320
+    trained = rhythm.training_rows(features, intervals, no_entropy=3.0)
+    assert trained.count() == 320 and trained.where("label = 1").count() == 160
+    scored = rhythm.out_of_fold(trained, folds=4)
+    assert scored.groupBy("session").agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
+    figures = rhythm.held_out_figures(scored).first()
+    assert figures.windows == 320 and figures.rate == 0.5
+    assert figures.accuracy > 0.95 and figures.sensitivity > 0.95 and figures.specificity > 0.95
+    model = rhythm.fit(trained)
+    codes = ft.rhythm_updates(df, hr, 60, model.centre, model.scale, model, no_entropy=3.0)
+    right = codes.join(trained.select("session", "update", "label"), ["session", "update"]).where("code = label").count()
+    assert right > 0.95 * 320
+    # one label only, and nothing at all
+    assert rhythm.fit(trained.where("label = 1")).intercept == math.inf
+    assert rhythm.fit(trained.where("label = 2")) is None
+    alone = rhythm.out_of_fold(trained.where("session = 1"))
+    assert alone.where("probability is null and decided is null").count() == 8
