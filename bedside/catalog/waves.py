@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import channels as ch
 from ..operators import features as ft
 from ..operators import waveform as wf
 from ..plans.rhythm_model import RhythmModel, out_of_fold, training_rows
@@ -93,6 +94,77 @@ def merged_leads(spark, sf):
     return wf.merged_ecg(s, LEADS)
 
 
+def _channels(spark, sf, names, every):
+    """Channels at their own rates with repeated ticks; some samples lack their time, some their value."""
+    s = samples(spark, sf)
+    parts = [
+        s.where(F.col("i") % n == 0).select(
+            "session", "block", (F.col("sn") - F.col("sn") % 3 * (k % 2)).alias("sn"), F.lit(c).alias("lead"), F.col("i").alias("seq"),
+            F.when(F.col("i") % 5 != 2, F.col("sn") / 500.0 + k * 0.125).alias("t"),
+            F.when(F.col("i") % 16 != 8, F.col("value").cast("double") * (k + 1)).alias("value"),
+        )
+        for k, (c, n) in enumerate(zip(names, every))
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _channels_sql(names, every) -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT session, block, sn - sn % 3 * {k % 2} AS sn, '{c}' AS lead, i AS seq, CASE WHEN i % 5 <> 2 THEN sn / 500.0 + {k * 0.125} END AS t, CASE WHEN i % 16 <> 8 THEN CAST(value AS DOUBLE) * {k + 1} END AS value FROM samples WHERE i % {n} = 0"
+        for k, (c, n) in enumerate(zip(names, every))
+    )
+    return f"""{SAMPLES}, raw AS ({parts}), one AS (SELECT session, block, sn, lead, f.t AS t, f.value AS value FROM (SELECT session, block, sn, lead, arg_min({{'t': t, 'value': value}}, seq) AS f FROM raw GROUP BY ALL))"""
+
+
+def _merged_sql(source: str, names, missing: int, unknown: int, keep: str = "true") -> str:
+    cells = ", ".join(f"any_value({{'t': t, 'v': value}}) FILTER (WHERE lead = '{c}') AS c{k}" for k, c in enumerate(names))
+    known = ", ".join(f"c{k}.t" for k in reversed(range(len(names))))
+    values = ", ".join(f"CASE WHEN c{k} IS NULL THEN {missing} ELSE coalesce(c{k}.v, {unknown}) END AS {c}" for k, c in enumerate(names))
+    return f"""sp AS (SELECT session, block, min(sn) AS lo, max(sn) AS hi FROM {source} GROUP BY ALL), gr AS (SELECT session, block, unnest(generate_series(lo, hi)) AS sn FROM sp),
+    wide AS (SELECT session, block, sn, {cells} FROM {source} GROUP BY ALL), m AS (SELECT *, coalesce({known}) AS kt FROM gr LEFT JOIN wide USING (session, block, sn)),
+    z AS (SELECT *, last_value(CASE WHEN kt IS NOT NULL THEN {{'sn': sn, 't': kt}} END IGNORE NULLS) OVER (PARTITION BY session, block ORDER BY sn ROWS UNBOUNDED PRECEDING) AS b,
+      first_value(CASE WHEN kt IS NOT NULL THEN {{'sn': sn, 't': kt}} END IGNORE NULLS) OVER (PARTITION BY session, block ORDER BY sn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS a FROM m),
+    y AS (SELECT session, block, sn, round(CAST(coalesce(kt, b.t + (sn - b.sn) * (a.t - b.t) / (a.sn - b.sn), b.t, a.t) AS DOUBLE), 6) AS t, {values} FROM z)
+    SELECT session, block, sn, t, {', '.join(f'round(CAST({c} AS DOUBLE), 4) AS {c}' for c in names)} FROM y WHERE {keep}"""
+
+
+def _rounded_channels(out):
+    return out.select("session", "block", "sn", F.round("t", 6).alias("t"), *[F.round(F.col(c).cast("double"), 4).alias(c) for c in out.columns[4:]])
+
+
+OPTICAL, SEISMIC, PRESSURE = (["IR_FILT", "IR_DC", "RED_DC"], [2, 8, 16]), (["SCG"], [7]), (["PRES_A", "PRES_B"], [4, 6])
+
+
+@query(
+    "J10_optical",
+    f"""WITH {_channels_sql(*OPTICAL)}, u AS (SELECT session, block, lead, sn, 0 AS k, t, value FROM one WHERE lead <> 'IR_FILT'
+      UNION ALL SELECT session, block, unnest(['IR_DC', 'RED_DC']) AS lead, sn, 1, t, NULL FROM one WHERE lead = 'IR_FILT'),
+    n AS (SELECT *, last_value(CASE WHEN k = 0 THEN {{'sn': sn, 'v': value}} END IGNORE NULLS) OVER (PARTITION BY session, block, lead ORDER BY sn, k ROWS UNBOUNDED PRECEDING) AS b,
+      first_value(CASE WHEN k = 0 THEN {{'sn': sn, 'v': value}} END IGNORE NULLS) OVER (PARTITION BY session, block, lead ORDER BY sn, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS a FROM u),
+    raised AS (SELECT session, block, sn, lead, t, value FROM one WHERE lead = 'IR_FILT' UNION ALL
+      SELECT session, block, sn, lead, t, CASE WHEN b.sn = sn THEN b.v ELSE b.v + (sn - b.sn) * (a.v - b.v) / (a.sn - b.sn) END FROM n WHERE k = 1),
+    {_merged_sql('raised', OPTICAL[0], -(2**31), 645000000)}""",
+)
+def optical(spark, sf):
+    return _rounded_channels(ch.merged_optical(_channels(spark, sf, *OPTICAL), "IR_FILT", ["IR_DC", "RED_DC"]))
+
+
+@query("J10_seismic", f"WITH {_channels_sql(*SEISMIC)}, {_merged_sql('one', SEISMIC[0], 2**32 - 1, 2**32 - 1)}")
+def seismic(spark, sf):
+    return _rounded_channels(ch.merged_seismic(_channels(spark, sf, *SEISMIC), SEISMIC[0]))
+
+
+@query(
+    "J10_pressure",
+    f"WITH {_channels_sql(*PRESSURE)}, {_merged_sql('one', PRESSURE[0], 2**32 - 1, 2**32 - 1, 'PRES_A <> 4294967295 OR PRES_B <> 4294967295')}",
+)
+def pressure(spark, sf):
+    return _rounded_channels(ch.merged_pressure(_channels(spark, sf, *PRESSURE), PRESSURE[0]))
+
+
 @query(
     "W17_beat_windows",
     f"""WITH {READINGS}, b AS (SELECT session, t, seq, value FROM readings WHERE param = 'HR'),

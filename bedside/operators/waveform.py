@@ -66,25 +66,26 @@ def leads_wide(
         *[F.min_by(F.when(F.col("lead") == n, F.col("value")), F.when(F.col("lead") == n, F.col("seq"))).alias(n) for n in leads]
     )
     if dense:
-        span = samples.groupBy(*keys).agg(F.min("sn").alias("_lo"), F.max("sn").alias("_hi"))
-        if max_ticks is not None:
-            span = span.where(F.col("_hi") - F.col("_lo") <= max_ticks)
-        # ticks in strips, so that no array holds a whole block
-        strips = span.select(
-            *keys, "_hi", F.explode(F.sequence("_lo", "_hi", F.lit(10_000 * step).cast("bigint"))).alias("_s")
-        )
-        grid = strips.select(
-            *keys,
-            F.explode(
-                F.sequence(
-                    "_s", F.least(F.col("_s") + (10_000 * step - 1), "_hi"), F.lit(step).cast("bigint")
-                )
-            ).alias("sn"),
-        )
+        grid = tick_grid(samples, keys, max_ticks, step)
         wide = grid.join(wide, [*keys, "sn"], "left")
     return wide.select(*keys, "sn", *[F.coalesce(n, F.lit(missing)).alias(n) for n in leads])
 
 
+def tick_grid(samples: DataFrame, keys=BLOCK, max_ticks: int | None = None, step: int = 1) -> DataFrame:
+    """Every tick between the first and last sample of a block, in strips so that no array holds a whole block.
+
+    A block longer than ``max_ticks`` is left out.
+    """
+    span = samples.groupBy(*keys).agg(F.min("sn").alias("_lo"), F.max("sn").alias("_hi"))
+    if max_ticks is not None:
+        span = span.where(F.col("_hi") - F.col("_lo") <= max_ticks)
+    strips = span.select(
+        *keys, "_hi", F.explode(F.sequence("_lo", "_hi", F.lit(10_000 * step).cast("bigint"))).alias("_s")
+    )
+    last = F.least(F.col("_s") + (10_000 * step - 1), "_hi")
+    return strips.select(*keys, F.explode(F.sequence("_s", last, F.lit(step).cast("bigint"))).alias("sn"))
+
+
 def clipped(value: Column, rail: int = RAIL, code: int = RAIL) -> Column:
     """Samples at or beyond either rail become the missing code."""
     return F.when((value >= rail) | (value <= -rail), F.lit(code)).otherwise(value)

@@ -16,6 +16,7 @@ SLICED = [
     "W21_cardiac_alarms", "A17_drift_alerts", "J1_cuff_pairs", "J4_activity_grid", "J15_time_axis",
     "J15_sequence_of_time", "A23_robust_spread", "W8_device_islands", "W13_merged_intervals",
     "W14_marks_to_intervals", "U11_on_off_delays", "U8_beat_similarity", "W12_gap_fill", "A22_collected_results",
+    "J10_optical", "J10_pressure",
 ]
 
 

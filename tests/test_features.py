@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from bedside.operators import channels as ch
 from bedside.operators import features as ft
 from bedside.plans import rhythm_model as rhythm
 from bedside.operators import waveform as wf
@@ -208,6 +209,35 @@ def test_rhythm_codes(spark):
     assert [r.rhythm_start for r in out] == [100.0, 130.0, 160.0, 160.0, 220.0]
 
 
+def test_channels_merge_on_one_time_axis(either):
+    rows = [
+        (1, 0, 10, "F", None, 0, 1.0), (1, 0, 12, "F", 5.0, 0, 3.0), (1, 0, 12, "F", 9.0, 1, 99.0),
+        (1, 0, 16, "F", None, 0, None), (1, 0, 18, "F", 8.0, 0, 7.0), (1, 0, 20, "F", None, 0, 9.0),
+        (1, 0, 12, "S", 5.5, 0, 10.0), (1, 0, 18, "S", None, 0, 40.0), (1, 0, 14, "X", 1.0, 0, 1.0),
+        (2, 0, 0, "F", 0.0, 0, 1.0), (2, 0, 6_000_000, "F", 1.0, 0, 1.0),
+    ]
+    df = either.createDataFrame(rows, "session bigint, block bigint, sn bigint, lead string, t double, seq bigint, value double")
+    short = df.where("session = 1")
+    got = [tuple(r)[2:] for r in ch.merged_channels(short, ["F", "S"], -1.0, -2.0).orderBy("sn").collect()]
+    assert got == [
+        (10, 5.5, 1.0, -1.0), (11, 5.5, -1.0, -1.0), (12, 5.5, 3.0, 10.0),
+        *[(k, pytest.approx(5.5 + (k - 12) * 2.5 / 6), -2.0 if k == 16 else -1.0, -1.0) for k in range(13, 18)],
+        (18, 8.0, 7.0, 40.0), (19, 8.0, -1.0, -1.0), (20, 8.0, 9.0, -1.0),
+    ]
+    kept = ch.merged_channels(short, ["F", "S"], -1.0, drop_empty=True).orderBy("sn").collect()
+    # a sample without a value counts as missing if nothing else is said
+    assert [r.sn for r in kept] == [10, 12, 18, 20]
+    raised = ch.resampled(short, "F", ["S"]).where("lead = 'S'").orderBy("sn").collect()
+    assert [(r.sn, r.t, r.value) for r in raised] == [
+        (10, None, None), (12, 5.0, 10.0), (16, None, 30.0), (18, 8.0, 40.0), (20, None, None),
+    ]
+    optical = ch.merged_optical(short, "F", ["S"]).orderBy("sn").collect()
+    assert [r.S for r in optical if r.sn in (10, 11, 16)] == [ch.SATURATED, -(2**31), 30.0]
+    # a block beyond three hours of ticks is refused
+    assert ch.merged_seismic(df, ["F"]).where("session = 2").count() == 0
+    assert ch.merged_channels(df.where("session = 3"), ["F"]).count() == 0
+
+
 def test_trained_rhythm_decides_unseen_sessions(spark):
     """Irregular sessions against regular ones: models that never saw a session tell them apart."""
     rng = np.random.default_rng(12)
