@@ -130,14 +130,17 @@ def device_stretches(blocks: DataFrame) -> DataFrame:
 
 
 def logs_of_sessions(logs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Log lines of the devices each session was on, while it was on them."""
+    """Log lines of the devices each session was on, while it was on them.
+
+    A line comes once per stretch that holds it; equal lines all stay.
+    """
     stretches = device_stretches(blocks).withColumnRenamed("stop", "end")
     at = F.unix_micros("datetime_sent") / 1_000_000
     pairs = point_join(
         logs.where(F.col("device_id").isNotNull()), stretches.select("session", "device_id", "start", "end"),
         ["device_id"], at, (F.col("start"), F.col("end")), 86_400.0,
     )
-    return pairs.select("b.session", "a.*").distinct()
+    return pairs.select("b.session", "a.*")
 
 
 def readable(logs: DataFrame, templates: DataFrame, levels: DataFrame, device_types: DataFrame) -> DataFrame:
