@@ -97,6 +97,12 @@ def merged_channels(
     return out
 
 
+def refused_blocks(samples: DataFrame, max_ticks: int = LONGEST_BLOCK, keys=BLOCK) -> DataFrame:
+    """Blocks that a merge leaves out as too long, with their ticks."""
+    span = samples.groupBy(*keys).agg((F.max("sn") - F.min("sn")).alias("ticks"))
+    return span.where(F.col("ticks") > max_ticks)
+
+
 def merged_optical(samples: DataFrame, fast: str, slow: Sequence[str], keys=BLOCK) -> DataFrame:
     """Optical channels with the slow ones raised to the rate of the fast one; no value counts as saturated."""
     raised = resampled(samples, fast, slow, keys)

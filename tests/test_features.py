@@ -235,6 +235,7 @@ def test_channels_merge_on_one_time_axis(either):
     assert [r.S for r in optical if r.sn in (10, 11, 16)] == [ch.SATURATED, -(2**31), 30.0]
     # a block beyond three hours of ticks is refused
     assert ch.merged_seismic(df, ["F"]).where("session = 2").count() == 0
+    assert [tuple(r) for r in ch.refused_blocks(df).collect()] == [(2, 0, 6_000_000)]
     assert ch.merged_channels(df.where("session = 3"), ["F"]).count() == 0
 
 
