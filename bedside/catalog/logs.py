@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import log_search as ls
+from ..plans.template_index import template_index
 from ..session import literal_table
 from . import query
 from .base import READINGS, readings, table
@@ -139,20 +140,28 @@ PART_TEMPLATE = "'part ' || p_name || ' ([0-9]*) of ([A-Z]*)$'"
 TERMS = ["part hot bolt 12 of ABC", "large ring", "part blue ring 7 of"]
 
 
-@query(
-    "J20_matching_templates",
-    f"""WITH t AS (SELECT p_partkey AS id, {PART_TEMPLATE} AS cipher, unnest([{', '.join(f"'{x}'" for x in TERMS)}]) AS term FROM part),
+MATCHED = f"""WITH t AS (SELECT p_partkey AS id, {PART_TEMPLATE} AS cipher, unnest([{', '.join(f"'{x}'" for x in TERMS)}]) AS term FROM part),
     m AS (SELECT *, regexp_matches(term, '^' || cipher) AS plain, regexp_matches('^' || cipher, term) AS turned, regexp_matches(term || ' ', '^' || cipher) AS blank FROM t),
     s AS (SELECT *, CASE WHEN plain OR turned THEN term ELSE term || ' ' END AS subject FROM m WHERE plain OR turned OR blank)
-    SELECT id, term, CASE WHEN regexp_matches(subject, '^' || cipher) THEN regexp_extract(subject, '^' || cipher, 1) || ',' || regexp_extract(subject, '^' || cipher, 2) END AS contents FROM s""",
-)
+    SELECT id, term, CASE WHEN regexp_matches(subject, '^' || cipher) THEN regexp_extract(subject, '^' || cipher, 1) || ',' || regexp_extract(subject, '^' || cipher, 2) END AS contents FROM s"""
+
+
+def _part_templates(spark, sf):
+    text = F.concat(F.lit("part "), "p_name", F.lit(" ([0-9]*) of ([A-Z]*)$"))
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), text.alias("cipher"))
+
+
+@query("J20_matching_templates", MATCHED)
 def matching_templates(spark, sf):
-    p = table(spark, sf, "part")
-    templates = p.select(
-        F.col("p_partkey").alias("id"),
-        F.concat(F.lit("part "), "p_name", F.lit(" ([0-9]*) of ([A-Z]*)$")).alias("cipher"),
-    )
-    out = ls.matching_templates(templates, TERMS)
+    out = ls.matching_templates(_part_templates(spark, sf), TERMS)
+    return out.select("id", "term", F.array_join("contents", ",").alias("contents"))
+
+
+@query("J20_indexed_templates", MATCHED)
+def indexed_templates(spark, sf):
+    """The same templates, found through the index of their word pieces."""
+    templates = _part_templates(spark, sf)
+    out = ls.matching_templates(templates, TERMS, template_index(templates))
     return out.select("id", "term", F.array_join("contents", ",").alias("contents"))
 
 

@@ -11,19 +11,27 @@ from pyspark.sql import functions as F
 from ..functions.text import PLACEHOLDER, all_of, any_of, rebuilt_message
 from ..operators.ranges import point_join
 from ..operators.runs import islands
+from .template_index import candidates
 
 
-def matching_templates(templates: DataFrame, terms: str | Sequence[str]) -> DataFrame:
+def matching_templates(
+    templates: DataFrame, terms: str | Sequence[str], index: DataFrame | None = None
+) -> DataFrame:
     """Templates that fit a search term: (id, term, contents).
 
     A template fits when it matches the term from its start, when the term
     matches it, or when it matches the term and a blank.  ``contents`` are the
     captured groups, null where there are none.  Terms are laid out next to
-    each template, so no join is needed.
+    each template, so no join is needed.  With an ``index`` of the templates (see
+    :mod:`bedside.plans.template_index`) a term is only tried on those it has pieces in
+    common with; the result is the same.
     """
     terms = [t for t in (terms.split(",") if isinstance(terms, str) else terms) if t]
-    every = F.array(*[F.lit(t) for t in terms])
-    df = templates.withColumn("term", F.explode(every)).withColumn("_p", F.concat(F.lit("^"), "cipher"))
+    if index is None:
+        df = templates.withColumn("term", F.explode(F.array(*[F.lit(t) for t in terms]).cast("array<string>")))
+    else:
+        df = templates.join(candidates(index, templates, terms), "id")
+    df = df.withColumn("_p", F.concat(F.lit("^"), "cipher"))
     blank = F.concat("term", F.lit(" "))
     plain = F.rlike("term", F.col("_p"))
     turned = F.rlike("_p", F.col("term"))
@@ -174,6 +182,7 @@ def search(
     session: int | None = None,
     blocks: DataFrame | None = None,
     order_by: str = "datetime_sent",
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Search the logs by place, time, device, level, class and message.
 
@@ -181,7 +190,8 @@ def search(
     prune partitions where the logs are stored by them.  Lines of the wanted
     templates are kept by a semi join with the message dictionary, those of unwanted
     ones dropped by an anti join.  With
-    ``blocks`` the search is by session: one, or all of them.
+    ``blocks`` the search is by session: one, or all of them.  ``index`` spares a large
+    dictionary the trial of every template.
     """
     df = logs
     if blocks is not None:
@@ -199,8 +209,8 @@ def search(
         if value is not None:
             df = df.where(F.col(column) == value)
     if message:
-        df = with_templates(df, matching_templates(templates, message))
+        df = with_templates(df, matching_templates(templates, message, index))
     if without:
-        df = without_templates(df, matching_templates(templates, without))
+        df = without_templates(df, matching_templates(templates, without, index))
     order = [order_by] if order_by == "datetime_sent" else [order_by, "datetime_sent"]
     return readable(df, templates, levels, device_types).orderBy(*order)
