@@ -20,5 +20,5 @@ def query(name: str, sql: str | None = None):
 
 
 def load() -> None:
-    for part in ("series", "pairs", "intervals", "records", "logs", "waves"):
+    for part in ("series", "pairs", "intervals", "records", "logs", "waves", "surface"):
         importlib.import_module(f"{__name__}.{part}")
