@@ -128,7 +128,7 @@ def blocks_in_sql(spark, sf):
 
 
 @query(
-    "P2_codes_in_sql",
+    "P7_serials_in_sql",
     f"""WITH {READINGS} SELECT seq, CASE WHEN value < 0 AND value > -4 THEN 'XX' WHEN value = -4 THEN '++' WHEN value = -5 THEN '--' WHEN value < 0 THEN 'OFF' END AS state,
       '????20' || lpad(CAST(((seq * 4097) >> 18 & 63) + 13 AS VARCHAR), 2, '0') || lpad(CAST((seq * 4097) >> 14 & 15 AS VARCHAR), 2, '0') || lpad(CAST((seq * 4097) & 16383 AS VARCHAR), 5, '0') AS serial_no
     FROM readings""",

@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from .ordered import due, wake_at
 
+FRESH = (-1.0, -1, -1.0)
 OUT = "session bigint, param string, start double, stop double"
 STATE = "last double, number bigint, opened double, t array<double>, seq array<bigint>, sn array<bigint>"
 
 
+def fold(state: tuple, rows: Iterable[tuple[float, int]], rate: float, slop: float) -> tuple[tuple, list[tuple]]:
+    """Advance one series by (t, sn) rows in time order; closed dropouts come out."""
+    last, sn, opened = state
+    closed = []
+    for t, n in rows:
+        reset = last < 0 or n < sn
+        gap = not reset and t - last > rate + slop
+        if opened >= 0 and not gap:
+            closed.append((opened, last))
+            opened = -1.0
+        if gap and opened < 0:
+            opened = last + rate
+        last, sn = float(t), int(n)
+    return (last, sn, opened), closed
+
+
+def finish(state: tuple) -> list[tuple]:
+    """The dropout a series ends in, if any."""
+    last, _, opened = state
+    return [(opened, last)] if opened >= 0 else []
+
+
 def dropout_stream(
     readings: DataFrame, rate: float, slop: float = 0.1, lateness: str = "1 minute", silence: str = "1 hour"
 ) -> DataFrame:
@@ -26,28 +49,18 @@ def dropout_stream(
     wait = pd.Timedelta(silence) // pd.Timedelta("1ms")
 
     def advance(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        kept = tuple(state.get) if state.exists else (-1.0, -1, -1.0, [], [], [])
-        (last, sn, opened), waiting = kept[:3], dict(zip(("t", "seq", "sn"), map(list, kept[3:])))
+        kept = tuple(state.get) if state.exists else (*FRESH, [], [], [])
+        now, waiting = kept[:3], dict(zip(("t", "seq", "sn"), map(list, kept[3:])))
         silent = state.hasTimedOut and not waiting["t"]
         ready, waiting = due(waiting, [] if state.hasTimedOut else batches, state.getCurrentWatermarkMs())
-        rows = []
-        for t, n in zip(ready["t"], ready["sn"]):
-            reset = last < 0 or n < sn
-            gap = not reset and t - last > rate + slop
-            if opened >= 0 and not gap:
-                rows.append((*key, opened, last))
-                opened = -1.0
-            if gap and opened < 0:
-                opened = last + rate
-            last, sn = float(t), int(n)
+        now, rows = fold(now, zip(ready["t"], ready["sn"]), rate, slop)
         if silent:
-            if opened >= 0:
-                rows.append((*key, opened, last))
+            rows = rows + finish(now)
             state.remove()
         else:
-            state.update((last, sn, opened, waiting["t"], waiting["seq"], waiting["sn"]))
-            state.setTimeoutTimestamp(wake_at(waiting, max(last, 0.0), int(wait), state.getCurrentWatermarkMs()))
-        yield pd.DataFrame(rows, columns=["session", "param", "start", "stop"])
+            state.update((*now, waiting["t"], waiting["seq"], waiting["sn"]))
+            state.setTimeoutTimestamp(wake_at(waiting, max(now[0], 0.0), int(wait), state.getCurrentWatermarkMs()))
+        yield pd.DataFrame([(*key, *r) for r in rows], columns=["session", "param", "start", "stop"])
 
     return (
         readings.withWatermark("ts", lateness)
