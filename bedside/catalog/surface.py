@@ -107,7 +107,7 @@ def samples_in_sql(spark, sf):
 def alarms_in_sql(spark, sf):
     return _run(
         spark,
-        """SELECT session, sn, code, CAST(state AS BIGINT) AS state, active FROM (
+        """SELECT session, sn, code, state, active FROM (
           SELECT o_custkey AS session, o_orderkey AS sn, count(l_orderkey) AS active, collect_list(
             CASE WHEN l_orderkey IS NOT NULL THEN named_struct('code', l_partkey % 50, 'severity', 1, 'state', CAST(l_linenumber AS INT), 'start_sn', CAST(l_suppkey AS BIGINT)) END) AS alarms
           FROM {orders} LEFT JOIN {lines} ON l_orderkey = o_orderkey AND l_returnflag = 'R' GROUP BY o_custkey, o_orderkey),
