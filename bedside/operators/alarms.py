@@ -79,7 +79,8 @@ def state_changes(readings: DataFrame, limits: DataFrame, keys=SERIES, order=ORD
     """
     t = order[0]
     v = F.col("value")
-    df = balance(readings, keys, t)
+    # rows come out per limit, and what follows sorts those in the same tasks
+    df = balance(readings, keys, t, grows=5.0)
     df = scan(
         df,
         keys,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bedside.operators import slices
-from bedside.operators.slices import SLICE, SLICE_ROWS, balance, scan
+from bedside.operators.slices import SLICE, SLICE_ROWS, TASK_ROWS, balance, scan
 
 KINDS = [
     "previous", "following", "running_sum", "running_max", "running_min", "filled", "filled_before",
@@ -75,3 +75,21 @@ def test_a_burst_is_spread(spark):
     finally:
         spark.conf.unset(SLICE_ROWS)
     assert sum(sizes) == 1000 and len(sizes) <= 11 and max(sizes) <= 200
+
+
+def test_series_are_dealt_by_their_rows(spark):
+    """Spark merges small partitions; what a task sorts must not grow with the table."""
+
+    def run():
+        df = balance(frame(spark), ["k"], "t")
+        out = scan(df, ["k"], ["t"], p=slices.previous("v"), s=slices.running_sum("v"))
+        return df.rdd.getNumPartitions(), sorted(map(str, out.collect()))
+
+    _, whole = run()
+    spark.conf.set(TASK_ROWS, "20")
+    try:
+        parts, dealt = run()
+        grown = balance(frame(spark), ["k"], "t", grows=2.0).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset(TASK_ROWS)
+    assert parts == 30 and grown == 60 and dealt == whole
