@@ -29,19 +29,24 @@ def _both(a: Column, b: Column) -> Column:
 
 
 def cardiac_sweep(
-    alarms: DataFrame, invalid: DataFrame, last: int = DELAY_MAX, step: int = DELAY_STEP, width: float = 3600.0, key: str = "session"
+    alarms: DataFrame, invalid: DataFrame, last: int = DELAY_MAX, step: int = DELAY_STEP, width: float | None = None, key: str = "session"
 ) -> DataFrame:
     """Per session, kind, limit and delay: alarms and whole seconds over threshold, where there are any.
 
     ``alarms`` are those of PR and HR at the same limits (param, kind, limit, start, stop,
     bucket; disjoint per param, kind and limit), ``invalid`` the XX runs of PR (start, stop).
-    An alarm counts at the delays below its bucket.
+    An alarm counts at the delays below its bucket.  ``width`` is that of the time
+    buckets of the join; if not given, an hour or the usual length of an alarm or
+    run, so that one is repeated for few of them.
     """
     side = [key, "kind", "limit"]
     own = [*side, "param"]
     rows = alarms.where("stop > start").where(F.col("param").isin("PR", "HR")).select(*own, "start", "stop", "bucket")
     runs = merge_intervals(invalid.where("stop > start"), [key], "start", "stop", touching=True).select(key, "start", "stop")
     span = (F.col("start"), F.col("stop"))
+    if width is None:
+        usual = [x.agg(F.avg(F.col("stop") - F.col("start"))).first()[0] or 0.0 for x in (rows, runs)]
+        width = max(3600.0, *usual)
     pairs = overlap_join(rows, runs, [key], span, span, width).select("a.*", F.col("b.start").alias("xs"), F.col("b.stop").alias("xe"))
     s, e, xs, xe, bucket = (F.col(c) for c in ("start", "stop", "xs", "xe", "bucket"))
     pulse, heart = F.col("param") == "PR", F.col("param") == "HR"
