@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import NO_SAMPLE
-from .slices import balance, filled, refilled, scan, unsliced
-from .waveform import BLOCK, tick_grid
+from .slices import balance, filled, following, refilled, refilled_after, scan, unsliced
+from .waveform import BLOCK
 
 # What stands for a saturated optical sample, for a missing seismic or
 # pressure sample, and the longest block (three hours of ticks).
 SATURATED = 645_000_000
 NO_VALUE = 2**32 - 1
 LONGEST_BLOCK = 5_400_000
+STRIP = 10_000  # ticks laid out at once
 
 
 def first_samples(samples: DataFrame, keys=BLOCK) -> DataFrame:
@@ -82,11 +83,17 @@ def merged_channels(
     wide = own.groupBy(*keys, "sn").agg(
         *[F.min_by(cell(c), F.when(F.col("lead") == c, F.col("seq"))).alias(f"_c{i}") for i, c in enumerate(channels)]
     )
-    df = tick_grid(own, keys, max_ticks).join(wide, [*keys, "sn"], "left")
+    wide = wide.where(F.col("sn").isNotNull())
+    if max_ticks is not None:
+        wide = wide.join(refused_blocks(own, max_ticks, keys).hint("merge"), list(keys), "left_anti")
     known = F.coalesce(*[F.col(f"_c{i}.t") for i in reversed(range(len(channels)))])
-    df = df.withColumn("_t", known)
+    df = wide.withColumn("_t", known)
     place = F.when(F.col("_t").isNotNull(), F.struct("sn", F.col("_t").alias("t")))
-    df = unsliced(scan(balance(df, keys, "sn"), keys, ["sn"], _before=filled(place), _after=refilled(place)))
+    df = unsliced(scan(
+        balance(df, keys, "sn"), keys, ["sn"],
+        _before=filled(place), _after=refilled(place), _later=refilled_after(place), _next=following("sn"),
+    ))
+    df = _with_ticks_between(df, [f"_c{i}" for i in range(len(channels))])
     t = F.coalesce("_t", _line("t"), F.col("_before.t"), F.col("_after.t"))
     value = lambda i: F.when(F.col(f"_c{i}").isNull(), F.lit(missing)).otherwise(
         F.coalesce(F.col(f"_c{i}.value"), F.lit(missing if unknown is None else unknown))
@@ -97,6 +104,28 @@ def merged_channels(
     return out
 
 
+def _with_ticks_between(df: DataFrame, cells: Sequence[str]) -> DataFrame:
+    """Each row, and one without samples for every tick up to the next row.
+
+    What a missing tick needs (the known times around it) is in the row before it, so
+    ticks are made from rows that are in order already and none of them is sorted; they
+    come in strips, so no array holds a whole gap.
+    """
+    gap = F.col("_next") - F.col("sn") > 1
+    strips = F.when(gap, F.sequence(F.col("sn") + 1, F.col("_next") - 1, F.lit(STRIP).cast("bigint")))
+    place = F.concat(F.array(F.col("sn")), F.coalesce(strips, F.array().cast("array<bigint>")))
+    df = df.withColumn("_s", F.explode(place))
+    own = F.col("_s") == F.col("sn")
+    last = F.when(own, F.col("_s")).otherwise(F.least(F.col("_s") + (STRIP - 1), F.col("_next") - 1))
+    df = df.withColumn("_tick", F.explode(F.sequence(F.col("_s"), last)))
+    own = F.col("_tick") == F.col("sn")
+    return df.select(
+        *[F.when(own, F.col(c)).alias(c) if c in (*cells, "_t") else F.col(c) for c in df.columns if c not in ("sn", "_after", "_tick", "_s", "_later", "_next")],
+        F.col("_tick").alias("sn"),
+        F.when(own, F.col("_after")).otherwise(F.col("_later")).alias("_after"),
+    )
+
+
 def refused_blocks(samples: DataFrame, max_ticks: int = LONGEST_BLOCK, keys=BLOCK) -> DataFrame:
     """Blocks that a merge leaves out as too long, with their ticks."""
     span = samples.groupBy(*keys).agg((F.max("sn") - F.min("sn")).alias("ticks"))
