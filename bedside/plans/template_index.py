@@ -52,7 +52,9 @@ def template_index(templates: DataFrame) -> DataFrame:
     every term.  Templates without text have no rows: they match nothing.
     """
     between = f"{PLACEHOLDER}|{LOOSE}"
-    df = templates.where(F.col("cipher").isNotNull()).select(
+    # a dictionary is a small file, cutting its texts is not: deal it to all cores
+    tasks = 3 * templates.sparkSession.sparkContext.defaultParallelism
+    df = templates.where(F.col("cipher").isNotNull()).repartition(tasks, "id").select(
         "id",
         _fixed(F.col("cipher"), between).alias("_fixed"),
         _pieces(F.array("cipher")).alias("_held"),
@@ -96,31 +98,36 @@ def candidates(index: DataFrame, templates: DataFrame, terms: Sequence[str]) ->
         # a template in which the term is found
         _fixed(F.col("term"), LOOSE).alias("inside"),
     )
+    # rows without a piece meet every term, in the same pass over the postings
+    open_row = F.array(F.lit(None).cast("string"))
     pieces = given.select(
         "term",
         F.size("inside").alias("wanted"),
-        F.explode(F.array_union("around", "inside")).alias("piece"),
+        F.explode(F.concat(F.array_union("around", "inside"), open_row)).alias("piece"),
         "around",
         "inside",
     ).select(
         "term", "wanted", "piece",
-        F.array_contains("around", F.col("piece")).alias("around"),
-        F.array_contains("inside", F.col("piece")).alias("inside"),
-    )
+        F.coalesce(F.array_contains("around", F.col("piece")), F.lit(False)).alias("around"),
+        F.coalesce(F.array_contains("inside", F.col("piece")), F.lit(False)).alias("inside"),
+    ).withColumnRenamed("piece", "_piece")
     met = (
-        index.join(pieces, "piece")
+        index.join(pieces, F.col("piece").eqNullSafe(F.col("_piece")))
         .groupBy("id", "term")
         .agg(
             F.count_if(F.col("around") & F.col("needed").isNotNull()).alias("_fits"),
             F.max("needed").alias("_needed"),
             F.count_if(F.col("inside") & F.col("held")).alias("_holds"),
             F.max("wanted").alias("_wanted"),
+            F.max(F.col("piece").isNull()).alias("_open"),
         )
-        .where((F.col("_fits") == F.col("_needed")) | (F.col("_wanted") > 0) & (F.col("_holds") == F.col("_wanted")))
+        .where(F.col("_open") | (F.col("_fits") == F.col("_needed")) | (F.col("_wanted") > 0) & (F.col("_holds") == F.col("_wanted")))
         .select("id", "term")
     )
-    every = F.array(*[F.lit(t) for t in terms])
-    unknown = index.where(F.col("piece").isNull()).select("id", F.explode(every).alias("term"))
-    open_terms = F.filter(every, lambda term: F.size(_fixed(term, LOOSE)) == 0)
+    # the terms are few and given: which of them have nothing to go by is not asked per template
+    loose = [r.term for r in given.where(F.size("inside") == 0).select("term").collect()]
+    if not loose:
+        return met
+    open_terms = F.array(*[F.lit(t) for t in loose])
     anywhere = templates.where(F.col("cipher").isNotNull()).select("id", F.explode(open_terms).alias("term"))
-    return met.unionByName(unknown).unionByName(anywhere).distinct()
+    return met.unionByName(anywhere).distinct()

@@ -72,3 +72,11 @@ def test_search_takes_the_index(spark):
     assert sorted(r.message for r in out) == ["alarm low cleared", "radio on"]
     out = search(logs, templates, names, names, without="radio", index=index).collect()
     assert sorted(r.message for r in out) == ["alarm high cleared", "alarm low cleared"]
+
+
+def test_one_pass_over_postings_on_all_cores(spark):
+    templates = dictionary(spark).coalesce(1)
+    index = template_index(templates)
+    assert index.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    plan = candidates(index, templates, ["radio5 lead3", "cuff7"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
