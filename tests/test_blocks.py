@@ -43,3 +43,18 @@ def test_overlap_join_builds_no_side_on_the_driver(spark):
     span = (F.col("lo"), F.col("hi"))
     plan = ranges.overlap_join(a, a, ["id"], span, span, 5.0)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_blocks_are_made_in_strips_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(tables, "STRIP", 7)
+    monkeypatch.setattr(tables, "TASK_BLOCKS", 100)
+    hour = 3_600_000  # two hours of ticks
+    chunks = spark.createDataFrame([(1, 0, 0, 5, 1500 * hour + 4), (1, 1, 0, 0, 20 * hour), (2, 0, 0, 0, 10), (3, 0, 0, 7, 7)], COLUMNS)
+    out = tables.planned_blocks(chunks)
+    assert out.rdd.getNumPartitions() == 16  # 1,521 blocks; before, one segment was one task
+    got = {(r.session, r.num): (r.segment, r.min_sn, r.max_sn) for r in out.collect()}
+    assert len(got) == out.count() == 1521
+    for i in range(1500):
+        assert got[1, i] == (0, 5 + i * hour, min(5 + (i + 1) * hour - 1, 1500 * hour + 4))
+    assert [got[1, 1500 + i][0] for i in range(20)] == [1] * 20 and got[1, 1519] == (1, 19 * hour, 20 * hour - 1)
+    assert got[2, 0] == (0, 0, 9)
