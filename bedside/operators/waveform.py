@@ -182,42 +182,92 @@ def mark_windows(
 ) -> DataFrame:
     """The samples around each mark as two arrays (15 before to 127 after).
 
-    Positions count samples, so samples are numbered within their block first;
-    the neighbourhood is an equi join on position buckets of 128.  The first
-    mark of a block and the last two are left out, as are marks whose
+    Positions count samples, so samples are numbered within their block first.
+    The first mark of a block and the last two are left out, as are marks whose
     neighbourhood is cut by an end of the block.  ``counts`` (keys, _marks) sets
     the number of marks the last two are counted from; default is their own.
     """
-    from .slices import balance, overall_max, running_sum, scan, unsliced
+    cells = _mark_cells([samples], marks, keys)
+    if counts is not None:
+        cells = cells.drop("_marks").join(counts, list(keys))
+    return _cell_windows(cells, keys).select(*keys, "mark_sn", "sns", "ppg")
 
-    checked = balance(samples, keys, "sn")
-    numbered = unsliced(scan(checked, keys, ["sn"], _pos=running_sum(F.lit(1))))
-    at = numbered.join(
-        marks.select(*keys, "sn").distinct(), [*keys, "sn"], "left_semi"
-    )
-    at = balance(at, keys, "sn", reduced=checked)
-    order = scan(at, keys, ["sn"], _rank=running_sum(F.lit(1)))
-    if counts is None:
-        order = unsliced(scan(order, keys, ["sn"], _marks=overall_max("_rank")))
-    else:
-        order = unsliced(order).join(counts, list(keys))
-    at = order.where("_rank > 1 and _rank <= _marks - 2").select(
-        *keys, F.col("sn").alias("mark_sn"), F.col("_pos").alias("_m")
-    )
-    lo, hi = F.col("_m") - SPIKE_BEFORE, F.col("_m") + SPIKE_AFTER
-    spread = at.withColumn(
-        "_bucket", F.explode(F.sequence(F.floor(lo / 128), F.floor(hi / 128)))
-    )
-    near = numbered.withColumn("_bucket", F.floor(F.col("_pos") / 128)).join(
-        spread, [*keys, "_bucket"]
+
+CELL = SPIKE_AFTER + 1  # a window reaches into the cells next to that of its mark, no further
+
+
+def _mark_cells(lights: list[DataFrame], marks: DataFrame, keys=BLOCK) -> DataFrame:
+    """Samples of each light in cells of 128 positions, with the cells before and after and what marks they hold.
+
+    Marks go through the scan among the samples and cells stay where their
+    samples are, so every sample is shuffled once.  ``_upto`` counts the marks of
+    the light up to the end of the cell, ``_marks`` those of the light of the
+    block that has most.
+    """
+    from .slices import balance, filled, following, overall_max, previous, running_sum, scan, unsliced
+
+    rows = marks.select(*keys, "sn", F.lit(-1).alias("_light")).dropna()
+    for k, light in enumerate(lights):
+        rows = rows.unionByName(light.select(*keys, "sn", "value", F.lit(k).alias("_light")), allowMissingColumns=True)
+    checked = balance(rows, keys, "sn")
+    # marks sort before the samples at their sequence number
+    places = {f"_pos{k}": running_sum((F.col("_light") == k).cast("int")) for k in range(len(lights))}
+    last = F.when(F.col("_light") < 0, F.col("sn"))
+    numbered = unsliced(scan(checked, keys, ["sn", "_light"], _mark=filled(last), **places)).where("_light >= 0")
+    pos = F.coalesce(*[F.when(F.col("_light") == k, F.col(f"_pos{k}")) for k in range(len(lights))])
+    sample = F.struct(
+        pos.alias("pos"), "sn", "value", F.coalesce(F.col("_mark") == F.col("sn"), F.lit(False)).alias("marked")
     )
-    near = near.where((F.col("_pos") >= lo) & (F.col("_pos") <= hi))
-    return (
-        near.groupBy(*keys, "mark_sn")
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", "sn", "value"))).alias("_a"))
-        .where(F.size("_a") == SPIKE_BEFORE + SPIKE_AFTER + 1)
-        .select(*keys, "mark_sn", F.col("_a.sn").alias("sns"), F.col("_a.value").alias("ppg"))
+    cells = numbered.groupBy(*keys, "_light", F.floor(pos / CELL).alias("_cell")).agg(
+        F.sort_array(F.collect_list(sample)).alias("_a")
     )
+    cells = cells.withColumn("_held", F.size(F.filter("_a", lambda x: x["marked"])))
+    series = [*keys, "_light"]
+    cells = scan(
+        balance(cells, series, "_cell", reduced=checked), series, ["_cell"],
+        _before=previous("_a"), _after=following("_a"), _upto=running_sum("_held"),
+    )
+    cells = unsliced(cells)
+    most = balance(cells, keys, "_cell", reduced=checked)
+    return unsliced(scan(most, keys, ["_cell", "_light"], _marks=overall_max("_upto")))
+
+
+def _cell_windows(cells: DataFrame, keys=BLOCK, carrier: bool = False) -> DataFrame:
+    """Windows of the marks of each cell; with ``carrier`` also a flat one (mark_sn null) per light of a block."""
+    length = SPIKE_BEFORE + SPIKE_AFTER + 1
+    none = F.slice("_a", 1, 0)
+    before = F.coalesce(F.slice("_before", -SPIKE_BEFORE, SPIKE_BEFORE), none)
+    after = F.coalesce("_after", none)
+    # positions of the first and last sample at hand
+    first = F.get("_a", F.lit(0))["pos"]
+    cells = cells.withColumn("_lo", first - F.size(before)).withColumn("_hi", first + F.size("_a") + F.size(after) - 1)
+    rank = F.col("_upto") - F.col("_held")
+
+    def mark(x, i):
+        at = (x["pos"] - first).cast("int")
+        sn_before = F.coalesce(F.get("_a", at - 1)["sn"], F.get("_before", F.size("_before") - 1)["sn"])
+        sn_after = F.coalesce(F.get("_a", at + 1)["sn"], F.get("_after", F.lit(0))["sn"])
+        # a sequence number twice leaves open which sample is the mark
+        twice = F.coalesce(sn_before == x["sn"], F.lit(False)) | F.coalesce(sn_after == x["sn"], F.lit(False))
+        return F.struct((rank + i + 1).alias("rank"), x["pos"].alias("pos"), x["sn"].alias("sn"), twice.alias("twice"))
+
+    def kept(m):
+        whole = (m["pos"] - SPIKE_BEFORE >= F.col("_lo")) & (m["pos"] + SPIKE_AFTER <= F.col("_hi"))
+        return (m["rank"] > 1) & (m["rank"] <= F.col("_marks") - 2) & whole & ~m["twice"]
+
+    marks = F.filter(F.transform(F.filter("_a", lambda x: x["marked"]), mark), kept)
+    marks = F.transform(marks, lambda m: F.struct(m["pos"].alias("pos"), m["sn"].alias("sn")))
+    if carrier:
+        nobody = F.struct(*[F.lit(None).cast("bigint").alias(n) for n in ("pos", "sn")])
+        marks = F.when(F.col("_before").isNull(), F.concat(F.array(nobody), marks)).otherwise(marks)
+    rows = cells.select(*keys, "_light", "_lo", F.concat(before, F.col("_a"), after).alias("_line"), F.explode(marks).alias("_m"))
+    at = F.coalesce(F.col("_m.pos") - SPIKE_BEFORE - F.col("_lo") + 1, F.lit(1)).cast("int")
+    rows = rows.select(*keys, "_light", F.col("_m.sn").alias("mark_sn"), F.slice("_line", at, length).alias("_w"))
+    rows = rows.select(*keys, "_light", "mark_sn", F.col("_w.sn").alias("sns"), F.col("_w.value").alias("ppg"))
+    if not carrier:
+        return rows
+    flat = lambda c: F.when(F.col("mark_sn").isNull(), F.array_repeat(F.lit(0), length)).otherwise(F.col(c)).alias(c)
+    return rows.select(*keys, "_light", "mark_sn", flat("sns"), flat("ppg"))
 
 
 def _measure(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -254,6 +304,11 @@ def _measure(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def noise_spikes(windows: DataFrame, keys=BLOCK) -> DataFrame:
     """Spikes that follow the marks: start, peak and stop with their levels."""
+    return _measured(windows).select(*keys, "_s.*").where(F.col("start_sn") > 0)
+
+
+def _measured(windows: DataFrame) -> DataFrame:
+    """Windows with the spike of each as ``_s``; one that holds none starts at 0."""
     schema = (
         "start_sn bigint, peak_sn bigint, stop_sn bigint, "
         "start_ppg double, peak_ppg double, stop_ppg double"
@@ -274,11 +329,8 @@ def noise_spikes(windows: DataFrame, keys=BLOCK) -> DataFrame:
             ["start_sn", "peak_sn", "stop_sn", "start_ppg", "peak_ppg", "stop_ppg"]
         ]
 
-    return (
-        windows.withColumn("_s", measure("sns", "ppg"))
-        .select(*keys, "_s.*")
-        .where(F.col("start_sn") > 0)
-    )
+    # a filter on the result must not go below, where it would measure every window once more
+    return windows.withColumn("_s", measure.asNondeterministic()("sns", "ppg"))
 
 
 # Converter step in millivolts and screening thresholds.
@@ -367,22 +419,19 @@ def noise_report(
     lights, and the vital signs while it lasts (27 figures and the key)."""
     marks = radio_marks(ir_filtered, keys)
     blocks = infrared.groupBy(*keys).agg(F.min("sn").alias("sn_start"), F.max("sn").alias("sn_stop"))
-    most = None
-    for n, light in {"_ir": infrared, "_red": red}.items():
-        c = at_marks(light, marks, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
-        most = c if most is None else most.join(c, list(keys), "full")
-    both = F.greatest(F.coalesce("_ir", F.lit(0)), F.coalesce("_red", F.lit(0)))
-    enough = most.select(*keys, both.alias("_marks")).where(F.col("_marks") - 2 >= min_marks)
-    enough = durable(enough)
-    blocks = durable(blocks.join(enough.select(*keys), list(keys), "left_semi"))
+    cells = _mark_cells([infrared, red], marks, keys).where(F.col("_marks") - 2 >= min_marks)
+    # few rows, read several times below; the flat windows tell which blocks have enough marks
+    measured = _measured(_cell_windows(cells, keys, carrier=True)).select(*keys, "_light", "mark_sn", "_s.*")
+    measured = durable(measured.where(F.col("mark_sn").isNull() | (F.col("start_sn") > 0)))
+    enough = measured.select(*keys).distinct()
+    blocks = durable(blocks.join(enough, list(keys), "left_semi"))
     out, ir_density = blocks, None
     names = {
         "median_mv": "med", "upper_mv": "uqa", "lower_mv": "lqa", "whisker_mv": "limit",
         "loud": "quant", "pct_over_1": "nd1", "pct_over_2": "nd2", "pct_over_3": "nd3",
     }
-    for label, light in {"ir": infrared, "red": red}.items():
-        # few rows, read three times below
-        spikes = durable(noise_spikes(mark_windows(light, marks, keys, enough), keys))
+    for k, label in enumerate(("ir", "red")):
+        spikes = measured.where((F.col("_light") == k) & (F.col("start_sn") > 0)).drop("_light", "mark_sn")
         density = spike_density(spikes, blocks, keys=keys)
         ir_density = density if ir_density is None else ir_density
         spikes = with_density(spikes, density, blocks, keys=keys, at="start_sn")
