@@ -237,6 +237,38 @@ def _sample_entropy(x: np.ndarray, dim: int = 2, scale: float = 0.2) -> float:
     return math.log(short / long_) if long_ else math.nan
 
 
+def _sample_entropies(windows, dim: int = 2, scale: float = 0.2) -> list[float]:
+    """:func:`_sample_entropy` of many windows; short ones of equal length are taken together."""
+    out = [math.nan] * len(windows)
+    alike: dict[int, list[int]] = {}
+    for i, w in enumerate(windows):
+        alike.setdefault(len(w), []).append(i)
+    for n, places in alike.items():
+        m = n - dim
+        if n > DIRECT:
+            for i in places:
+                out[i] = _sample_entropy(np.asarray(windows[i], dtype=float), dim, scale)
+        if m < 2 or n > DIRECT:
+            continue
+        upper = np.triu_indices(m, 1)
+        at_once = max(1, PAIRS // len(upper[0]))
+        for k in range(0, len(places), at_once):
+            part = places[k : k + at_once]
+            x = np.concatenate([np.asarray(windows[i], dtype=float) for i in part]).reshape(len(part), n)
+            r = scale * np.std(x, axis=1)[:, None]
+            near = np.ones((len(part), len(upper[0])), dtype=bool)
+            for d in range(dim + 1):
+                if d == dim:
+                    short = near.sum(axis=1)
+                near &= np.abs(x[:, upper[0] + d] - x[:, upper[1] + d]) < r
+            for i, a, b in zip(part, short.tolist(), near.sum(axis=1).tolist()):
+                out[i] = math.log(a / b) if b else math.nan
+    return out
+
+
+PAIRS = 1_000_000  # pairs of templates looked at together
+
+
 def _entropy_profile(x: np.ndarray, longest: int, r: float, normalise: bool):
     """Entropy and standard error for template lengths 0 to ``longest``.
 
@@ -390,7 +422,7 @@ def sample_entropy(window: Column, dim: int = 2, scale: float = 0.2, none: float
 
     @F.pandas_udf("double")
     def entropy(windows: pd.Series) -> pd.Series:
-        out = [_sample_entropy(np.asarray(w, dtype=float), dim, scale) for w in windows]
+        out = _sample_entropies(windows.tolist(), dim, scale)
         return pd.Series([None if math.isnan(v) else v for v in out], dtype="float64")
 
     found = F.nanvl(entropy(window), F.lit(None).cast("double"))
@@ -466,16 +498,7 @@ def rhythm_features(
     where a classifier has to decide.  ``start`` is the oldest beat in reach.
     """
     w = windows.withColumn("_t0", F.array_min("ts")).withColumn("_t1", F.array_max("ts"))
-    from .ranges import point_join
-
-    spans = w.where(F.col("_t0").isNotNull()).select(*keys, "update", "_t0", "_t1")
-    pairs = point_join(
-        heart_rate, spans, list(keys), F.col("t"), (F.col("_t0"), F.col("_t1")), update_seconds * 4
-    )
-    seen = pairs.groupBy(*[F.col(f"b.{k}").alias(k) for k in keys], F.col("b.update").alias("update")).agg(
-        F.count(F.lit(1)).alias("_seen")
-    )
-    w = w.join(seen, [*keys, "update"], "left").withColumn("_seen", F.coalesce("_seen", F.lit(0)))
+    w = _seen(w, heart_rate, keys)
     n = F.lit(beats_needed)
     tagged = F.arrays_zip(F.col("rr").alias("rr"), F.col("drr").alias("drr"), F.col("good").alias("good"))
     good = F.filter(tagged, lambda b: b["good"] > 0)
@@ -502,6 +525,28 @@ def rhythm_features(
     return w.select(*keys, "update", F.col("_t0").alias("start"), "stop", fixed.alias("fixed"), "entropy", "variability")
 
 
+def _seen(w: DataFrame, heart_rate: DataFrame, keys) -> DataFrame:
+    """Updates with the readings from ``_t0`` to ``_t1`` as ``_seen``.
+
+    Both ends go through one scan among the readings and are apart by the
+    readings counted up to each, so no reading meets the updates it counts for.
+    """
+    begin, reading, end = 0, 1, 2  # at one time in this order: both ends count
+    none = F.lit(None).cast(w.select(F.struct(*w.columns).alias("_w")).schema["_w"].dataType)
+    ends = F.array(
+        F.struct(F.col("_t0").alias("t"), F.lit(begin).alias("_kind"), none.alias("_w")),
+        F.struct(F.col("_t1").alias("t"), F.lit(end).alias("_kind"), F.struct(*w.columns).alias("_w")),
+    )
+    rows = w.select(*keys, "update", F.explode(ends).alias("_e")).select(*keys, "update", "_e.*")
+    rows = rows.unionByName(heart_rate.select(*keys, "t", F.lit(reading).alias("_kind")).dropna(), allowMissingColumns=True)
+    count = slices.running_sum((F.col("_kind") == reading).cast("bigint"))
+    rows = unsliced(scan(balance(rows, keys, "t"), keys, ["t", "_kind", "update"], _count=count))
+    both = rows.where(F.col("_kind") != reading).groupBy(*keys, "update").agg(
+        F.collect_list("_w").alias("_w"), F.sum(F.when(F.col("_kind") == end, F.col("_count")).otherwise(-F.col("_count"))).alias("_seen")
+    )
+    return both.select(F.explode("_w").alias("_w"), "_seen").select("_w.*", "_seen")
+
+
 def rhythm_updates(
     windows: DataFrame,
     heart_rate: DataFrame,

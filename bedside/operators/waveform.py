@@ -462,24 +462,28 @@ def beat_windows(
 ) -> DataFrame:
     """The last n beats, no older than ``seconds``, at every update.
 
-    Updates run every ``every`` seconds from the first beat.  The join is
-    bucketed on the look-back, and a window never holds more than the beats of
-    that span.
+    Updates run every ``every`` seconds from the first beat.  A beat is in reach
+    of the updates from its own time until the n-th beat after it or the end of
+    the look-back, so these follow by arithmetic from one scan and no beat is
+    paired with an update that does not keep it.
     """
-    from .ranges import point_join
+    from .slices import balance, later, overall_max, overall_min, scan, unsliced
 
-    span = beats.groupBy(*keys).agg(F.min("t").alias("_t0"), F.max("t").alias("_t1"))
+    known = beats.select(*keys, "t", "seq", "rr").dropna(subset=[*keys, "t"])
+    checked = balance(known, keys, "t", grows=max(1.0, seconds / every))
+    df = later(checked, keys, ["t", "seq"], "t", beats_per_window, "_next")
+    df = unsliced(scan(df, keys, ["t", "seq"], _t0=overall_min("t"), _t1=overall_max("t")))
     n = F.ceil((F.col("_t1") - F.col("_t0")) / every).cast("bigint")
-    updates = span.where(n > 0).select(
-        *keys, "_t0", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)).alias("update")
-    ).withColumn("stop", F.col("_t0") + F.col("update") * every)
-    pairs = point_join(
-        beats, updates, list(keys), F.col("t"), (F.col("stop") - seconds, F.col("stop")), float(seconds)
-    )
-    rows = pairs.select(*[F.col(f"b.{k}").alias(k) for k in keys], "b.update", "b.stop", "a.t", "a.seq", "a.rr")
-    latest = Window.partitionBy(*keys, "update").orderBy(F.col("t").desc(), F.col("seq").desc())
-    kept = rows.withColumn("_rank", F.row_number().over(latest)).where(
-        F.col("_rank") <= beats_per_window
+    number = lambda t: F.floor((t - F.col("_t0")) / every).cast("bigint")
+    # one more on either side, as divisions are rounded; the comparisons below decide
+    first = F.greatest(number(F.col("t")) - 1, F.lit(0))
+    last = F.least(n - 1, number(F.col("t") + seconds) + 1, number(F.col("_next")) + 1)
+    kept = (
+        df.where(first <= last)
+        .withColumn("update", F.explode(F.sequence(first, last)))
+        .withColumn("stop", F.col("_t0") + F.col("update") * every)
+        .where((F.col("t") >= F.col("stop") - seconds) & (F.col("t") <= F.col("stop")))
+        .where(F.col("_next").isNull() | (F.col("_next") > F.col("stop")))
     )
     return kept.groupBy(*keys, "update", "stop").agg(
         F.sort_array(F.collect_list(F.struct("t", "seq", "rr"))).alias("_b")
